@@ -14,7 +14,9 @@ from tabguard.functions.binning import Bins
 
 _INTEGERS = (T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
-_ALLOWED = (*_INTEGERS, *_FLOATS, T.StringType, T.DateType, T.TimestampType)
+_ALLOWED = (
+    *_INTEGERS, *_FLOATS, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType
+)
 
 
 def is_float(df: DataFrame, column: str) -> bool:
@@ -26,7 +28,10 @@ def is_integer(df: DataFrame, column: str) -> bool:
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """Widen integers to long and floats to double; reject any other type and empty names."""
+    """Widen integers to long and floats to double, give timestamps the session's time zone.
+
+    Any other type and empty names are errors.
+    """
     columns = []
     for f in df.schema.fields:
         if not f.name:
@@ -37,6 +42,8 @@ def coerce_types(df: DataFrame) -> DataFrame:
             columns.append(F.col(f.name).cast("long").alias(f.name))
         elif isinstance(f.dataType, T.FloatType):
             columns.append(F.col(f.name).cast("double").alias(f.name))
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            columns.append(F.col(f.name).cast("timestamp").alias(f.name))
         else:
             columns.append(F.col(f.name))
     return df.select(*columns)
