@@ -118,6 +118,18 @@ def ratio_table(num: DataFrame, den: DataFrame, by_cell: bool) -> DataFrame:
     ).drop("REGION_ID")
 
 
+_GROUP = ["GEOID", "REGION_TYPE", "ITERATION_CODE"]
+
+
+def _spread_out(df: DataFrame) -> DataFrame:
+    """Rows hashed by group over all cores.
+
+    Few bytes but much computing per group: without a fixed number of partitions, adaptive execution
+    would merge such small partitions into one task.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *_GROUP)
+
+
 def _rng(*key) -> np.random.Generator:
     """Generator seeded by the group, so that a re-run of a lost task repeats its draws."""
     return np.random.default_rng([SEED, zlib.crc32("|".join(map(str, key)).encode())])
@@ -185,7 +197,7 @@ def posterior_count(
         F.col("VARIANCE").cast("double"),
         F.col("MOE_NOISY").cast("double"),
     )
-    return typed.groupBy("GEOID", "REGION_TYPE", "ITERATION_CODE").applyInPandas(fit, _COUNT_SCHEMA)
+    return _spread_out(typed).groupBy(*_GROUP).applyInPandas(fit, _COUNT_SCHEMA)
 
 
 def _gibbs_two_part(rng, mean, sd, least: float, most: float, draws: int) -> np.ndarray:
@@ -282,7 +294,7 @@ def posterior_ratio_two_part(
 
     missing = ["RATIO_PRED", "PRED_NUM", "PRED_DENOM", "RATIO_PRED_LO", "RATIO_PRED_HI"]
     typed = _typed(table, _TWO_PART_SCHEMA, missing)
-    return typed.groupBy("GEOID", "REGION_TYPE", "ITERATION_CODE").applyInPandas(fit, _TWO_PART_SCHEMA)
+    return _spread_out(typed).groupBy(*_GROUP).applyInPandas(fit, _TWO_PART_SCHEMA)
 
 
 def posterior_ratio_one_part(
@@ -290,7 +302,7 @@ def posterior_ratio_one_part(
 ) -> DataFrame:
     """Ratio estimates per row for a table whose cells have a denominator of their own.
 
-    Rows are independent, so this is a map over Arrow batches without a shuffle.
+    Rows are independent, so this is a map over Arrow batches.
     """
     names = [p.split()[0] for p in _ONE_PART_SCHEMA.split(", ")]
 
@@ -314,7 +326,7 @@ def posterior_ratio_one_part(
             yield batch[names]
 
     missing = ["RATIO_PRED", "RATIO_PRED_LO", "RATIO_PRED_HI"]
-    return _typed(table, _ONE_PART_SCHEMA, missing).mapInPandas(fit, _ONE_PART_SCHEMA)
+    return _spread_out(_typed(table, _ONE_PART_SCHEMA, missing)).mapInPandas(fit, _ONE_PART_SCHEMA)
 
 
 def model_summary_counts(estimates: DataFrame) -> DataFrame:

@@ -105,16 +105,18 @@ def typed_fields(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 def raw_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Fields of a file whose lines are either pipe-delimited or fixed-width, told apart per line."""
-    width = sum(f.width for f in fields)
     piped = F.contains(F.col("value"), F.lit("|"))
-    parts = F.split("value", r"\|", -1)
-    fits = F.when(piped, F.size(parts) == len(fields)).otherwise(F.length("value") >= width)
-    columns, start = [], 1
-    for i, f in enumerate(fields):
-        fixed = F.substring("value", start, f.width)
-        columns.append(F.when(piped, F.get(parts, F.lit(i))).otherwise(fixed).alias(f.name))
+    width = sum(f.width for f in fields)
+    cut, start = [], 1
+    for f in fields:
+        cut.append(F.substring("value", start, f.width))
         start += f.width
-    return lines.filter(fits).select(*columns)
+    fixed = F.when(F.length("value") >= width, F.array(*cut))
+    cells = F.when(piped, F.split("value", r"\|", -1)).otherwise(fixed)
+    # A generator keeps the optimizer from repeating the split inside every later use of a field.
+    once = lines.select(F.explode(F.array(cells)).alias("cells"))
+    sized = once.filter(F.size("cells") == len(fields))
+    return sized.select(*[F.get("cells", F.lit(i)).alias(f.name) for i, f in enumerate(fields)])
 
 
 def scan_fixed_width_unit(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -137,7 +139,9 @@ def scan_pipe_record(
 def record_failures(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Raw records that break a field rule, with all REASONS; clean records are not listed."""
     reasons = rule_failures({f.name: (f.valid(), f.allowed()) for f in fields})
-    return raw.withColumn("REASONS", reasons).filter(F.col("REASONS") != "")
+    # Generated from an array of at most one text, so that the rules run once per record.
+    found = F.filter(F.array(reasons), lambda text: text != "")
+    return raw.select("*", F.explode(found).alias("REASONS"))
 
 
 def dq_record_rules_unit(raw: DataFrame) -> DataFrame:
