@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 200
@@ -32,9 +32,11 @@ def grouped_ranks(
     )
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = counted.select(F.percentile_approx("value", steps, F.lit(10_000)).alias("c")).scalar()
-    bucketed = counted.withColumn("__cuts", cuts).withColumn(
-        "__b", F.size(F.filter("__cuts", lambda cut: cut < F.col("value")))
-    ).drop("__cuts")
+    # Exploding a one-element array keeps the optimizer from repeating the search in every use of it.
+    place = _cuts_below(F.col("__cuts"), F.col("value"), buckets)
+    bucketed = counted.withColumn("__cuts", cuts).select(
+        *counted.columns, F.explode(F.array(place)).alias("__b")
+    )
 
     per_bucket = bucketed.groupBy(*names, "__b").agg(
         F.sum("n").alias("__rows"), F.max("value").alias("__last")
@@ -66,6 +68,18 @@ def grouped_ranks(
     )
 
 
+def _cuts_below(cuts: Column, value: Column, buckets: int) -> Column:
+    """Number of elements of the ascending array ``cuts`` below ``value``, by binary search."""
+    steps = [1 << i for i in range((buckets - 1).bit_length() - 1, -1, -1)]
+
+    def advance(position: Column, step: Column) -> Column:
+        # Past the end of the array there is no cut: null, which is not below.
+        below = F.get(cuts, position + step - 1) < value
+        return position + F.when(below, step).otherwise(F.lit(0))
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+
+
 def exact_percentile(
     df: DataFrame, keys: Sequence[str], value: str, q: float, name: str, buckets: int = BUCKETS
 ) -> DataFrame:

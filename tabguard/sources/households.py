@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabguard.functions.parse import long_or_null, number_or_null
 from tabguard.operators.cleaning import blank_to_sentinel
 
 # Relationship codes that count as family of the householder.
@@ -38,7 +39,7 @@ def derive_family_size(persons: DataFrame, units: DataFrame) -> DataFrame:
         .groupBy("MAFID")
         .agg(F.count(F.lit(1)).alias("__members"))
     )
-    eligible = (F.col("FINAL_POP").cast("long") >= 2) & (F.col("RTYPE") == "2")
+    eligible = (long_or_null(F.col("FINAL_POP").cast("string")) >= 2) & (F.col("RTYPE") == "2")
     size = F.when(eligible & (F.col("__members") > 1), F.col("__members"))
     return (
         units.join(family, "MAFID", "left")
@@ -49,8 +50,8 @@ def derive_family_size(persons: DataFrame, units: DataFrame) -> DataFrame:
 
 def normalize_household(units: DataFrame) -> DataFrame:
     """Unit columns typed and ordered: numbers cast, missing ethnicity 0, blank race "00"."""
-    out = units.withColumn("FINAL_POP", F.trim("FINAL_POP").try_cast("long"))
-    out = out.withColumn("HHSPAN", F.coalesce(F.trim("HHSPAN").try_cast("long"), F.lit(0)))
+    out = units.withColumn("FINAL_POP", long_or_null(F.col("FINAL_POP")))
+    out = out.withColumn("HHSPAN", F.coalesce(long_or_null(F.col("HHSPAN")), F.lit(0)))
     out = blank_to_sentinel(out, ["HHRACE"], "00")
     return out.select(
         "RTYPE", "MAFID", "FINAL_POP", "NPF", "HHSPAN", "HHRACE", "TEN", "HHT", "HHT2", "CPLT"
@@ -79,9 +80,9 @@ def household_head_view(persons: DataFrame, units: DataFrame, geo: DataFrame) ->
     kind = F.when(F.col("HHT") == "6", 4).when(F.col("HHT") == "7", 5)
     heads = persons.filter(F.col("RELSHIP") == "20")
     out = _joined(heads, units.filter(F.col("HHT") != "0"), geo)
-    out = out.withColumn("HOUSEHOLD_TYPE", kind.otherwise(F.col("HHT").try_cast("int")))
+    out = out.withColumn("HOUSEHOLD_TYPE", kind.otherwise(number_or_null(F.col("HHT"), "int")))
     out = out.withColumns({c: F.col(c).cast("string") for c in [*RACE_CODES, "QSPAN"]})
-    out = out.withColumn("TEN", F.col("TEN").try_cast("int"))
+    out = out.withColumn("TEN", number_or_null(F.col("TEN"), "int"))
     out = blank_to_sentinel(out, [*RACE_CODES, "HHRACE"], "Null")
     return out.select(
         "TABBLKST", "TABBLKCOU", "TABTRACTCE", "TABBLK", "HHRACE", *RACE_CODES, "QSPAN",
@@ -126,4 +127,4 @@ def popgroup_region_filter(totals: DataFrame, geo: DataFrame, states: Sequence[s
     within = local.join(
         regions, (kind == F.col("__kind")) & (F.col("REGION_ID") == F.col("__id")), "left_semi"
     )
-    return totals.filter(nation).unionByName(within).withColumn("COUNT", F.col("COUNT").try_cast("int"))
+    return totals.filter(nation).unionByName(within).withColumn("COUNT", number_or_null(F.col("COUNT").cast("string"), "int"))

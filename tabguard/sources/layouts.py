@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = "blank"
+from tabguard.functions.parse import long_or_null
 
 
 @dataclass(frozen=True)
@@ -41,9 +41,12 @@ class Field:
         for low, high in self.ranges:
             inside = zeroed.between(low.rjust(self.width), high.rjust(self.width))
             ok = ok | (inside & (F.length(raw) <= self.width))
-        number = F.trim(raw).try_cast("long")
+        single = [low for low, high in self.numbers if low == high]
         for low, high in self.numbers:
-            ok = ok | F.coalesce(number.between(low, high), F.lit(False))
+            if low != high:
+                ok = ok | F.coalesce(long_or_null(raw).between(low, high), F.lit(False))
+        if single:
+            ok = ok | F.coalesce(long_or_null(raw).isin(single), F.lit(False))
         if self.any_integer:
             ok = ok | F.trim(raw).rlike(r"^[+-]?\d+\z")
         if self.blank:

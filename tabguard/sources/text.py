@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabguard.functions.parse import long_or_null, number_or_null
 from tabguard.plans.quality import rule_failures
 from tabguard.sources.layouts import PERSON_FIELDS, UNIT_FIELDS, Field
 
@@ -46,7 +47,7 @@ def scan_geo_reference(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     The header names the columns; without a schema only its first line is read to find them.
     """
     df = spark.read.csv(path, header=True, sep="|")
-    return df.withColumn("OIDTABBLK", F.col("OIDTABBLK").try_cast("long"))
+    return df.withColumn("OIDTABBLK", long_or_null(F.col("OIDTABBLK")))
 
 
 def state_files(
@@ -97,7 +98,7 @@ def typed_fields(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Raw text fields as typed columns; text that is no integer becomes null."""
     return raw.select(
         *[
-            F.trim(F.col(f.name)).try_cast("long").alias(f.name) if f.kind == "long" else F.col(f.name)
+            long_or_null(F.col(f.name)).alias(f.name) if f.kind == "long" else F.col(f.name)
             for f in fields
         ]
     )
@@ -184,7 +185,7 @@ def scan_schema_described(
 
     return lines.select(
         *[
-            (raw(v) if v.type == "string" else F.trim(raw(v)).try_cast(v.type)).alias(v.name)
+            (raw(v) if v.type == "string" else number_or_null(raw(v), v.type)).alias(v.name)
             for v in variables
         ]
     )
