@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabguard.runtime import tune
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,7 +18,11 @@ def query(name: str, oracle: str | None = None):
     def add(function):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = function
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return function(tune(spark), folder)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function

@@ -13,6 +13,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tabguard.functions.clamp import clamp
+
 
 @dataclass(frozen=True)
 class Pattern:
@@ -50,7 +52,7 @@ class Range:
         return (c >= F.lit(self.low)) & (c < F.lit(self.high))
 
     def clipped(self) -> Column:
-        return F.least(F.greatest(F.col(self.column), F.lit(self.low)), F.lit(self.high))
+        return clamp(F.col(self.column), self.low, self.high)
 
     def code(self) -> Column:
         raw = F.floor((F.col(self.column) - F.lit(self.low)) / F.lit(self.width))
@@ -79,7 +81,7 @@ class Splits:
         return F.col(self.column).between(self.splits[0], self.splits[-1])
 
     def clipped(self) -> Column:
-        return F.least(F.greatest(F.col(self.column), F.lit(self.splits[0])), F.lit(self.splits[-1]))
+        return clamp(F.col(self.column), self.splits[0], self.splits[-1])
 
     def code(self) -> Column:
         out = None

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabguard.functions.binning import Bins
+from tabguard.functions.clamp import clamp
 
 _INTEGERS = (T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -165,7 +166,7 @@ def drop_infinity(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 def clamp_measure(value: Column, low: Any, high: Any) -> Column:
     """``value`` moved into [low, high]; null stays null."""
-    return F.when(value < F.lit(low), F.lit(low)).when(value > F.lit(high), F.lit(high)).otherwise(value)
+    return clamp(value, low, high)
 
 
 def blank_to_sentinel(df: DataFrame, columns: Sequence[str], sentinel: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from tabguard.operators.limits import keep_first, keep_unique
 from tabguard.operators.noise import LABELS, noise_variance
 from tabguard.plans.budget import exact
 from tabguard.plans.tables import COUNTED, PERSON_UNIVERSES, TABLES, UNIT_UNIVERSES, Table
+from tabguard.runtime import small_table
 
 LONG = ["TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "COUNT"]
 """Columns of the long form that holds all tables."""
@@ -239,11 +241,9 @@ def budget_rows(
                         float(parameter),
                     )
                 )
-    schema = (
-        "TABLE string, REGION_TYPE string, ITERATION_CODE string, BUDGET double, "
-        "NUM string, DEN string, PARAMETER double"
-    )
-    return spark.createDataFrame(rows, schema)
+    text, number = pa.string(), pa.float64()
+    columns = {"TABLE": text, "REGION_TYPE": text, "ITERATION_CODE": text, "BUDGET": number}
+    return small_table(spark, rows, {**columns, "NUM": text, "DEN": text, "PARAMETER": number})
 
 
 def key_rows(regions: DataFrame, budgets: DataFrame) -> DataFrame:

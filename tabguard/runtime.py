@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only; none of them changes a result. Skewed shuffle joins are split even where the
@@ -25,6 +27,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A few configuration rows as a local relation, whose known size lets the planner broadcast it."""
+    arrays = [pa.array([r[i] for r in rows], t) for i, t in enumerate(columns.values())]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(columns)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only for a local master.
 
