@@ -25,7 +25,6 @@ from tabguard.operators.cleaning import (
     replace_infinity,
 )
 from tabguard.operators.keys import Keys
-from tabguard.operators.limits import limit_rows_per_group_per_id, limit_rows_per_id
 from tabguard.operators.ranks import grouped_ranks
 
 
@@ -93,13 +92,10 @@ def agg_count_distinct_ids(
 ) -> Measure:
     """Distinct protected identifiers per key, as a count over one row per identifier (and group)."""
     name = name or f"count_distinct({id_column})"
-    if not keys.columns:
-        single = limit_rows_per_id(df.select(id_column), id_column, 1)
-    elif len(keys.columns) == 1:
-        group = keys.columns[0]
-        single = limit_rows_per_group_per_id(df.select(id_column, group), id_column, group, 1)
-    else:
+    if len(keys.columns) > 1:
         return agg_count_distinct(df, keys, [id_column], name)
+    # With no other column left, one row per identifier (and group) is the distinct rows.
+    single = df.select(id_column, *keys.columns).distinct()
     return agg_count(single, keys, name)
 
 

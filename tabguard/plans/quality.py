@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabguard.functions.domains import Categories
 from tabguard.operators.joins import anti_join_keys
+from tabguard.operators.limits import keep_first
 from tabguard.operators.noise import noise_variance
 
 LISTED_VALUES = 1000
 """How many bad values of a column a report lists; ``n_values`` always has the full number."""
 
 
+MAX_CATEGORIES = 100_000
+"""Most values that may become category lists."""
+
+
 def dq_values(df: DataFrame, domains: Sequence[Any], listed: int | None = LISTED_VALUES) -> DataFrame:
     """Distinct values outside their column's domain, all columns in one pass.
 
@@ -39,8 +44,7 @@ def dq_values(df: DataFrame, domains: Sequence[Any], listed: int | None = LISTED
     bad = df.select(F.inline(failing)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
     sizes = bad.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
     if listed is not None:
-        first = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_first())
-        bad = bad.withColumn("__r", F.row_number().over(first)).filter(F.col("__r") <= listed).drop("__r")
+        bad = keep_first(bad, ["column"], listed, [F.col("value").asc_nulls_first()])
     return bad.join(sizes, "column")
 
 
@@ -161,11 +165,15 @@ def dq_update_domains(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def updated_domains(domains: Sequence[Any], found: DataFrame, columns: Sequence[str]) -> list[Any]:
     """Domains with the categories of ``columns`` replaced by the values found elsewhere.
 
-    The category lists are configuration and have to reach the driver; the query that made ``found``
-    has reduced them to distinct values.
+    The category lists are configuration and have to reach the driver, so more than MAX_CATEGORIES
+    values are an error: such a column has no category list.
     """
+    wanted = found.filter(F.col("column").isin(list(columns)))
+    rows = wanted.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} values are no category list")
     values: dict[str, list[str]] = {c: [] for c in columns}
-    for row in found.filter(F.col("column").isin(list(columns))).orderBy("column", "value").toLocalIterator():
+    for row in sorted(rows):
         values[row["column"]].append(row["value"])
     return [Categories(d.column, tuple(values[d.column])) if d.column in values else d for d in domains]
 

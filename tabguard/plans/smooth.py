@@ -276,11 +276,12 @@ def posterior_ratio_two_part(
     names = [p.split()[0] for p in _TWO_PART_SCHEMA.split(", ")]
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        by_cell = group.set_index("DATA_CELL")
-        two, three, total = by_cell.loc[2], by_cell.loc[3], by_cell.loc[1]
-        mean = [two["COUNT_NOISY_NUM"], three["COUNT_NOISY_NUM"], total["COUNT_NOISY_DENOM"]]
-        var = [two["VARIANCE_NUM"], three["VARIANCE_NUM"], total["VARIANCE_DENOM"]]
-        rng = _rng(total["GEOID"], total["REGION_TYPE"], total["ITERATION_CODE"], least)
+        # A cell that is absent counts 0 without noise.
+        by_cell = group.set_index("DATA_CELL").reindex([1, 2, 3]).fillna(0.0)
+        wanted = [(2, "NUM"), (3, "NUM"), (1, "DENOM")]
+        mean = [float(by_cell.loc[c, f"COUNT_NOISY_{side}"]) for c, side in wanted]
+        var = [float(by_cell.loc[c, f"VARIANCE_{side}"]) for c, side in wanted]
+        rng = _rng(*group.iloc[0][_GROUP], least)
         sample = _gibbs_two_part(rng, mean, np.sqrt(var), least, most, draws)
         tops = {1: sample[:, 0] + sample[:, 1], 2: sample[:, 0], 3: sample[:, 1]}
         out = group.copy()
@@ -310,7 +311,7 @@ def posterior_ratio_one_part(
         for batch in batches:
             batch = batch.copy()
             batch["RATIO_PRED"] = batch["RATIO_PRED_LO"] = batch["RATIO_PRED_HI"] = np.nan
-            for i, row in batch.iterrows():
+            for i, row in batch.fillna(0.0).iterrows():
                 rng = _rng(row["GEOID"], row["REGION_TYPE"], row["ITERATION_CODE"], row["DATA_CELL"])
                 sample = _gibbs_one_part(
                     rng,

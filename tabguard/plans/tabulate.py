@@ -20,7 +20,8 @@ from tabguard.functions.samplers import add_noise
 from tabguard.operators.expand import (
     EVERYBODY,
     ITERATIONS,
-    iteration_codes,
+    ethnicity_letter,
+    race_letter,
     with_ancestors,
 )
 from tabguard.operators.limits import keep_first, keep_unique
@@ -72,66 +73,66 @@ def person_records(
     return people.join(keep_unique(units, ["MAFID"]), "MAFID")
 
 
-def _iterations(table: Table, strict: bool) -> Column:
-    if table.race is None:
-        return F.array(F.lit(EVERYBODY))
-    return iteration_codes(F.col(table.race), F.col(table.ethnicity), strict)
+def _profile_columns(tables: Sequence[Table], full: bool) -> dict[str, Column]:
+    """Iteration letters and leaf cells a record counts in: short scalar keys, cheap to group by."""
+    out: dict[str, Column] = {}
+    for t in tables:
+        if t.race is not None:
+            race, ethnicity = F.col(t.race), F.col(t.ethnicity)
+            out[f"race_{t.race}"] = race_letter(race, strict=not full)
+            out[f"ethnicity_{t.race}"] = ethnicity_letter(race, ethnicity)
+        if full:
+            leaf = first_match([*t.leaves, *t.fallbacks])
+            out[f"leaf_{t.name}"] = F.when(F.expr(t.exact_filter), leaf)
+        else:
+            out[f"leaf_{t.name}"] = first_match(t.leaves)
+    return out
 
 
-def _cells(table: Table, full: bool) -> Column:
-    """Leaf cell, or with ``full`` the array of leaf, subtotal and total."""
+def _entries(t: Table, full: bool) -> Column:
+    """Array of (table, iterations, cell) a profile counts in; empty without a leaf cell."""
+    leaf = F.col(f"leaf_{t.name}")
     if not full:
-        return F.array_compact(F.array(first_match(table.leaves)))
-    leaf = first_match([*table.leaves, *table.fallbacks])
-    if table.leaf_cells == [1]:
+        cells = F.array(leaf)
+    elif t.leaf_cells == [1]:
+        # A table without cells of its own repeats its count under the cells of its numerator.
         cells = F.array(F.lit(1), F.lit(2), F.lit(3))
     else:
-        cells = with_ancestors(leaf, table.parents, 1)
-    # A record that only reaches the total must not count there twice.
-    return F.when(leaf.isNotNull(), F.array_distinct(cells)).otherwise(F.array().cast("array<int>"))
-
-
-def _profile_columns(tables: Sequence[Table], strict: bool) -> dict[str, Column]:
-    out: dict[str, Column] = {}
-    for t in tables:
-        if t.race is not None:
-            out[f"it_{t.race}"] = _iterations(t, strict)
-    return out
+        # A record that only reaches the total must not count there twice.
+        cells = F.array_distinct(with_ancestors(leaf, t.parents, 1))
+    letters = [F.lit(EVERYBODY)]
+    if t.race is not None:
+        letters += [F.col(f"race_{t.race}"), F.col(f"ethnicity_{t.race}")]
+    iterations = F.array_compact(F.array(*letters))
+    listed = F.transform(
+        cells,
+        lambda cell: F.struct(
+            F.lit(t.name).alias("TABLE"), iterations.alias("its"), cell.alias("DATA_CELL")
+        ),
+    )
+    return F.when(leaf.isNotNull(), listed)
 
 
 def _count_profiles(
     records: DataFrame, tables: Sequence[Table], full: bool, amount: Column | None = None
 ) -> DataFrame:
     """Long-form counts of the tables that share these records."""
-    profile = _profile_columns(tables, strict=not full)
-    for t in tables:
-        cells = _cells(t, full)
-        if full:
-            cells = F.when(F.expr(t.exact_filter), cells).otherwise(F.array().cast("array<int>"))
-        profile[f"cells_{t.name}"] = cells
-    counted = records.select("STATE", *[c.alias(n) for n, c in profile.items()], *(
-        [] if amount is None else [amount.alias("__amount")]
-    ))
+    profile = _profile_columns(tables, full)
+    measured = [] if amount is None else [amount.alias("__amount")]
     total = F.count(F.lit(1)) if amount is None else F.sum("__amount")
-    groups = counted.groupBy("STATE", *profile).agg(total.alias("__n"))
-
-    def entries(t: Table) -> Column:
-        iterations = F.array(F.lit(EVERYBODY)) if t.race is None else F.col(f"it_{t.race}")
-        return F.transform(
-            F.col(f"cells_{t.name}"),
-            lambda cell: F.struct(F.lit(t.name).alias("TABLE"), iterations.alias("its"), cell.alias("DATA_CELL")),
-        )
-
-    listed = groups.select(
-        F.array(
-            F.struct(F.lit("USA").alias("REGION_TYPE"), F.lit("1").alias("REGION_ID")),
-            F.struct(F.lit("STATE").alias("REGION_TYPE"), F.col("STATE").alias("REGION_ID")),
-        ).alias("__regions"),
-        F.explode(F.concat(*[entries(t) for t in tables])).alias("e"),
-        "__n",
+    groups = (
+        records.select("STATE", *[c.alias(n) for n, c in profile.items()], *measured)
+        .groupBy("STATE", *profile)
+        .agg(total.alias("__n"))
+    )
+    regions = F.array(
+        F.struct(F.lit("USA").alias("REGION_TYPE"), F.lit("1").alias("REGION_ID")),
+        F.struct(F.lit("STATE").alias("REGION_TYPE"), F.col("STATE").alias("REGION_ID")),
     )
+    entries = F.flatten(F.array_compact(F.array(*[_entries(t, full) for t in tables])))
     spread = (
-        listed.select("e.TABLE", "e.DATA_CELL", F.explode("e.its").alias("ITERATION_CODE"), "__regions", "__n")
+        groups.select(regions.alias("__regions"), F.explode(entries).alias("e"), "__n")
+        .select("e.TABLE", "e.DATA_CELL", F.explode("e.its").alias("ITERATION_CODE"), "__regions", "__n")
         .select("TABLE", "DATA_CELL", "ITERATION_CODE", "__n", F.inline("__regions"))
     )
     return (
