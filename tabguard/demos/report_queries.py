@@ -172,9 +172,34 @@ def error_rows(spark, folder):
     return errors(spark, folder)
 
 
-@query("error_trials")
+def _cut_sql(tau):
+    return _CUT.replace("rn <= 3", f"rn <= {tau}")
+
+
+def _error_sql(cut):
+    return f"""SELECT {_KEYS}, abs(c."COUNT" - coalesce(t."COUNT", 0)) AS "ERROR"
+FROM ({cut}) c LEFT JOIN ({_TRUE}) t USING ({_KEYS})"""
+
+
+@query(
+    "error_trials",
+    f"""SELECT *, CAST(0 AS INTEGER) AS "TRIAL" FROM ({_error_sql(_cut_sql(3))})
+UNION ALL SELECT *, 1 FROM ({_error_sql(_cut_sql(2))})""",
+)
 def error_trials(spark, folder):
-    """Two noisy runs of one table against the truth."""
+    """Two runs with different truncation against the truth."""
+    known = truth(spark, folder, ["PH7"]).filter("DATA_CELL <> 3")
+    persons, units, geo = files(spark, folder)
+    runs = []
+    for tau in (3, 2):
+        counts = tab.leaf_counts(persons, units, geo, {**TAUS, "PH7": tau}, ["PH7"], DIGEST)
+        runs.append(report.error_rows(counts, known))
+    return report.error_trials(runs)
+
+
+@query("error_trials_noisy")
+def error_trials_noisy(spark, folder):
+    """Two noisy runs of one table against the truth; each run is materialised."""
     persons, units, geo = files(spark, folder)
     known = truth(spark, folder, ["PH7"])
     runs = []
@@ -374,9 +399,22 @@ def count_estimates(spark, folder):
     return smooth.posterior_count(tables, smooth.MARGINS["PH7"])
 
 
-@query("posterior_count_mean")
+# Mean of the truncated normal with the normal distribution function summed up by Simpson's rule.
+_LEAF_MEANS = f"""WITH l AS ({_leaf_sql('PH7', 'IN (2, 3, 4)')}), z AS (SELECT *, n / sqrt(30.0::DOUBLE) AS a FROM l),
+p AS (SELECT *, exp(-a * a / 2) / sqrt(2 * pi()) AS phi, CASE WHEN a > 9 THEN 1.0::DOUBLE ELSE 0.5 + a / 1200 / sqrt(2 * pi()) * list_sum(
+  list_transform(range(0, 401), lambda i: CASE WHEN i IN (0, 400) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-(a * i / 400) * (a * i / 400) / 2))) END AS tail FROM z),
+m AS (SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell, n, CASE WHEN a > 38 THEN n ELSE round(n + phi / tail * sqrt(30.0::DOUBLE)) END AS pred FROM p)"""
+
+
+@query(
+    "posterior_count_mean",
+    _LEAF_MEANS
+    + """ SELECT lpad("REGION_ID", 2, '0') AS "GEOID", "REGION_TYPE", "ITERATION_CODE", CAST(cell AS INTEGER) AS "DATA_CELL", CAST(n AS DOUBLE) AS "COUNT_NOISY", CAST(pred AS DOUBLE) AS "PRED" FROM m
+UNION ALL SELECT lpad("REGION_ID", 2, '0'), "REGION_TYPE", "ITERATION_CODE", 1, CAST(sum(n) AS DOUBLE), CAST(sum(pred) AS DOUBLE) FROM m GROUP BY ALL""",
+)
 def posterior_count_mean(spark, folder):
-    return count_estimates(spark, folder).select("GEOID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "COUNT_NOISY", "PRED")
+    out = count_estimates(spark, folder)
+    return out.select("GEOID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "COUNT_NOISY", "PRED")
 
 
 @query("posterior_count_interval")

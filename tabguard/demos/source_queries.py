@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabguard.demos.registry import derived, oracle_text, query, table
+from tabguard.demos.registry import ORACLES, derived, oracle_text, query, table
+from tabguard.demos.report_queries import errors, leaves
 from tabguard.demos.standin import DIGEST, files
-from tabguard.demos.tab_queries import TAUS, budgets
-from tabguard.plans import report
+from tabguard.demos.tab_queries import TAUS, budgets, person_oracle
+from tabguard.plans import report, smooth
 from tabguard.plans import tabulate as tab
 from tabguard.runtime import materialise, scratch_path
 from tabguard.sources import households, sinks, synth, text
@@ -357,31 +358,75 @@ def synthesize_from_schema(spark, folder):
     )
 
 
-@query("sink_tabulations")
+_WRITTEN = """SELECT '{0}' AS "TABLE", "REGION_ID", "REGION_TYPE", cell AS "DATA_CELL", "COUNT", 0.0::DOUBLE AS "VARIANCE" FROM ({1})"""
+
+
+@query(
+    "sink_tabulations",
+    " UNION ALL ".join(_WRITTEN.format(n, person_oracle(n, False, "cell")) for n in ("PH2", "PH7")),
+)
 def sink_tabulations(spark, folder):
+    """Two tables at infinite budget, written and read back."""
     persons, units, geo = files(spark, folder)
-    answers = materialise(tab.private_tabulations(persons, units, geo, TAUS, budgets(1, ["PH2", "PH7"]), "pure", DIGEST))
+    plan = budgets(float("inf"), ["PH2", "PH7"])
+    answers = materialise(tab.private_tabulations(persons, units, geo, TAUS, plan, "pure", DIGEST))
     path = scratch_path(spark, "tables")
     sinks.sink_tabulations(answers, path)
-    both = [spark.read.csv(f"{path}/{n}", header=True, sep="|").select("REGION_ID", "COUNT", "VARIANCE") for n in ("PH2", "PH7")]
-    return both[0].unionByName(both[1])
+    out = None
+    for n in ("PH2", "PH7"):
+        back = spark.read.csv(f"{path}/{n}", header=True, sep="|")
+        rows = back.select(
+            F.lit(n).alias("TABLE"),
+            "REGION_ID",
+            "REGION_TYPE",
+            F.col(f"{n}_DATA_CELL").cast("int").alias("DATA_CELL"),
+            F.col("COUNT").cast("long").alias("COUNT"),
+            F.col("VARIANCE").cast("double").alias("VARIANCE"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-@query("sink_error_report")
+_REPORT = ORACLES["error_percentile"]
+
+
+@query(
+    "sink_error_report",
+    f"""SELECT "TABLE", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "EXPERIMENTAL_MOE", "COUNT",
+round(8 * ln(20 / (1 + exp(1 / 8.0::DOUBLE))), 1) AS "EXPECTED_MOE" FROM ({_REPORT})""",
+)
 def sink_error_report(spark, folder):
-    persons, units, geo = files(spark, folder)
-    truth = tab.exact_tabulations(persons, units, geo, ["PH7"])
-    cut = tab.leaf_counts(persons, units, geo, TAUS, ["PH7"], DIGEST)
-    summary = report.error_percentile(report.error_rows(cut, truth))
+    summary = report.error_percentile(errors(spark, folder))
     path = scratch_path(spark, "report")
     sinks.sink_error_report(report.error_expected_moe(summary, budgets(1), TAUS, "pure"), path)
-    return spark.read.csv(path, header=True, sep="|")
+    schema = (
+        "TABLE string, REGION_TYPE string, ITERATION_CODE string, DATA_CELL int, EXPERIMENTAL_MOE double, "
+        "COUNT long, EXPECTED_MOE double"
+    )
+    back = spark.read.csv(path, header=True, sep="|", schema=_in_file_order(spark, path, schema))
+    return back.withColumn("EXPERIMENTAL_MOE", F.round("EXPERIMENTAL_MOE", 6))
 
 
-@query("sink_estimates")
-def sink_estimates(spark, folder):
-    from tabguard.demos.report_queries import count_estimates
+def _in_file_order(spark, path, schema):
+    """The schema with its columns in the order of the file's header."""
+    kinds = dict(part.split(" ") for part in schema.split(", "))
+    names = spark.read.csv(path, header=True, sep="|").columns
+    return ", ".join(f"{n} {kinds[n]}" for n in names)
 
+
+@query("sink_estimates", ORACLES["marginal_cells"].replace('round(1.6448536269514722 * sqrt(v), 6) AS "MOE_NOISY"', "'PH3' AS \"TABLE\""))
+def sink_estimates(spark, folder):
+    """Cells with their margins, written per table and region level and read back."""
+    cells = smooth.marginal_cells(leaves(spark, folder, "PH3"), smooth.MARGINS["PH3"]).drop("MOE_NOISY")
     path = scratch_path(spark, "estimates")
-    sinks.sink_estimates(count_estimates(spark, folder).withColumn("TABLE", F.lit("PH7")), path)
-    return spark.read.csv(path, header=True, sep="|")
+    sinks.sink_estimates(cells.withColumn("TABLE", F.lit("PH3")), path)
+    back = spark.read.csv(path, header=True, sep="|")
+    return back.select(
+        "TABLE",
+        "GEOID",
+        "REGION_TYPE",
+        "ITERATION_CODE",
+        F.col("DATA_CELL").cast("int").alias("DATA_CELL"),
+        F.col("COUNT_NOISY").cast("long").alias("COUNT_NOISY"),
+        F.col("VARIANCE").cast("double").alias("VARIANCE"),
+    )
