@@ -144,8 +144,9 @@ def _secure_uniform(like: pd.Series) -> pd.Series:
     return pd.Series((raw.astype(np.float64) + 0.5) / 2.0**53)
 
 
-def uniform_draw(per_row: Column, seed: int | None = None) -> Column:
+def uniform_draw(seed: int | None = None) -> Column:
     """Uniform number in (0, 1), one per row, from operating-system entropy (seeded in tests)."""
     if seed is not None:
-        return (F.rand(seed) + F.lit(2.0**-54)).cast("double")
-    return _secure_uniform.asNondeterministic()(per_row.cast("string"))
+        return F.rand(seed) + F.lit(2.0**-54)
+    # The argument only gives the function its number of rows.
+    return _secure_uniform.asNondeterministic()(F.lit(0).cast("byte"))

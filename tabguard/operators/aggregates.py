@@ -218,23 +218,19 @@ def quantile_gaps(df: DataFrame, keys: Keys, column: str, q: float, low, high) -
     data = data.withColumn("__v", F.col("__v").cast("double"))
     names = keys.columns
     ranks = grouped_ranks(data, names, "__v")
-    inner = ranks.select(
-        *names,
+    below = F.struct(
         F.coalesce("previous", F.lit(float(low))).alias("lo"),
         F.col("value").alias("hi"),
-        F.col("before").alias("__rank"),
-        "total",
+        F.col("before").alias("rank"),
     )
-    last = ranks.groupBy(*names).agg(
-        F.max("value").alias("lo"),
-        F.lit(float(high)).alias("hi"),
-        F.max("total").alias("__rank"),
-        F.max("total").alias("total"),
+    above = F.struct(
+        F.col("value").alias("lo"), F.lit(float(high)).alias("hi"), F.col("total").alias("rank")
     )
-    if not names:
-        last = last.filter(F.col("lo").isNotNull())
-    score = -F.abs(F.col("__rank") - F.lit(float(q)) * F.col("total"))
-    gaps = inner.unionByName(last).filter(F.col("hi") > F.col("lo"))
+    # Every value closes the interval below it; the largest value opens the last one too.
+    largest = F.col("before") + F.col("n") == F.col("total")
+    intervals = F.when(largest, F.array(below, above)).otherwise(F.array(below))
+    gaps = ranks.select(*names, "total", F.inline(intervals)).filter(F.col("hi") > F.col("lo"))
+    score = -F.abs(F.col("rank") - F.lit(float(q)) * F.col("total"))
     return gaps.select(*names, "lo", "hi", score.alias("score"))
 
 
@@ -260,20 +256,21 @@ def agg_quantile(
         raise ValueError("a quantile lies between 0 and 1")
     name = name or f"{column}_quantile({q})"
     gaps = quantile_gaps(df, keys, column, q, low, high)
-    if epsilon is None:
-        appeal = F.struct(F.col("score"), -F.col("lo"))
-    else:
-        gumbel = -F.log(-F.log(uniform_draw(F.col("lo"), seed)))
-        gaps = gaps.withColumn(
-            "__w",
-            F.col("score") * F.lit(epsilon / (2 * rows)) + F.log(F.col("hi") - F.col("lo")) + gumbel,
-        )
-        appeal = F.col("__w")
-    best = gaps.groupBy(*keys.columns).agg(F.max_by(F.struct("lo", "hi"), appeal).alias("__best"))
-    whole = F.struct(F.lit(float(low)).alias("lo"), F.lit(float(high)).alias("hi"))
-    chosen = over_keys(keys, best, {"__best": whole})
-    place = uniform_draw(F.col("__best.lo"), seed)
-    answer = F.col("__best.lo") + place * (F.col("__best.hi") - F.col("__best.lo"))
+    appeal = F.col("score")
+    if epsilon is not None:
+        gumbel = -F.log(-F.log(uniform_draw(seed)))
+        length = F.log(F.col("hi") - F.col("lo"))
+        appeal = appeal * F.lit(epsilon / (2 * rows)) + length + gumbel
+    # Two numbers instead of one struct keep this a hash aggregate. Both see the same rows in the same
+    # order, so they always name the same interval.
+    best = (
+        gaps.withColumn("__w", appeal)
+        .groupBy(*keys.columns)
+        .agg(F.max_by("lo", "__w").alias("__lo"), F.max_by("hi", "__w").alias("__hi"))
+    )
+    whole = {"__lo": F.lit(float(low)), "__hi": F.lit(float(high))}
+    chosen = over_keys(keys, best, whole)
+    answer = F.col("__lo") + uniform_draw(seed) * (F.col("__hi") - F.col("__lo"))
     return chosen.select(*keys.columns, answer.alias(name))
 
 
