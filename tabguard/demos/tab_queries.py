@@ -199,12 +199,40 @@ def ph8_num(spark, folder):
 def all_noisy(spark, folder):
     """All tables under a concentrated budget in one pass, the two derived ones included."""
     persons, units, geo = files(spark, folder)
-    answers = materialise(
-        tab.private_tabulations(persons, units, geo, TAUS, budgets("0.5"), "concentrated", DIGEST)
-    )
+    with tab.shared_units(units, geo) as unit_geo:
+        answers = materialise(
+            tab.private_tabulations(
+                persons, units, geo, TAUS, budgets("0.5"), "concentrated", DIGEST, unit_geo=unit_geo
+            )
+        )
     return answers.unionByName(tab.derive_tables(answers))
 
 
+def _all_exact_oracle() -> str:
+    """True counts of every table, stacked in long form."""
+    parts = []
+    for n, t in TABLES.items():
+        if n == "PH8_num":
+            sql, cell = ph8_num_exact_oracle(), f'"{t.cell}"'
+        elif t.of_units:
+            sql, cell = unit_oracle(n, True), f'"{t.cell}"'
+        else:
+            sql, cell = person_oracle("PH4" if n == "PH5_num" else n, True, "cell"), "cell"
+        it = '"ITERATION_CODE"' if t.race else "'*'"
+        parts.append(
+            f"""SELECT '{n}' AS "TABLE", "REGION_ID", "REGION_TYPE", {it} AS "ITERATION_CODE", {cell} AS "DATA_CELL", "COUNT" FROM ({sql})"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("tab_all_exact", _all_exact_oracle())
+def all_exact(spark, folder):
+    """True counts of all tables in one pass."""
+    persons, units, geo = files(spark, folder)
+    with tab.shared_units(units, geo) as unit_geo:
+        return materialise(tab.exact_tabulations(persons, units, geo, unit_geo=unit_geo))
+
+
 @query(
     "stack_answers",
     """SELECT CAST(count(*) AS BIGINT) AS "COUNT", '1' AS "REGION_ID", 'USA' AS "REGION_TYPE" FROM customer

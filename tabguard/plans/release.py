@@ -150,16 +150,19 @@ def publish_private(
     folder: str | None = None,
 ) -> DataFrame:
     """Noisy tables in long form, drawn once; written per table when a folder is given."""
-    counted = materialise(
-        tabulate.private_tabulations(
-            tables["persons"],
-            tables["units"],
-            prepare_geo(tables["geo"]),
-            taus,
-            budgets,
-            definition,
+    geo = prepare_geo(tables["geo"])
+    with tabulate.shared_units(tables["units"], geo) as unit_geo:
+        counted = materialise(
+            tabulate.private_tabulations(
+                tables["persons"],
+                tables["units"],
+                geo,
+                taus,
+                budgets,
+                definition,
+                unit_geo=unit_geo,
+            )
         )
-    )
     answers = counted.unionByName(tabulate.derive_tables(counted))
     if folder is not None:
         sink_tabulations(answers, folder)
@@ -168,10 +171,13 @@ def publish_private(
 
 def publish_exact(tables: Mapping[str, DataFrame], folder: str | None = None) -> DataFrame:
     """True tables in long form; written per table when a folder is given."""
-    answers = tabulate.exact_tabulations(
-        tables["persons"], tables["units"], prepare_geo(tables["geo"])
-    )
+    geo = prepare_geo(tables["geo"])
+    with tabulate.shared_units(tables["units"], geo) as unit_geo:
+        answers = materialise(
+            tabulate.exact_tabulations(
+                tables["persons"], tables["units"], geo, unit_geo=unit_geo
+            )
+        )
     if folder is not None:
-        answers = materialise(answers)
         sink_tabulations(answers, folder)
     return answers

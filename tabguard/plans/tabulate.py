@@ -8,7 +8,8 @@ profiles are expanded to regions, iterations and cells, so the expansion costs n
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
@@ -51,6 +52,20 @@ def unit_records(units: DataFrame, geo: DataFrame) -> DataFrame:
     return units.withColumnRenamed("RTYPE", "RTYPE_UNIT").join(geo.select("MAFID", "STATE"), "MAFID")
 
 
+@contextmanager
+def shared_units(units: DataFrame, geo: DataFrame) -> Iterator[DataFrame]:
+    """Unit records kept in memory or on disk while several tables are answered from them.
+
+    Each table prunes other columns, so without this every one would join units and geography again.
+    Materialise the answers before leaving the context.
+    """
+    kept = unit_records(units, geo).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def person_records(
     persons: DataFrame,
     unit_geo: DataFrame,
@@ -147,14 +162,18 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def exact_tabulations(
-    persons: DataFrame, units: DataFrame, geo: DataFrame, names: Sequence[str] | None = None
+    persons: DataFrame,
+    units: DataFrame,
+    geo: DataFrame,
+    names: Sequence[str] | None = None,
+    unit_geo: DataFrame | None = None,
 ) -> DataFrame:
     """True counts in long form, subtotals and totals included, empty groups absent.
 
-    ``geo`` is the prepared geography.
+    ``geo`` is the prepared geography, ``unit_geo`` the records of ``shared_units`` if kept.
     """
     wanted = [TABLES[n] for n in (names or TABLES)]
-    unit_geo = unit_records(units, geo)
+    unit_geo = unit_records(units, geo) if unit_geo is None else unit_geo
     frames = []
     for universe in PERSON_UNIVERSES:
         tables = [t for t in wanted if t.universe == universe]
@@ -187,10 +206,11 @@ def leaf_counts(
     taus: Mapping[str, int],
     names: Sequence[str] | None = None,
     digest_columns: Sequence[str] | None = None,
+    unit_geo: DataFrame | None = None,
 ) -> DataFrame:
     """Truncated leaf counts in long form for the counted tables, before keys and noise."""
     wanted = [TABLES[n] for n in (names or COUNTED)]
-    unit_geo = unit_records(units, geo)
+    unit_geo = unit_records(units, geo) if unit_geo is None else unit_geo
     frames = []
     shared: dict[tuple, list[Table]] = {}
     for t in wanted:
@@ -266,6 +286,7 @@ def private_tabulations(
     definition: str,
     digest_columns: Sequence[str] | None = None,
     seed: int | None = None,
+    unit_geo: DataFrame | None = None,
 ) -> DataFrame:
     """Noisy leaf counts of all tables in long form, with NOISE_DISTRIBUTION and VARIANCE.
 
@@ -280,7 +301,7 @@ def private_tabulations(
 
     regions = keys_region_domain(geo, "MAFID", ["USA", "STATE"])
     keys = key_rows(regions, budget_rows(spark, budgets, taus, definition))
-    counts = leaf_counts(persons, units, geo, taus, names, digest_columns)
+    counts = leaf_counts(persons, units, geo, taus, names, digest_columns, unit_geo)
     on = ["TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"]
     filled = keys.join(counts, on, "left").withColumn("COUNT", F.coalesce("COUNT", F.lit(0)))
     mechanism = "geometric" if definition == "pure" else "discrete_gaussian"
