@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabguard.functions.nullkeys import with_match_keys
+
 BUCKETS = 200
 
 
@@ -45,18 +47,21 @@ def grouped_ranks(
     by_key = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
     earlier = by_key.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        *[F.col(n).alias(f"{n}_o") for n in names],
+        *names,
         F.col("__b").alias("__b_o"),
         F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__shift"),
         F.max("__last").over(earlier).alias("__last_before"),
         F.sum("__rows").over(by_key).alias("total"),
     )
+    # Join and window use the same match columns, so the rows are exchanged once for both.
+    left, left_keys = with_match_keys(bucketed, offsets, names, "__l")
+    right, right_keys = with_match_keys(offsets, bucketed, names, "__r")
     condition = F.col("__b") == F.col("__b_o")
-    for n in names:
-        condition = condition & F.col(n).eqNullSafe(F.col(f"{n}_o"))
-    joined = bucketed.join(offsets, condition)
+    for a, b in zip(left_keys, right_keys):
+        condition = condition & (F.col(a) == F.col(b))
+    joined = left.join(right.drop(*names), condition)
 
-    inside = Window.partitionBy(*names, "__b").orderBy("value")
+    inside = Window.partitionBy("__b", *left_keys).orderBy("value")
     running = inside.rowsBetween(Window.unboundedPreceding, -1)
     return joined.select(
         *[F.col(n).alias(k) for k, n in zip(keys, names)],
