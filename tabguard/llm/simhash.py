@@ -55,16 +55,16 @@ def text_fingerprint(text: bytes | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint as a signed long. Null texts count as empty."""
+    """Rows (doc_id, text_hash, fp): the fingerprint as a signed long. Null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             values = np.fromiter((text_fingerprint(t.as_py(), words) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(values.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    source = keyed(docs, doc_id=id_col, text=text_col)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fp long")
+    source = keyed(docs, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def _syndromes() -> np.ndarray:
@@ -203,6 +203,17 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 3, cell: int = CE
     return ordered.mapInArrow(_links(max_bits), "a long, b long")
 
 
+def _components_of(prints: DataFrame, max_bits: int, cell: int) -> DataFrame:
+    """(fp, component_id, best): of each distinct fingerprint's component the smallest id, and the row that stands
+    for it (ids before null, then the smallest text hash)."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best")
+    classes = prints.groupBy("fp").agg(first)
+    roots = components(fingerprint_links(classes, max_bits, cell))
+    placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
+    least = placed.groupBy("root").agg(F.min("best").alias("best"))
+    return placed.drop("best").join(least, "root").select("fp", F.col("best.doc_id").alias("component_id"), "best")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 3, cell: int = CELL
 ) -> DataFrame:
@@ -213,25 +224,18 @@ def near_duplicates(
     null if that has none. Other columns of the input are ignored. An empty input gives an empty result.
     """
     prints = saved(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(fingerprint_links(classes, max_bits, cell))
-    placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = placed.join(least, "root").select("fp", "component_id")
-    named = prints.join(by_print, "fp")
+    named = prints.join(_components_of(prints, max_bits, cell), "fp")
     return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the component's smallest; of rows that repeat that id one stays.
-
-    Rows with a null id stay only if their component has no id at all.
-    """
-    found = near_duplicates(docs, id_col, text_col)
-    key = "component_key__"
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    rows = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_semi")
-    named = rows.where(F.col(f"`{id_col}`").isNotNull())
-    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.xxhash64(F.col(f"`{text_col}`")))
-    once = named.withColumn(key, F.row_number().over(order)).where(F.col(key) == 1).drop(key)
-    return once.unionByName(rows.where(F.col(f"`{id_col}`").isNull()))
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3, cell: int = CELL) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: that with the smallest id; of several such rows, or in a
+    component without ids, that with the smallest hash of its text; of rows equal in both any one."""
+    prints = saved(fingerprints(docs, id_col, text_col), "fingerprints")
+    kept = _components_of(prints, max_bits, cell).select(F.col("best.doc_id").alias("id__"), F.col("best.text_hash").alias("hash__")).distinct()
+    own_id, own_hash = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
+    rows = docs.withColumn("text_hash__", own_hash)
+    rows = rows.join(kept, own_id.eqNullSafe(F.col("id__")) & (F.col("text_hash__") == F.col("hash__")), "left_semi")
+    equal = Window.partitionBy(own_id, "text_hash__").orderBy("text_hash__")
+    once = rows.withColumn("place__", F.row_number().over(equal)).where(F.col("place__") == 1)
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
