@@ -132,7 +132,7 @@ def held_out(id_col: str) -> Column:
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """Sparse counts (lang, draw, places, counts) per row of (lang, draw, text)."""
+    """Sparse counts per row of (lang, draw, text): places (16 bits each) and counts (32 bits) as packed bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,14 +140,14 @@ def _counted(docs: DataFrame) -> DataFrame:
             for text in batch.column(2):
                 c = ngram_counts(text.as_py())
                 nz = np.flatnonzero(c)
-                places.append(nz.astype(np.int32))
-                counts.append(c[nz])
+                places.append(nz.astype("<u2").tobytes())
+                counts.append(np.minimum(c[nz], 2**32 - 1).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(1), pa.array(places, pa.binary()), pa.array(counts, pa.binary())],
                 ["lang", "draw", "places", "counts"],
             )
 
-    return docs.select("lang", "draw", "text").mapInArrow(run, "lang string, draw double, places array<int>, counts array<long>")
+    return docs.select("lang", "draw", "text").mapInArrow(run, "lang string, draw double, places binary, counts binary")
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -188,13 +188,15 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     )
     draw = (F.xxhash64("doc_id", "text") / F.lit(2.0**64) + F.lit(0.5)).alias("draw")
     drawn = rows.select("lang", draw, "text").join(F.broadcast(shares), "lang").where(F.col("draw") < F.col("share"))
-    sample = sorted(_counted(drawn).collect(), key=lambda r: r.draw)  # bounded by sample_per_language and FEATURES
     number = {k: i for i, k in enumerate(languages)}
     vectors = []
-    for r in sample:
+    sample = _counted(drawn).collect()  # bounded by sample_per_language and FEATURES
+    for r in sorted(sample, key=lambda r: (r.draw, bytes(r.places), bytes(r.counts))):
         counts = np.zeros(FEATURES, np.int64)
-        counts[np.array(r.places, np.int64)] = r.counts
-        vectors.append((*sparse_weights(counts, idf), number[r.lang]))
+        counts[np.frombuffer(r.places, "<u2").astype(np.int64)] = np.frombuffer(r.counts, "<u4")
+        place, value = sparse_weights(counts, idf)
+        vectors.append((place.astype(np.uint16), value.astype(np.float32), number[r.lang]))
+    del sample
     aside = max(1, round(1 / settings.calibration_share))
     kept = vectors[::aside] if len(vectors) >= 5 * aside else []
     used = [v for i, v in enumerate(vectors) if i % aside] if kept else vectors
@@ -203,7 +205,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     for _ in range(settings.epochs):
         for i in order.permutation(len(used)):
             place, value, target = used[i]
-            learner.learn(np.append(place, FEATURES), np.append(value, 1.0), target)  # the last feature is the bias
+            learner.learn(np.append(place.astype(np.int64), FEATURES), np.append(value, 1.0), target)  # the last feature is the bias
     w = learner.weights(slice(None))
     scores = np.array([v @ w[p] + w[FEATURES] for p, v, _ in kept]).reshape(len(kept), len(languages))
     temperature = fit_temperature(scores, np.array([t for _, _, t in kept], np.int64))
