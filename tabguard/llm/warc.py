@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabguard.llm.common import keyed, saved
+from tabguard.llm.common import keyed, parallelism, saved
 from tabguard.runtime import scratch_path
 
 #: Payloads below this many bytes are never deduplicated.
@@ -255,7 +255,8 @@ def read_records(selected: DataFrame, with_payload: bool = True) -> DataFrame:
             yield from read_file(file, spans)
 
     segment = F.floor(F.col("offset") / SEGMENT)
-    ordered = selected.select("file", "offset", "length").repartition("file", segment).sortWithinPartitions("file", "offset")
+    ordered = selected.select("file", "offset", "length").repartition(parallelism(selected.sparkSession), "file", segment)
+    ordered = ordered.sortWithinPartitions("file", "offset")
     types = {"int64": "long", "string": "string", "binary": "binary"}
     return ordered.mapInArrow(run, ", ".join(f"{f.name} {types[str(f.type)]}" for f in schema))
 
