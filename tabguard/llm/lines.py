@@ -117,6 +117,7 @@ def seen_twice(docs: DataFrame, least: int) -> bytes:
                 filters.add(np.concatenate(waiting))
         for row in filters.segments():
             yield _filter_rows([row])
+        pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, once, twice = None, None, None

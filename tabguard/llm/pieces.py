@@ -25,8 +25,8 @@ from tabguard.llm.common import keyed
 
 MARK = "▁"
 #: Entries of a worker's tables; of parts there are two, of which the older is forgotten.
-PARTS_KEPT = 250_000
-PAIRS_KEPT = 600_000
+PARTS_KEPT = 100_000
+PAIRS_KEPT = 250_000
 #: Parts longer than this are not remembered.
 _LONG_PART = 64
 
@@ -289,6 +289,8 @@ def token_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        known.aged = {}  # workers outlive a task and may serve other stages next
+        pa.default_memory_pool().release_unused()
 
     source = keyed(docs, doc_id=id_col, text=text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
