@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabguard.llm.common import keyed, saved
@@ -19,6 +19,8 @@ DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
 #: Cells up to this number are broadcast to the documents, more are joined by a shuffle.
 BROADCAST_CELLS = 50_000
+#: Rounds of raking in one job, after which the fit is looked at.
+ROUNDS_AT_ONCE = 5
 #: Powers that flatten the present token shares into targets.
 FLATTENED = {"source": 0.9, "lang": 0.9, "topic": 0.95}
 _BLANK = r"\x20\x09-\x0D"
@@ -61,33 +63,33 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 10, t
     """Cells (source, lang, topic, tokens) with a weight each, in tokens, whose marginals have the target shares.
 
     Values without a target get weight zero; targets of values without tokens are spread over the others. Stops
-    after ``rounds`` or when no factor of a round differs from one by more than ``tolerance``.
+    after ``rounds`` or when no factor of a round differs from one by more than ``tolerance``. The sums run over
+    cells, never over documents.
     """
-    used = {}
+    now = cells.where("tokens > 0").withColumns({"weight": F.col("tokens").cast("double"), "off": F.lit(0.0)})
     for d in DIMENSIONS:  # targets of the values that occur, in tokens
         here = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("t")).where("t > 0")
-        shares = here.join(targets[d], "value").select("value", "share", "t")
-        total = F.broadcast(shares.agg(F.sum("share").alias("all")).crossJoin(here.agg(F.sum("t").alias("tokens"))))
-        used[d] = saved(shares.crossJoin(total).select(F.col("value").alias(d), (F.col("share") / F.col("all") * F.col("tokens")).alias("target")), f"target-{d}")
-    now = cells.where("tokens > 0").withColumns({"weight": F.col("tokens").cast("double"), "off": F.lit(0.0)})
+        shares = here.join(targets[d], "value").select("value", "share")
+        total = shares.agg(F.sum("share").alias("all")).crossJoin(here.agg(F.sum("t").alias("tokens")))
+        wanted = shares.crossJoin(F.broadcast(total)).select(F.col("value").alias(d), (F.col("share") / F.col("all") * F.col("tokens")).alias(f"target_{d}"))
+        now = now.join(wanted, d, "left")
     now = saved(now, "raked")
-    for _ in range(rounds):
+    done = 0
+    while done < rounds:
         step = now.withColumn("off", F.lit(0.0))
-        for d in DIMENSIONS:
-            sums = step.groupBy(d).agg(F.sum("weight").alias("have"))
-            factor = F.when(F.col("have") > 0, F.coalesce("target", F.lit(0.0)) / F.col("have")).otherwise(0.0)
-            factors = sums.join(used[d], d, "left").select(d, factor.alias("factor"))
-            step = step.join(factors, d).withColumns(
-                {
-                    "weight": F.col("weight") * F.col("factor"),
-                    "off": F.greatest("off", F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)),
-                }
-            ).select(*DIMENSIONS, "tokens", "weight", "off")
+        for _ in range(min(ROUNDS_AT_ONCE, rounds - done)):
+            step = step.withColumn("off", F.lit(0.0))
+            for d in DIMENSIONS:
+                have = F.sum("weight").over(Window.partitionBy(d))
+                factor = F.when(have > 0, F.coalesce(f"target_{d}", F.lit(0.0)) / have).otherwise(0.0)
+                off = F.greatest("off", F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0))
+                step = step.withColumn("factor", factor).withColumns({"off": off, "weight": F.col("weight") * F.col("factor")}).drop("factor")
+            done += 1
         now = saved(step, "raked")
         worst = now.agg(F.max("off").alias("off")).first().off
         if worst is None or worst <= tolerance:
             break
-    return now.drop("off")
+    return now.select(*DIMENSIONS, "tokens", "weight")
 
 
 def keep_probabilities(cells: DataFrame) -> DataFrame:
