@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGER = r"^[+-]?0*\d{1,18}\z"
+_INTEGER = r"^[+-]?0*\d{1,19}\z"
+_LEAST, _MOST = str(-(2**63)), str(2**63 - 1)
 _DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\z"
 
 
 def long_or_null(text: Column) -> Column:
-    """Integer of up to 18 significant digits behind blanks; null for any other text."""
+    """Integer between blanks; null for any other text and for integers that a long cannot hold."""
     trimmed = F.trim(text)
-    return F.when(trimmed.rlike(_INTEGER), trimmed.cast("long"))
+    wide = F.when(trimmed.rlike(_INTEGER), trimmed.cast("decimal(20,0)"))
+    return F.when(wide.between(F.lit(_LEAST).cast("decimal(20,0)"), F.lit(_MOST).cast("decimal(20,0)")), wide.cast("long"))
 
 
 def number_or_null(text: Column, data_type: str) -> Column:

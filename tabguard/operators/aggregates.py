@@ -135,10 +135,15 @@ def agg_sum(df: DataFrame, keys: Keys, column: str, low, high, name: str | None
     return Measure(frame, tuple(keys.columns), (Part(name, unit, integer),), lambda d: d)
 
 
+#: Integer terms up to this size are summed as longs, which holds for 2**31 rows of a key; wider ones as doubles.
+WIDEST_EXACT = 2**32
+
+
 def _moments(df, keys, column, low, high, squares: bool):
     data, integer = _prepared(df, keys, column, low, high)
     mid = _midpoint(low, high, integer)
     reach = max(abs(Fraction(str(low)) - mid), abs(Fraction(str(high)) - mid))
+    integer = integer and (reach * reach if squares else reach) <= WIDEST_EXACT
     deviation = F.col("__v") - _lit(mid, integer)
     kind = "long" if integer else "double"
     sums = [F.sum(deviation).alias("__dev"), F.count(F.lit(1)).alias("__n")]

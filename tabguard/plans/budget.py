@@ -79,6 +79,11 @@ class Concentrated:
 Budget = Pure | Approximate | Concentrated
 
 
+def share(budget: Budget, n: int) -> Budget:
+    """An n-th of a budget; infinite amounts stay infinite."""
+    return type(budget)(*[a / n for a in budget.amounts])
+
+
 def is_infinite(budget: Budget) -> bool:
     return budget.amounts[0] == math.inf
 

@@ -18,7 +18,7 @@ from tabguard.operators import aggregates as agg
 from tabguard.operators import cleaning, expand, joins, limits
 from tabguard.operators.keys import Keys
 from tabguard.operators.noise import Bound, noise_plan, release, select_groups_private
-from tabguard.plans.budget import Approximate, Budget, Concentrated, Ledger, Pure, is_infinite
+from tabguard.plans.budget import Approximate, Budget, Concentrated, Ledger, Pure, is_infinite, share
 from tabguard.runtime import materialise
 
 
@@ -489,8 +489,18 @@ class Account:
     def partition(
         self, table: Protected, column: str, splits: Mapping[str, Any], budget: Budget
     ) -> dict[str, Account]:
-        """One account per listed value of ``column``; together they cost ``budget`` once."""
-        granted = self.ledger.spend(budget)
+        """One account per listed value of ``column``; together they cost ``budget`` once.
+
+        Rows of one identifier may lie in several parts, whose losses add up. A table with an identifier
+        therefore needs an enforced ``max_groups_per_id(column, n)``, and each part gets an n-th of the budget.
+        """
+        n = 1
+        if isinstance(table.change, RowsWithId):
+            bounds = [x.n for x in table.limits if x.kind == "groups" and x.column == column]
+            if not bounds:
+                raise ValueError(f"enforce max_groups_per_id({column!r}, n) before splitting by {column}")
+            n = min(bounds)
+        granted = share(self.ledger.spend(budget), n)
         parts = {}
         for name, part in partition_by_value(table.df, column, splits).items():
             child = Account(granted)

@@ -10,23 +10,17 @@ from pyspark.sql import functions as F
 
 from tabguard.functions.domains import Categories
 from tabguard.operators.joins import anti_join_keys
-from tabguard.operators.limits import keep_first
 from tabguard.operators.noise import noise_variance
 
-LISTED_VALUES = 1000
-"""How many bad values of a column a report lists; ``n_values`` always has the full number."""
-
-
 MAX_CATEGORIES = 100_000
 """Most values that may become category lists."""
 
 
-def dq_values(df: DataFrame, domains: Sequence[Any], listed: int | None = LISTED_VALUES) -> DataFrame:
+def dq_values(df: DataFrame, domains: Sequence[Any]) -> DataFrame:
     """Distinct values outside their column's domain, all columns in one pass.
 
     Columns: ``column``, ``value`` (as text), ``n_rows`` with that value, ``n_values`` bad values of the
-    column in all. Like the report it feeds, it lists the first ``listed`` values of a column; pass
-    None to list all of them.
+    column in all.
     """
     failing = F.array_compact(
         F.array(
@@ -43,8 +37,6 @@ def dq_values(df: DataFrame, domains: Sequence[Any], listed: int | None = LISTED
     )
     bad = df.select(F.inline(failing)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
     sizes = bad.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-    if listed is not None:
-        bad = keep_first(bad, ["column"], listed, [F.col("value").asc_nulls_first()])
     return bad.join(sizes, "column")
 
 

@@ -94,6 +94,18 @@ def bad_pipe_lines(lines: DataFrame, n_fields: int) -> DataFrame:
     return sized.filter(F.col("n_fields") != n_fields)
 
 
+def broken_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """Lines (column ``value``) that ``raw_records`` and ``pipe_fields`` cannot cut into the fields, with REASONS."""
+    width = sum(f.width for f in fields)
+    n = F.size(F.split("value", r"\|", -1))
+    reason = (
+        F.when(F.col("value").isNull(), F.lit("no line"))
+        .when(F.contains("value", F.lit("|")) & (n != len(fields)), F.format_string(f"%d fields instead of {len(fields)}", n))
+        .when(~F.contains("value", F.lit("|")) & (F.length("value") < width), F.format_string(f"%d characters instead of {width}", F.length("value")))
+    )
+    return lines.select("value", reason.alias("REASONS")).filter(F.col("REASONS").isNotNull())
+
+
 def typed_fields(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Raw text fields as typed columns; text that is no integer becomes null."""
     return raw.select(
@@ -105,7 +117,10 @@ def typed_fields(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 
 def raw_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Fields of a file whose lines are either pipe-delimited or fixed-width, told apart per line."""
+    """Fields of a file whose lines are either pipe-delimited or fixed-width, told apart per line.
+
+    Lines that cannot be cut are left to ``broken_records``.
+    """
     piped = F.contains(F.col("value"), F.lit("|"))
     width = sum(f.width for f in fields)
     cut, start = [], 1
@@ -133,7 +148,7 @@ def scan_fixed_width_person(spark: SparkSession, paths: str | Sequence[str]) ->
 def scan_pipe_record(
     spark: SparkSession, paths: str | Sequence[str], fields: Sequence[Field]
 ) -> DataFrame:
-    """Pipe-delimited record file as typed columns."""
+    """Pipe-delimited record file as typed columns; ``broken_records`` lists the lines that it cannot cut."""
     return typed_fields(pipe_fields(spark.read.text(paths), fields), fields)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabguard.functions.binning import Bins
+from tabguard.operators import aggregates
 from tabguard.operators.joins import DropExcess, DropNonUnique
 from tabguard.operators.keys import Keys
 from tabguard.operators.noise import Bound
@@ -230,6 +231,38 @@ def test_parts_share_one_budget(spark, ids):
         assert child.remaining == Pure(0)
 
 
+def test_parts_of_identifier_tables_stay_within_the_budget(spark, ids):
+    account = Account(Pure(6))
+    t = account.add_private("ids", ids, RowsWithId("id"))
+    with pytest.raises(ValueError):
+        account.partition(t, "g", {"a": "A", "b": "B", "c": "C"}, Pure(1))
+    assert account.remaining == Pure(6)
+    bounded = t.enforce(max_groups_per_id("g", 2))
+    parts = account.partition(bounded, "g", {"a": "A", "b": "B", "c": "C"}, Pure(1))
+    assert account.remaining == Pure(5)
+    # an identifier lies in two parts at most
+    assert all(2 * child.remaining.epsilon == 1 for child in parts.values())
+
+
+def test_wide_integers_do_not_overflow(spark):
+    df = spark.createDataFrame([("A", v) for v in [0, 2_000_000_000] * 20], "g string, x long")
+    found = aggregates.agg_variance(df, groups(spark), "x", 0, 2_000_000_000).exact()
+    assert {r.g: r.x_variance for r in found.collect()}["A"] == 1e18
+
+
+def test_bin_labels():
+    import datetime as dt
+
+    from tabguard.functions.binning import edge_labels
+
+    assert edge_labels([0.0, 0.5, 1.0]) == ["0.00", "0.50", "1.00"]
+    assert edge_labels([0.0, 0.0001]) == ["0.0000", "0.0001"]
+    assert edge_labels([1, 20]) == ["1", "20"] and edge_labels(["a", "b"]) == ["'a'", "'b'"]
+    day = dt.datetime(2020, 1, 2)
+    assert edge_labels([day, day + dt.timedelta(hours=1)]) == ["2020-01-02 00:00", "2020-01-02 01:00"]
+    assert edge_labels([day, day + dt.timedelta(milliseconds=5)])[1] == "2020-01-02 00:00:00.005"
+
+
 def test_group_values(spark):
     df = spark.createDataFrame([("common",)] * 400 + [("rare",)], "k string")
     t = Protected.load(df, MaxRows(1))

@@ -73,6 +73,28 @@ def test_broken_lines(spark):
     assert text.raw_records(spark.createDataFrame([("2100",)], "value string"), UNIT_FIELDS).count() == 0
 
 
+def test_lines_that_cannot_be_cut_are_reported(spark):
+    width = sum(f.width for f in UNIT_FIELDS)
+    good = ["|".join("1" for _ in UNIT_FIELDS), "1" * width]
+    df = spark.createDataFrame([(v,) for v in [*good, "a|b", "2100", "", None]], "value string")
+    bad = {r.value: r.REASONS for r in text.broken_records(df, UNIT_FIELDS).collect()}
+    assert bad == {
+        "a|b": f"2 fields instead of {len(UNIT_FIELDS)}",
+        "2100": f"4 characters instead of {width}",
+        "": f"0 characters instead of {width}",
+        None: "no line",
+    }
+    assert text.raw_records(df, UNIT_FIELDS).count() == 2
+
+
+def test_integers_as_wide_as_a_long(spark):
+    from tabguard.functions.parse import long_or_null
+
+    texts = ["9223372036854775807", " -9223372036854775808", "+000000000000000000000012", "9223372036854775808", "12345678901234567890", "1x", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(long_or_null(F.col("t")).alias("v")).collect()
+    assert [r.v for r in rows] == [2**63 - 1, -(2**63), 12, None, None, None, None, None]
+
+
 def test_state_files():
     assert text.state_files("d/", "u%s.txt", ["01", "72"], "p/") == ["d/u01.txt", "p/u72.txt"]
     assert text.state_files("d/", "u%s.txt", [], "p/") == ["d/", "p/u72.txt"]
