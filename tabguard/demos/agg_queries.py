@@ -16,6 +16,7 @@ from tabguard.plans.budget import Approximate, Concentrated, Pure
 from tabguard.plans.protected import (
     Account,
     MaxRows,
+    MaxRowsInMaxGroups,
     RowsWithId,
     max_groups_per_id,
     max_rows_per_id,
@@ -23,6 +24,8 @@ from tabguard.plans.protected import (
 )
 from tabguard.runtime import materialise
 
+INF = float("inf")
+
 EVENTS = """SELECT event_id, user_id, CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS STRING) ELSE event_type END AS event_type,
   CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 7 = 1 THEN CAST('NaN' AS DOUBLE)
        WHEN event_id % 7 = 2 THEN CAST('Infinity' AS DOUBLE) ELSE value END AS v,
@@ -191,6 +194,37 @@ def partition(spark, folder):
     return out
 
 
+@query(
+    "account_partition",
+    """WITH f AS (SELECT user_id, event_type FROM events WHERE event_type IN ('click', 'view'))
+SELECT 'rows' AS kind, event_type AS part, count(*) AS n FROM f GROUP BY ALL
+UNION ALL SELECT 'groups', event_type, count(*) FROM f GROUP BY ALL
+UNION ALL SELECT 'ids', event_type, count(DISTINCT user_id) FROM f GROUP BY ALL""",
+)
+def account_partition(spark, folder):
+    """Parts of one account for rows, a grouping column and identifiers, exact at infinite budget."""
+    source = table(spark, folder, "events").select("user_id", "event_type")
+    splits = {"click": "click", "view": "view"}
+    whole = Keys.of_values(spark, {"event_type": list(splits)})
+    out = None
+    for kind, change in {
+        "rows": MaxRows(3), "groups": MaxRowsInMaxGroups("event_type", 3, 2), "ids": RowsWithId("user_id"),
+    }.items():
+        account = Account(Pure(INF))
+        protected = account.add_private("events", source, change)
+        if kind == "ids":  # no user has more than a thousand types, so nothing is cut
+            protected = protected.enforce(max_groups_per_id("event_type", 1000))
+        for name, child in account.partition(protected, "event_type", splits, Pure(INF)).items():
+            part = child.private[name]
+            if kind == "ids":
+                answer = child.evaluate(part.enforce(max_rows_per_id(10**6)).groupby(whole).count_distinct(["user_id"], "n"), Pure(INF))
+            else:
+                answer = child.evaluate(part.groupby(whole).count("n"), Pure(INF))
+            row = answer.filter(F.col("event_type") == name).select(F.lit(kind).alias("kind"), F.col("event_type").alias("part"), "n")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "cached_view",
     """SELECT event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY 1

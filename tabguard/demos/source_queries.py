@@ -292,7 +292,7 @@ UNION ALL SELECT a, 'AIANNH', CAST(count(*) AS STRING) FROM c GROUP BY 1"""
 
 @query(
     "popgroup_region_filter",
-    f"""WITH g AS ({_B}), t AS ({oracle_text(TOTALS)}), k AS (SELECT DISTINCT 'STATE' AS kind, TABBLKST AS id FROM g
+    f"""WITH g AS (SELECT * FROM ({_B}) WHERE TABBLKST IN ('03', '16')), t AS ({oracle_text(TOTALS)}), k AS (SELECT DISTINCT 'STATE' AS kind, TABBLKST AS id FROM g
 UNION SELECT 'COUNTY', concat(TABBLKST, TABBLKCOU) FROM g UNION SELECT 'TRACT', concat(TABBLKST, TABBLKCOU, TABTRACTCE) FROM g
 UNION SELECT 'PLACE', concat(TABBLKST, PLACEFP) FROM g UNION SELECT 'AIANNH', AIANNHCE FROM g)
 SELECT REGION_ID AS "REGION_ID", REGION_TYPE AS "REGION_TYPE", CAST(COUNT AS INTEGER) AS "COUNT" FROM t WHERE REGION_TYPE = 'USA'

@@ -5,7 +5,7 @@ through floating point. Method: Canonne, Kamath and Steinke, "The Discrete Gauss
 Privacy" (2020): Bernoulli(exp(-x)) by a race of uniforms, a discrete Laplace from it, and a discrete
 Gaussian by rejection from the Laplace. Real-valued measures use the same draws on a fixed grid.
 
-Only aggregate output rows (one per key) reach these functions.
+Aggregate output rows (one per key) reach these functions, and the distinct values that a quantile chooses from.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import random
 from fractions import Fraction
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,15 +74,23 @@ def _draw(kind: str, parameter: Fraction, rng: random.Random) -> int:
     return discrete_laplace(parameter, rng) if kind == "laplace" else discrete_gaussian(parameter, rng)
 
 
-def _generator(seed: int | None, first_row: int) -> random.Random:
-    """Operating-system entropy; a seeded generator exists for tests only."""
-    return random.SystemRandom() if seed is None else random.Random(f"{seed}:{first_row}")
+def _generator(seed: int | None, batches: list[int]) -> random.Random:
+    """Operating-system entropy; a seeded generator exists for tests only.
+
+    ``batches`` counts the batches of a task, so that each batch of each partition has draws of its own.
+    """
+    if seed is None:
+        return random.SystemRandom()
+    batches[0] += 1
+    context = TaskContext.get()
+    return random.Random(f"{seed}:{context.partitionId() if context else 0}:{batches[0]}")
 
 
 def _integer_noise(kind: str, seed: int | None):
+    batches = [0]
     @F.pandas_udf(T.LongType())
     def add(value: pd.Series, num: pd.Series, den: pd.Series) -> pd.Series:
-        rng = _generator(seed, len(value))
+        rng = _generator(seed, batches)
         return pd.Series(
             [
                 int(v) + _draw(kind, Fraction(int(n), int(d)), rng)
@@ -94,11 +103,12 @@ def _integer_noise(kind: str, seed: int | None):
 
 
 def _grid_noise(kind: str, seed: int | None):
+    batches = [0]
     power = 1 if kind == "laplace" else 2
 
     @F.pandas_udf(T.DoubleType())
     def add(value: pd.Series, num: pd.Series, den: pd.Series) -> pd.Series:
-        rng = _generator(seed, len(value))
+        rng = _generator(seed, batches)
         grid = 2.0**GRID_BITS
         out = []
         for v, n, d in zip(value, num, den):

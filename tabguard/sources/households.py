@@ -100,7 +100,7 @@ def popgroup_region_filter(totals: DataFrame, geo: DataFrame, states: Sequence[s
     """Earlier totals of regions in scope.
 
     The nation always; states, counties, tracts and places when their composed id is in the geography
-    and starts with a chosen state; tribal areas when they are in the geography.
+    and starts with a chosen state; tribal areas when they lie in the geography of a chosen state.
     """
     state = F.col("TABBLKST")
     county = F.concat(state, F.col("TABBLKCOU"))
@@ -111,7 +111,7 @@ def popgroup_region_filter(totals: DataFrame, geo: DataFrame, states: Sequence[s
         "PLACE": F.concat(state, F.col("PLACEFP")),
         "AIANNH": F.col("AIANNHCE"),
     }
-    regions = geo.select(
+    regions = geo.filter(state.isin(list(states))).select(
         F.inline(
             F.array(
                 *[F.struct(F.lit(k).alias("__kind"), v.alias("__id")) for k, v in named.items()]
