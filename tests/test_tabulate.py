@@ -15,21 +15,24 @@ G = "RTYPE string, MAFID long, TABBLKST string"
 
 
 def toy(spark):
+    """A lone parent who owns and a couple of one sex who rent, an empty unit and a dormitory; invented."""
     persons = [
-        ("3", 100000001, 49, 1, "01", "20"),
-        ("3", 100000001, 17, 1, "01", "21"),
-        ("3", 100000001, 12, 1, "01", "25"),
-        ("3", 100000002, 19, 2, "02", "20"),
-        ("3", 100000002, 3, 2, "07", "30"),
-        ("5", 100000004, 94, 1, "01", "38"),
+        ("3", 612000701, 52, 1, "04", "20"),
+        ("3", 612000701, 16, 1, "04", "26"),
+        ("3", 612000701, 9, 2, "04", "27"),
+        ("3", 612000701, 2, 1, "10", "30"),
+        ("3", 612000718, 31, 2, "06", "20"),
+        ("3", 612000718, 29, 1, "01", "24"),
+        ("3", 612000718, 14, 1, "01", "31"),
+        ("5", 612000732, 20, 1, "02", "38"),
     ]
     units = [
-        ("2", 100000001, 3, 2, 1, "01", "2", "1", "01", "1"),
-        ("2", 100000002, 2, 2, 2, "02", "3", "3", "06", "5"),
-        ("2", 100000003, 0, 0, 0, "00", "0", "0", "00", "0"),
-        ("4", 100000004, 1, 0, 0, "00", "0", "0", "00", "0"),
+        ("2", 612000701, 4, 4, 1, "04", "1", "3", "10", "5"),
+        ("2", 612000718, 3, 2, 2, "06", "4", "7", "04", "4"),
+        ("2", 612000725, 0, 0, 0, "00", "0", "0", "00", "0"),
+        ("4", 612000732, 1, 0, 0, "00", "0", "0", "00", "0"),
     ]
-    geo = [("2", 100000001, "44"), ("2", 100000002, "29"), ("2", 100000003, "29"), ("4", 100000004, "29")]
+    geo = [("2", 612000701, "17"), ("2", 612000718, "38"), ("2", 612000725, "38"), ("4", 612000732, "17")]
     frames = spark.createDataFrame(persons, P), spark.createDataFrame(units, U), spark.createDataFrame(geo, G)
     return frames[0], frames[1], prepare_geo(frames[2])
 
@@ -49,18 +52,25 @@ def rows(df, name):
 
 def test_exact_tables(spark):
     out = tab.exact_tabulations(*toy(spark)).cache()
-    assert rows(out, "PH2") == {("*", 1): 5, ("*", 2): 3, ("*", 3): 3, ("*", 11): 2, ("*", 13): 2}
-    assert rows(out, "PH6") == {("*", 1): 1, ("*", 2): 1, ("*", 6): 1}
+    # Persons by household type: four with the lone parent, three with the couple.
+    assert rows(out, "PH2") == {("*", 1): 7, ("*", 5): 3, ("*", 7): 3, ("*", 8): 4, ("*", 10): 4}
+    # Own children under 18 of a lone mother: one of 6 to 11, one of 12 or more.
+    assert rows(out, "PH6") == {("*", 1): 2, ("*", 12): 2, ("*", 15): 1, ("*", 16): 1}
     assert rows(out, "PH1_num") == {
-        ("A", 1): 3, ("A", 2): 2, ("A", 3): 1, ("I", 1): 3, ("I", 2): 2, ("I", 3): 1,
-        ("B", 1): 2, ("B", 2): 1, ("B", 3): 1, ("H", 1): 2, ("H", 2): 1, ("H", 3): 1,
-        ("*", 1): 5, ("*", 2): 3, ("*", 3): 2,
+        ("D", 1): 4, ("D", 2): 3, ("D", 3): 1, ("F", 1): 3, ("F", 2): 1, ("F", 3): 2,
+        ("H", 1): 3, ("H", 2): 1, ("H", 3): 2, ("*", 1): 7, ("*", 2): 4, ("*", 3): 3,
     }
     assert rows(out, "PH1_denom")[("*", 2)] == 2
-    assert rows(out, "PH3")[("*", 1)] == 3 and rows(out, "PH3")[("G", 9)] == 1
+    # Minors by their own race: two own children, a grandchild, and another relative who is white and not Hispanic.
+    assert rows(out, "PH3") == {
+        ("D", 1): 2, ("D", 3): 2, ("D", 6): 2, ("H", 1): 1, ("H", 3): 1, ("H", 6): 1, ("G", 1): 1, ("G", 8): 1, ("G", 9): 1,
+        ("A", 1): 1, ("A", 8): 1, ("A", 10): 1, ("I", 1): 1, ("I", 8): 1, ("I", 10): 1,
+        ("*", 1): 4, ("*", 3): 2, ("*", 6): 2, ("*", 8): 2, ("*", 9): 1, ("*", 10): 1,
+    }
+    # Families are the lone parent's household only; persons of units by tenure.
+    assert rows(out, "PH4") == {("D", 1): 4, ("D", 2): 3, ("D", 3): 1, ("*", 1): 4, ("*", 2): 3, ("*", 3): 1}
     assert rows(out, "PH8_num") == {
-        ("A", 1): 3, ("A", 2): 3, ("I", 1): 3, ("I", 2): 3, ("B", 1): 2, ("B", 3): 2, ("H", 1): 2,
-        ("H", 3): 2, ("*", 1): 5, ("*", 2): 3, ("*", 3): 2,
+        ("D", 1): 4, ("D", 2): 4, ("F", 1): 3, ("F", 3): 3, ("H", 1): 3, ("H", 3): 3, ("*", 1): 7, ("*", 2): 4, ("*", 3): 3,
     }
     assert rows(out, "PH4") == rows(out, "PH5_num")
 
@@ -82,12 +92,12 @@ def test_private_at_infinite_budget_equals_exact_leaves(spark):
 @pytest.mark.parametrize("tau,expected", [(4, 8), (5, 9)])
 def test_truncation(spark, tau, expected):
     persons = spark.createDataFrame(
-        [("3", 100000001, 17, 1, "01", "25")] * 4 + [("3", 100000002, 17, 1, "01", "25")] * 5, P
+        [("3", 612000701, 13, 1, "04", "26")] * 4 + [("3", 612000718, 13, 1, "04", "26")] * 5, P
     )
     units = spark.createDataFrame(
-        [("2", m, n, 2, 1, "01", "2", "1", "01", "1") for m, n in [(100000001, 4), (100000002, 5)]], U
+        [("2", m, n, 2, 1, "04", "1", "2", "06", "5") for m, n in [(612000701, 4), (612000718, 5)]], U
     )
-    geo = prepare_geo(spark.createDataFrame([("2", 100000001, "44"), ("2", 100000002, "44")], G))
+    geo = prepare_geo(spark.createDataFrame([("2", 612000701, "17"), ("2", 612000718, "17")], G))
     counts = tab.leaf_counts(persons, units, geo, {n: tau for n in WITH_TAU}).cache()
     for name in WITH_TAU:
         assert set(rows(counts, name).values()) == {expected}, name
@@ -95,9 +105,9 @@ def test_truncation(spark, tau, expected):
 
 def test_duplicate_units_are_dropped(spark):
     persons, units, geo = toy(spark)
-    doubled = units.unionByName(units.filter("MAFID = 100000002"))
+    doubled = units.unionByName(units.filter("MAFID = 612000718"))
     counts = tab.leaf_counts(persons, doubled, geo, {n: 5 for n in WITH_TAU})
-    assert rows(counts, "PH7") == {("A", 3): 3, ("I", 3): 3, ("*", 3): 3}
+    assert rows(counts, "PH7") == {("D", 2): 4, ("*", 2): 4}
 
 
 def test_noise_variance_and_zero_budgets(spark):
