@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabguard.demos.join_queries import named_beside_counts
 from tabguard.demos.registry import derived, oracle_text, query, table
 from tabguard.functions.binning import Bins
 from tabguard.functions.samplers import add_noise
@@ -131,21 +133,44 @@ def agg_stdev(spark, folder):
 
 
 def _quantile(name, function, q):
-    @query(name)
+    """Noisy and best quantile, told by what chance cannot change: the range, and how far the rank of the best is off.
+
+    Several intervals may be equally good, so the rank's distance to the wanted one is compared, not the value.
+    """
+
+    @query(
+        name,
+        E
+        + f""", r AS (SELECT event_type, v, row_number() OVER (PARTITION BY event_type ORDER BY v) AS i,
+               count(*) OVER (PARTITION BY event_type) AS n FROM f),
+p AS (SELECT event_type, v AS hi, lag(v, 1, 1.0) OVER (PARTITION BY event_type ORDER BY v) AS lo, min(i) - 1 AS rank, min(n) AS n
+      FROM r GROUP BY event_type, v
+      UNION ALL SELECT event_type, 200.0, max(v), max(n), max(n) FROM r GROUP BY event_type)
+SELECT k.event_type, true AS noisy_in_range, coalesce(min(abs(rank - {q} * n)), 0.0)::DOUBLE AS best_off
+FROM k LEFT JOIN (SELECT * FROM p WHERE hi > lo) p ON k.event_type = p.event_type GROUP BY 1""",
+    )
     def run(spark, folder):
         df, ks = events(spark, folder), keys(spark)
-        extra = {} if q is None else {"q": q}
+        extra = {"q": q} if function is agg.agg_quantile else {}
         noisy = function(df, ks, "v", low=1.0, high=200.0, epsilon=1.0, name="noisy", **extra)
         best = function(df, ks, "v", low=1.0, high=200.0, name="best", **extra)
-        return materialise(noisy.join(best, "event_type"))
+        both = materialise(noisy.join(best, "event_type"))
+        values = df.filter("v IS NOT NULL AND NOT isnan(v)").select("event_type", F.greatest(F.least("v", F.lit(200.0)), F.lit(1.0)).alias("v"))
+        rows = both.join(values, "event_type", "left").groupBy("event_type", "noisy", "best")
+        counted = rows.agg(F.count("v").alias("n"), F.count_if(F.col("v") <= F.col("best")).alias("rank"))
+        return counted.select(
+            "event_type",
+            F.col("noisy").between(1.0, 200.0).alias("noisy_in_range"),
+            F.abs(F.col("rank") - F.lit(float(q)) * F.col("n")).alias("best_off"),
+        )
 
     return run
 
 
 _quantile("agg_quantile", agg.agg_quantile, 0.25)
-_quantile("agg_min", agg.agg_min, None)
-_quantile("agg_max", agg.agg_max, None)
-_quantile("agg_median", agg.agg_median, None)
+_quantile("agg_min", agg.agg_min, 0.0)
+_quantile("agg_max", agg.agg_max, 1.0)
+_quantile("agg_median", agg.agg_median, 0.5)
 
 
 @query(
@@ -241,15 +266,35 @@ def cached_view(spark, folder):
     return by_type.unionByName(total.withColumn("event_type", F.lit("all")))
 
 
-@query("evaluate_budgeted")
+@query(
+    "evaluate_budgeted",
+    """WITH r AS (SELECT event_id, user_id, event_type, event_id % 100 AS m FROM events),
+c AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY md5(concat_ws('|', event_id, user_id, event_type, m)), event_id) <= 20),
+g AS (SELECT * FROM (SELECT *, dense_rank() OVER (PARTITION BY user_id ORDER BY md5(event_type), event_type) AS d FROM c) WHERE d <= 5),
+k AS (SELECT unnest(['click', 'error', 'signup', 'nothing']) AS event_type)
+SELECT k.event_type, count(m) AS n, round(coalesce(avg(m), 50.0), 6) AS mean, true AS count_near, true AS mean_near
+FROM k LEFT JOIN g ON k.event_type = g.event_type GROUP BY 1""",
+)
 def evaluate_budgeted(spark, folder):
-    account = Account(Pure(3))
-    base = account.add_private("events", table(spark, folder, "events"), RowsWithId("user_id"))
-    bounded = base.enforce(max_rows_per_id(20)).enforce(max_groups_per_id("event_type", 5))
+    """Answers without noise beside noisy ones, of which chance decides no more than that they are near."""
+    df = table(spark, folder, "events").select("event_id", "user_id", "event_type", (F.col("event_id") % 100).alias("m"))
     types = Keys.of_values(spark, {"event_type": ["click", "error", "signup", "nothing"]})
-    counts = account.evaluate(bounded.groupby(types).count("n"), Pure(1))
-    means = account.evaluate(bounded.groupby(types).average("value", 0.0, 100.0), Pure(1))
-    return counts.join(means, "event_type")
+    answers = None
+    for whole, part, suffix in ((Pure(INF), Pure(INF), ""), (Pure(3), Pure(1), "_noisy")):
+        account = Account(whole)
+        base = account.add_private("events", df, RowsWithId("user_id"))
+        grouped = base.enforce(max_rows_per_id(20)).enforce(max_groups_per_id("event_type", 5)).groupby(types)
+        counts = account.evaluate(grouped.count(f"n{suffix}"), part)
+        both = counts.join(account.evaluate(grouped.average("m", 0, 100, f"mean{suffix}"), part), "event_type")
+        answers = both if answers is None else answers.join(both, "event_type")
+    # Scale 20 for the count, 20 * 50 * 2 for the sum of the mean; 80 scales are beyond chance.
+    return answers.select(
+        "event_type",
+        "n",
+        F.round("mean", 6).alias("mean"),
+        (F.abs(F.col("n_noisy") - F.col("n")) <= 1600).alias("count_near"),
+        (F.abs(F.col("mean_noisy") - F.col("mean")) <= 640_000 / F.greatest(F.col("n") - 3200, F.lit(1))).alias("mean_near"),
+    )
 
 
 @query(
@@ -271,20 +316,35 @@ def evaluate_budgeted_exact(spark, folder):
 COUNTS = "SELECT event_type, user_id % 20 AS bucket, count(*) AS n, sum(CAST(value AS DECIMAL(18, 2))) AS v FROM {events} GROUP BY 1, 2"
 
 
-def _noisy(name, mechanism, num, den, value):
-    @query(name)
+def _noisy(name, mechanism, num, den, value, reach, variance):
+    """One draw per row; no draw passes ``reach`` by chance, and the draws of a type spread as they should."""
+
+    @query(
+        name,
+        f"""SELECT event_type, bucket, CAST({value} AS DOUBLE) AS value, true AS near, true AS spread
+FROM ({oracle_text(COUNTS)})""",
+    )
     def run(spark, folder):
         df = derived(spark, folder, COUNTS)
         drawn = add_noise(F.col(value), mechanism, F.lit(num), F.lit(den))
-        return materialise(df.select("event_type", "bucket", drawn.alias("noisy")))
+        noisy = materialise(df.select("event_type", "bucket", F.col(value).cast("double").alias("value"), drawn.alias("noisy")))
+        noise = F.col("noisy") - F.col("value")
+        alike = Window.partitionBy("event_type")  # at most twenty buckets
+        return noisy.select(
+            "event_type",
+            "bucket",
+            "value",
+            (F.abs(noise) <= reach).alias("near"),
+            (F.sum(noise * noise).over(alike) / F.count(noise).over(alike)).between(variance / 100, variance * 30).alias("spread"),
+        )
 
     return run
 
 
-_noisy("noise_geometric", "geometric", "2", "1", "n")
-_noisy("noise_laplace", "laplace", "5", "2", "v")
-_noisy("noise_discrete_gaussian", "discrete_gaussian", "25", "2", "n")
-_noisy("noise_gaussian", "gaussian", "25", "2", "v")
+_noisy("noise_geometric", "geometric", "2", "1", "n", 120, 7.8)
+_noisy("noise_laplace", "laplace", "5", "2", "v", 150, 12.5)
+_noisy("noise_discrete_gaussian", "discrete_gaussian", "25", "2", "n", 50, 12.5)
+_noisy("noise_gaussian", "gaussian", "25", "2", "v", 50, 12.5)
 
 SCALED = "SELECT event_type, count(*) AS n, CAST(length(event_type) AS DOUBLE) / 2 AS s FROM {events} GROUP BY 1, 3"
 
@@ -325,12 +385,22 @@ def variance(spark, folder):
     )
 
 
-@query("evaluate_groups")
+@query(
+    "evaluate_groups",
+    """SELECT event_type, count(*) AS n, true AS plausible FROM (SELECT user_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY md5(concat_ws('|', user_id, event_type)), event_type) <= 3) GROUP BY 1""",
+)
 def evaluate_groups(spark, folder):
-    """Group values released from an identifier table, with the bound carried by the account."""
+    """Group values released from an identifier table, beside the counts that decide on them.
+
+    Threshold 33 and scale 3: a group of 200 rows is named beyond chance.
+    """
+    from tabguard.operators.limits import limit_rows_per_id
     from tabguard.plans.protected import group_values
 
     account = Account(Approximate(2, "0.001"))
     df = table(spark, folder, "events").select("user_id", "event_type")
     base = account.add_private("events", df, RowsWithId("user_id")).enforce(max_rows_per_id(3))
-    return account.evaluate(group_values(base, ["event_type"]), Approximate(1, "0.0001"))
+    named = account.evaluate(group_values(base, ["event_type"]), Approximate(1, "0.0001"))
+    counts = limit_rows_per_id(df, "user_id", 3).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return named_beside_counts(counts, named, ["event_type"], 200)

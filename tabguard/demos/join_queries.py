@@ -202,7 +202,20 @@ def select_groups_at_infinite_budget(spark, folder):
     return select_groups_private(df, ["event_type", "bucket"], Approximate(float("inf"), 0))
 
 
-@query("select_groups_private_noisy")
+def named_beside_counts(counts, named, columns, certain):
+    """Groups with their count ``n``; implausible are large ones that were not named and named ones without rows."""
+    both = counts.join(named.withColumn("named", F.lit(True)), columns, "full")
+    sure = F.when(F.col("n").isNull(), False).when(F.col("n") >= certain, F.coalesce("named", F.lit(False))).otherwise(True)
+    return both.select(*columns, "n", sure.alias("plausible"))
+
+
+@query(
+    "select_groups_private_noisy",
+    f"SELECT event_type, bucket, count(*) AS n, true AS plausible FROM ({oracle_text(USER_KEYS)}) GROUP BY 1, 2",
+)
 def select_groups_noisy(spark, folder):
+    """Threshold 13 and scale 1: a group of 80 rows is named beyond chance."""
     df = derived(spark, folder, USER_KEYS)
-    return materialise(select_groups_private(df, ["event_type", "bucket"], Approximate(1, "0.00001")))
+    columns = ["event_type", "bucket"]
+    named = materialise(select_groups_private(df, columns, Approximate(1, "0.00001")))
+    return named_beside_counts(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), named, columns, 80)

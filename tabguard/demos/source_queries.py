@@ -340,12 +340,15 @@ def count_rows_per_file(spark, folder):
     return text.count_rows_per_file(spark, path).select("n_rows")
 
 
-@query("synthesize_from_schema")
+@query(
+    "synthesize_from_schema",
+    """SELECT o_orderkey, true AS rtype_ok, true AS age_ok, true AS income_ok, true AS name_ok, true AS code_ok FROM orders""",
+)
 def synthesize_from_schema(spark, folder):
-    """One random record per order; checked for its declared ranges in the tests."""
+    """One random record per order, told by whether each value keeps to its declared range."""
     rows = table(spark, folder, "orders").select("o_orderkey")
     V = synth.Declared
-    return synth.synthesize_from_schema(
+    drawn = synth.synthesize_from_schema(
         rows,
         [
             V("RTYPE", choices=("2", "4")),
@@ -356,6 +359,14 @@ def synthesize_from_schema(spark, folder):
         ],
         seed=11,
     )
+    return drawn.select(
+        "o_orderkey",
+        F.col("RTYPE").isin("2", "4").alias("rtype_ok"),
+        F.col("AGE").between(0, 115).alias("age_ok"),
+        (F.col("INCOME").between(0, 1) | F.col("INCOME").between(100, 200)).alias("income_ok"),
+        F.col("NAME").rlike("^[A-Z]{8}$").alias("name_ok"),
+        F.col("CODE").rlike("^C[0-9]{1,3}$").alias("code_ok"),
+    )
 
 
 _WRITTEN = """SELECT '{0}' AS "TABLE", "REGION_ID", "REGION_TYPE", cell AS "DATA_CELL", "COUNT", 0.0::DOUBLE AS "VARIANCE" FROM ({1})"""

@@ -195,9 +195,33 @@ def ph8_num(spark, folder):
     return _counts_only(tab.one_table(tab.derive_tables(answers), "PH8_num"))
 
 
-@query("tab_all_noisy")
+def _all_noisy_oracle() -> str:
+    """The whole key set with the stated variances: reach^2 / (2 * 0.5) with reach 2 tau + 2, or 2 for tables of units."""
+    parts = []
+    for n in [*COUNTED, "PH5_num", "PH8_num"]:
+        t, source = TABLES[n], {"PH5_num": "PH4", "PH8_num": "PH7"}.get(n, n)
+        variance = 4 if t.of_units and n in COUNTED else (2 * TAUS[source] + 2) ** 2
+        if n in COUNTED and t.of_units:
+            sql, cell = unit_oracle(n, False), f'"{t.cell}"'
+        else:
+            sql, cell = person_oracle(source, False, "cell"), "cell"
+        it = '"ITERATION_CODE"' if t.race else "'*'"
+        base = f"""SELECT '{n}' AS "TABLE", "REGION_ID", "REGION_TYPE", {it} AS "ITERATION_CODE", {{}} AS "DATA_CELL", {{}} AS "VARIANCE",
+'Discrete Gaussian' AS "NOISE_DISTRIBUTION", true AS plausible FROM ({sql})"""
+        if n == "PH8_num":
+            owner, total = "CASE WHEN cell IN (2, 3) THEN 2 ELSE 3 END", f"CASE WHEN cell = 2 THEN {2.0 * variance} ELSE {float(variance)} END::DOUBLE"
+            parts.append(base.format(owner, total) + " WHERE cell IN (2, 4)")
+        else:
+            parts.append(base.format(cell, f"{float(variance)}::DOUBLE"))
+    return " UNION ALL ".join(parts)
+
+
+@query("tab_all_noisy", _all_noisy_oracle())
 def all_noisy(spark, folder):
-    """All tables under a concentrated budget in one pass, the two derived ones included."""
+    """All tables under a concentrated budget, the two derived ones included; told by all that chance leaves alone.
+
+    A count below minus twelve deviations is no noise.
+    """
     persons, units, geo = files(spark, folder)
     with tab.shared_units(units, geo) as unit_geo:
         answers = materialise(
@@ -205,7 +229,8 @@ def all_noisy(spark, folder):
                 persons, units, geo, TAUS, budgets("0.5"), "concentrated", DIGEST, unit_geo=unit_geo
             )
         )
-    return answers.unionByName(tab.derive_tables(answers))
+    both = answers.unionByName(tab.derive_tables(answers))
+    return both.withColumn("plausible", F.col("COUNT") >= -12 * F.sqrt("VARIANCE")).drop("COUNT")
 
 
 def _all_exact_oracle() -> str:
