@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from tabguard.functions.rowhash import digest_order
 
 _RANK = "__rank"
-HOT_SHARE = 100_000
-"""A key is hot when it holds at least 1/HOT_SHARE of the rows, so at most HOT_SHARE keys are hot."""
 
 
 def keep_first(
@@ -67,48 +65,17 @@ def limit_rows_per_group_per_id(
     return keep_first(df, [id_column, group], n, digest_order(digest_columns or df.columns))
 
 
-def limit_groups_per_id(
-    df: DataFrame, id_column: str, group: str, n: int, hot_share: int = HOT_SHARE
-) -> DataFrame:
+def limit_groups_per_id(df: DataFrame, id_column: str, group: str, n: int) -> DataFrame:
     """All rows of at most ``n`` distinct groups per identifier.
 
     The choice is made on the distinct (identifier, group) pairs, which map tasks pre-aggregate; the
-    rows then meet the chosen pairs in a semi join that treats hot pairs apart.
-    """
-    pairs = df.groupBy(id_column, group).agg(F.count(F.lit(1)).alias("__rows"))
-    kept = keep_first(pairs, [id_column], n, digest_order([group]))
-    return semi_join_split_hot(df, kept, pairs, [id_column, group], hot_share)
-
-
-def semi_join_split_hot(
-    df: DataFrame,
-    kept: DataFrame,
-    counts: DataFrame,
-    keys: Sequence[str],
-    hot_share: int = HOT_SHARE,
-) -> DataFrame:
-    """Rows of ``df`` whose key is in ``kept``, null-safe, without shuffling rows of hot keys.
-
-    ``counts`` has one row per key of ``df`` with its size in ``__rows``; ``kept`` is a subset of it.
-    Fewer than ``hot_share`` + 1 keys can be hot, which bounds what is broadcast; all others are at
-    most 1/hot_share of the table each and go through an ordinary shuffled semi join.
+    rows then meet the chosen pairs in a semi join. A pair with very many rows makes a large partition
+    of the rows' side only, which adaptive execution splits (``tune`` forces it).
     """
-    total = counts.agg(F.sum("__rows").alias("__total"))
-    share = F.col("__rows") * F.lit(hot_share) >= total.scalar()
-    hot_keys = counts.filter(share).select(*keys)
-    hot_kept = kept.filter(share).select(*keys)
-    cold_kept = kept.filter(~share).select(*keys)
-
-    hot_keys, hot_kept, cold_kept = (_renamed(d, keys) for d in (hot_keys, hot_kept, cold_kept))
-    hot = df.join(F.broadcast(hot_kept), _match(df, hot_kept, keys), "left_semi")
-    cold = df.join(F.broadcast(hot_keys), _match(df, hot_keys, keys), "left_anti").join(
-        cold_kept, _match(df, cold_kept, keys), "left_semi"
-    )
-    return hot.unionByName(cold)
-
-
-def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    keys = [id_column, group]
+    kept = keep_first(df.select(*keys).distinct(), [id_column], n, digest_order([group]))
+    kept = kept.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    return df.join(kept, _match(df, kept, keys), "left_semi")
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

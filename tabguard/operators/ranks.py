@@ -2,8 +2,8 @@
 
 Equal values are first collapsed to one row with a count. The distinct values are then cut into
 buckets by global approximate quantiles, so a (group, bucket) holds about 1/BUCKETS of all distinct
-values even if one group holds most of them. Running counts are taken inside each bucket and shifted
-by the total of the buckets before it.
+values even if one group holds most of them; with more shuffle partitions there are more buckets. Running
+counts are taken inside each bucket and shifted by the total of the buckets before it.
 """
 
 from __future__ import annotations
@@ -19,13 +19,16 @@ BUCKETS = 200
 
 
 def grouped_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS
+    df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None
 ) -> DataFrame:
     """One row per key and distinct value: ``n``, ``before`` (rows with smaller values), ``total``, and
     ``previous`` (next smaller value of the key, null for the first).
 
-    The buckets only spread the work; ranks are exact. Keys may be empty and may hold nulls.
+    The buckets only spread the work, BUCKETS or one per shuffle partition; ranks are exact. Keys may be empty and
+    may hold nulls.
     """
+    if buckets is None:
+        buckets = max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     names = [f"__g{i}" for i in range(len(keys))]
     counted = (
         df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("value"))
@@ -33,7 +36,9 @@ def grouped_ranks(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counted.select(F.percentile_approx("value", steps, F.lit(10_000)).alias("c")).scalar()
+    # Looking at n as well lets the search and the ranks share one aggregation and one exchange.
+    seen = F.when(F.col("n") > 0, F.col("value"))
+    cuts = counted.select(F.percentile_approx(seen, steps, F.lit(10_000)).alias("c")).scalar()
     # Exploding a one-element array keeps the optimizer from repeating the search in every use of it.
     place = _cuts_below(F.col("__cuts"), F.col("value"), buckets)
     bucketed = counted.withColumn("__cuts", cuts).select(
@@ -43,7 +48,7 @@ def grouped_ranks(
     per_bucket = bucketed.groupBy(*names, "__b").agg(
         F.sum("n").alias("__rows"), F.max("value").alias("__last")
     )
-    # At most BUCKETS rows per key from here on.
+    # At most one row per key and bucket from here on.
     by_key = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
     earlier = by_key.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
@@ -86,7 +91,7 @@ def _cuts_below(cuts: Column, value: Column, buckets: int) -> Column:
 
 
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, name: str, buckets: int = BUCKETS
+    df: DataFrame, keys: Sequence[str], value: str, q: float, name: str, buckets: int | None = None
 ) -> DataFrame:
     """Percentile with linear interpolation and the row count ``<name>_n`` per key; nulls ignored.
 

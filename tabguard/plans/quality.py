@@ -12,9 +12,6 @@ from tabguard.functions.domains import Categories
 from tabguard.operators.joins import anti_join_keys
 from tabguard.operators.noise import noise_variance
 
-MAX_CATEGORIES = 100_000
-"""Most values that may become category lists."""
-
 
 def dq_values(df: DataFrame, domains: Sequence[Any]) -> DataFrame:
     """Distinct values outside their column's domain, all columns in one pass.
@@ -36,7 +33,8 @@ def dq_values(df: DataFrame, domains: Sequence[Any]) -> DataFrame:
         )
     )
     bad = df.select(F.inline(failing)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    sizes = bad.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
+    # Looking at n_rows as well lets both sides of the join share one aggregation and one exchange.
+    sizes = bad.groupBy("column").agg(F.count_if(F.col("n_rows") > 0).alias("n_values"))
     return bad.join(sizes, "column")
 
 
@@ -154,20 +152,16 @@ def dq_update_domains(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(listed)).filter(F.col("value").isNotNull()).distinct()
 
 
-def updated_domains(domains: Sequence[Any], found: DataFrame, columns: Sequence[str]) -> list[Any]:
-    """Domains with the categories of ``columns`` replaced by the values found elsewhere.
+def dq_unlisted_values(df: DataFrame, columns: Sequence[str], known: DataFrame) -> DataFrame:
+    """Distinct values of ``df`` that a category table does not list: ``column``, ``value``, ``n_rows``.
 
-    The category lists are configuration and have to reach the driver, so more than MAX_CATEGORIES
-    values are an error: such a column has no category list.
+    ``known`` is a table such as ``dq_update_domains`` gives, of any size. Null is never listed.
     """
-    wanted = found.filter(F.col("column").isin(list(columns)))
-    rows = wanted.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} values are no category list")
-    values: dict[str, list[str]] = {c: [] for c in columns}
-    for row in sorted(rows):
-        values[row["column"]].append(row["value"])
-    return [Categories(d.column, tuple(values[d.column])) if d.column in values else d for d in domains]
+    listed = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    found = df.select(F.inline(listed)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.join(known.select("column", "value").distinct(), ["column", "value"], "left_anti")
 
 
 def dq_estimates_counts(estimates: DataFrame) -> DataFrame:

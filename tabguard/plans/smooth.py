@@ -1,7 +1,7 @@
 """Noisy tables to valid estimates: non-negative counts and bounded ratios with 90% intervals.
 
 Every group below is one region x iteration of one table and holds at most its cells, a few dozen rows,
-so the grouped Arrow functions never see more than that.
+so the Arrow functions never need more than that; the samplers draw many groups side by side.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabguard.functions.gaussian import hazard, truncated_draws, truncated_quantile
+from tabguard.functions.gaussian import hazard, sum_quantiles, truncated_points, truncated_quantile
 from tabguard.operators.joins import join_num_denom_broadcast_cell, join_num_denom_by_cell
 from tabguard.operators.noise import margin_of_error
 from tabguard.operators.ranks import exact_percentile
@@ -35,8 +35,12 @@ MARGINS = {
 }
 ALPHA = 0.05
 TRUN = 10.0
+# Draws of the ratio models, and how many deviations above its noisy value a bounded quantity may lie.
 DRAWS = 10_000
+DEVIATIONS = 6.0
 CHAINS = 200
+BLOCK = 64
+"""Groups that are drawn side by side."""
 BURN_IN = 50
 SEED = 777
 EXCLUDED_LEVELS = ("TRACT", "PLACE", "BLOCK_GROUP", "AIANNH")
@@ -149,13 +153,12 @@ def posterior_mean(noisy: np.ndarray, variance: np.ndarray) -> np.ndarray:
     return np.round(np.maximum(mean, 0))
 
 
-def posterior_count(
-    tables: DataFrame, margins: Mapping[int, Sequence[int]], draws: int = DRAWS
-) -> DataFrame:
+def posterior_count(tables: DataFrame, margins: Mapping[int, Sequence[int]]) -> DataFrame:
     """Point estimates and intervals for the output of ``marginal_cells``.
 
     Leaves: closed forms of the truncated normal; the mean is rounded, the interval widened to whole
-    numbers. Margins: the mean is the sum of the rounded leaves, the interval comes from sums of draws.
+    numbers. Margins: the mean is the sum of the rounded leaves, the interval that of the sum of the leaves'
+    distributions. Nothing is drawn.
     """
     margins = {int(k): list(v) for k, v in margins.items()}
 
@@ -170,21 +173,11 @@ def posterior_count(
         noisy = sd > 0
         low[noisy] = truncated_quantile(np.full(noisy.sum(), ALPHA), z[noisy], sd[noisy], 0.0)
         high[noisy] = truncated_quantile(np.full(noisy.sum(), 1 - ALPHA), z[noisy], sd[noisy], 0.0)
-        rng = _rng(*group.loc[0, ["GEOID", "REGION_TYPE", "ITERATION_CODE"]])
-        sample = {}
-        for i, cell in enumerate(cells):
-            if cell not in margins:
-                sample[cell] = (
-                    truncated_draws(rng, z[i], sd[i], np.zeros(draws), np.full(draws, np.inf))
-                    if noisy[i]
-                    else np.full(draws, max(z[i], 0.0))
-                )
         for i, cell in enumerate(cells):
             if cell in margins:
-                parts = [c for c in margins[cell] if c in sample]
-                total = np.sum([sample[c] for c in parts], axis=0)
-                pred[i] = sum(pred[np.where(cells == c)[0][0]] for c in parts)
-                low[i], high[i] = np.quantile(total, [ALPHA, 1 - ALPHA])
+                parts = np.isin(cells, margins[cell])
+                pred[i] = pred[parts].sum()
+                low[i], high[i] = sum_quantiles(z[parts], sd[parts], [ALPHA, 1 - ALPHA])
         group["PRED"], group["PRED_LO"], group["PRED_HI"] = pred, np.floor(low), np.ceil(high)
         return group
 
@@ -200,43 +193,62 @@ def posterior_count(
     return _spread_out(typed).groupBy(*_GROUP).applyInPandas(fit, _COUNT_SCHEMA)
 
 
-def _gibbs_two_part(rng, mean, sd, least: float, most: float, draws: int) -> np.ndarray:
-    """Draws of (n2, n3, d) from independent normals under n2, n3 >= 0, d >= 1 and
-    least * d <= n2 + n3 <= most * d, one coordinate at a time in CHAINS parallel chains."""
-    mean, sd = np.asarray(mean, float), np.maximum(np.asarray(sd, float), 1e-9)
-    n2, n3 = max(mean[0], 0.5), max(mean[1], 0.5)
-    d = max(float(mean[2]), 1.0)
-    if not least * d <= n2 + n3 <= most * d:
-        d = max((n2 + n3) * 2 / (least + most), 1.0)
-        n3 += max(least * d - n2 - n3, 0.0)
-    n2, n3, d = (np.full(CHAINS, x) for x in (n2, n3, d))
-    kept = []
-    for i in range(-BURN_IN, -(-draws // CHAINS)):
-        n2 = _step(rng, mean[0], sd[0], np.maximum(0.0, least * d - n3), most * d - n3)
-        n3 = _step(rng, mean[1], sd[1], np.maximum(0.0, least * d - n2), most * d - n2)
-        total = n2 + n3
-        d = _step(rng, mean[2], sd[2], np.maximum(1.0, total / most), total / least)
-        if i >= 0:
-            kept.append(np.column_stack([n2, n3, d]))
-    return np.concatenate(kept)
-
-
-def _gibbs_one_part(rng, mean, sd, least: float, most: float, draws: int) -> np.ndarray:
-    """Draws of (n, d) under d >= 1 and least * d <= n <= most * d."""
-    mean, sd = np.asarray(mean, float), np.maximum(np.asarray(sd, float), 1e-9)
-    d = np.full(CHAINS, max(float(mean[1]), 1.0))
-    kept = []
-    for i in range(-BURN_IN, -(-draws // CHAINS)):
-        n = _step(rng, mean[0], sd[0], least * d, most * d)
-        d = _step(rng, mean[1], sd[1], np.maximum(1.0, n / most), n / least)
-        if i >= 0:
-            kept.append(np.column_stack([n, d]))
-    return np.concatenate(kept)
-
-
-def _step(rng, mean: float, sd: float, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """One draw per chain inside [low, high]; rounding may leave an interval empty, then ``low``."""
-    return truncated_draws(rng, mean, sd, low, np.maximum(low, high))
+def _chains(
+    u: np.ndarray, mean: np.ndarray, sd: np.ndarray, caps: np.ndarray, floor: float, least: float, most: float, signed: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Draws of numerators and denominator d >= 1 from independent normals under least * d <= sum <= most * d.
+
+    Groups and chains go side by side: ``u`` holds uniform numbers by (group, step, coordinate, chain); ``mean``, ``sd`` and
+    ``caps`` by (coordinate, group, 1), the denominator last. Beside ``caps``, the slack of both ratio bounds ends
+    DEVIATIONS above its noisy value (its size, unless ``signed``). Numerators stay above ``floor``.
+    """
+    sd = np.maximum(sd, 1e-9)
+    top, bottom = mean[:-1].sum(axis=0), mean[-1]
+    spread = (sd[:-1] ** 2).sum(axis=0)
+    above, below = top - least * bottom, most * bottom - top
+    if not signed:
+        above, below = np.abs(above), np.abs(below)
+    above = np.maximum(above + DEVIATIONS * np.sqrt(spread + (least * sd[-1]) ** 2), 0.0)
+    below = np.maximum(below + DEVIATIONS * np.sqrt(spread + (most * sd[-1]) ** 2), 0.0)
+    shape = (mean.shape[1], u.shape[-1])
+    x = [np.broadcast_to(np.maximum(m, 0.5), shape).copy() for m in mean[:-1]]
+    d = np.broadcast_to(np.maximum(bottom, 1.0), shape)
+    total = sum(x)
+    d = np.maximum(d, total / most)
+    x[-1] += np.maximum(least * d - total, 0.0)
+    tops, bottoms = [], []
+    for step in range(u.shape[1]):
+        for i in range(len(x)):
+            rest = sum(x) - x[i]
+            low = np.maximum(np.maximum(floor, least * d - rest), most * d - below - rest)
+            high = np.minimum(np.minimum(caps[i], most * d - rest), least * d + above - rest)
+            x[i] = truncated_points(u[:, step, i], mean[i], sd[i], low, np.maximum(low, high))
+        total = sum(x)
+        low = np.maximum(np.maximum(1.0, total / most), (total - above) / least)
+        high = np.minimum(np.minimum(caps[-1], total / least), (total + below) / most)
+        # the bounds of the ratio itself hold in any case
+        high = np.maximum(np.minimum(np.maximum(low, high), np.maximum(total / least, 1.0)), np.maximum(1.0, total / most))
+        d = truncated_points(u[:, step, -1], mean[-1], sd[-1], np.minimum(low, high), high)
+        if step >= BURN_IN:
+            tops.append(np.stack(x))
+            bottoms.append(d)
+    return np.concatenate(tops, axis=-1), np.concatenate(bottoms, axis=-1)
+
+
+def _uniforms(keys: Sequence[tuple], coordinates: int, draws: int) -> np.ndarray:
+    """Uniform numbers of each group from its own generator, whatever batch it comes in."""
+    return np.stack([_rng(*k).random((BURN_IN - (-draws // CHAINS), coordinates, CHAINS)) for k in keys])
+
+
+def _summary(top: np.ndarray, bottom: np.ndarray) -> list[np.ndarray]:
+    """Mean and interval of the ratio by group."""
+    ratio = top / bottom
+    low, high = np.quantile(ratio, [ALPHA, 1 - ALPHA], axis=1)
+    return [ratio.mean(axis=1), low, high]
+
+
+def _blocks(n: int) -> list[slice]:
+    return [slice(i, i + BLOCK) for i in range(0, n, BLOCK)]
 
 
 _TWO_PART_SCHEMA = (
@@ -266,36 +278,60 @@ def _typed(df: DataFrame, schema: str, missing: Sequence[str]) -> DataFrame:
     )
 
 
+_SIX = ["__n2", "__n3", "__d", "__v2", "__v3", "__vd"]
+
+
 def posterior_ratio_two_part(
     table: DataFrame, least: float, most: float = TRUN, draws: int = DRAWS
 ) -> DataFrame:
     """Ratio estimates for cells 1-3 of a table whose two numerator cells share one denominator.
 
-    ``least`` is the smallest possible total ratio: 1 person per household, 2 per family.
+    ``least`` is the smallest possible total ratio: 1 person per household, 2 per family. Each coordinate
+    stays below DEVIATIONS deviations above its noisy value. A cell that is absent counts 0 without noise.
     """
     names = [p.split()[0] for p in _TWO_PART_SCHEMA.split(", ")]
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        # A cell that is absent counts 0 without noise.
-        by_cell = group.set_index("DATA_CELL").reindex([1, 2, 3]).fillna(0.0)
-        wanted = [(2, "NUM"), (3, "NUM"), (1, "DENOM")]
-        mean = [float(by_cell.loc[c, f"COUNT_NOISY_{side}"]) for c, side in wanted]
-        var = [float(by_cell.loc[c, f"VARIANCE_{side}"]) for c, side in wanted]
-        rng = _rng(*group.iloc[0][_GROUP], least)
-        sample = _gibbs_two_part(rng, mean, np.sqrt(var), least, most, draws)
-        tops = {1: sample[:, 0] + sample[:, 1], 2: sample[:, 0], 3: sample[:, 1]}
-        out = group.copy()
-        for row, cell in zip(out.index, out["DATA_CELL"]):
-            ratio = tops[cell] / sample[:, 2]
-            out.loc[row, "RATIO_PRED"] = ratio.mean()
-            out.loc[row, "PRED_NUM"] = tops[cell].mean()
-            out.loc[row, "PRED_DENOM"] = sample[:, 2].mean()
-            out.loc[row, ["RATIO_PRED_LO", "RATIO_PRED_HI"]] = np.quantile(ratio, [ALPHA, 1 - ALPHA])
-        return out[names]
+    def fit(batches):
+        for batch in batches:
+            # rows carry the noisy values of their group, whose draws are made once a batch
+            groups = batch.drop_duplicates(_GROUP).reset_index(drop=True)
+            found = []
+            for block in _blocks(len(groups)):
+                part = groups.iloc[block]
+                six = part[_SIX].to_numpy(dtype=float).T[:, :, None]
+                mean, sd = six[:3], np.sqrt(six[3:])
+                keys = [(*k, least) for k in part[_GROUP].itertuples(index=False)]
+                tops, bottom = _chains(_uniforms(keys, 3, draws), mean, sd, mean + DEVIATIONS * sd, 0.0, least, most, True)
+                for cell, top in ((1, tops.sum(axis=0)), (2, tops[0]), (3, tops[1])):
+                    ratio, low, high = _summary(top, bottom)
+                    values = dict(zip(_GROUP, [part[g].to_numpy() for g in _GROUP]))
+                    found.append(
+                        pd.DataFrame(
+                            {
+                                **values,
+                                "DATA_CELL": np.int32(cell),
+                                "RATIO_PRED": ratio,
+                                "PRED_NUM": top.mean(axis=1),
+                                "PRED_DENOM": bottom.mean(axis=1),
+                                "RATIO_PRED_LO": low,
+                                "RATIO_PRED_HI": high,
+                            }
+                        )
+                    )
+            if found:
+                yield batch.merge(pd.concat(found), on=[*_GROUP, "DATA_CELL"], how="left")[names]
 
     missing = ["RATIO_PRED", "PRED_NUM", "PRED_DENOM", "RATIO_PRED_LO", "RATIO_PRED_HI"]
-    typed = _typed(table, _TWO_PART_SCHEMA, missing)
-    return _spread_out(typed).groupBy(*_GROUP).applyInPandas(fit, _TWO_PART_SCHEMA)
+    group = Window.partitionBy(*_GROUP)
+
+    def of(column: str, cell: int) -> Column:
+        return F.coalesce(F.max(F.when(F.col("DATA_CELL") == cell, F.col(column))).over(group), F.lit(0.0))
+
+    places = [("COUNT_NOISY_NUM", 2), ("COUNT_NOISY_NUM", 3), ("COUNT_NOISY_DENOM", 1)]
+    places += [("VARIANCE_NUM", 2), ("VARIANCE_NUM", 3), ("VARIANCE_DENOM", 1)]
+    typed = _spread_out(_typed(table, _TWO_PART_SCHEMA, missing))
+    carried = typed.select("*", *[of(c, cell).alias(name) for name, (c, cell) in zip(_SIX, places)])
+    return carried.mapInPandas(fit, _TWO_PART_SCHEMA)
 
 
 def posterior_ratio_one_part(
@@ -309,22 +345,19 @@ def posterior_ratio_one_part(
 
     def fit(batches):
         for batch in batches:
-            batch = batch.copy()
-            batch["RATIO_PRED"] = batch["RATIO_PRED_LO"] = batch["RATIO_PRED_HI"] = np.nan
-            for i, row in batch.fillna(0.0).iterrows():
-                rng = _rng(row["GEOID"], row["REGION_TYPE"], row["ITERATION_CODE"], row["DATA_CELL"])
-                sample = _gibbs_one_part(
-                    rng,
-                    [row["COUNT_NOISY_NUM"], row["COUNT_NOISY_DENOM"]],
-                    np.sqrt([row["VARIANCE_NUM"], row["VARIANCE_DENOM"]]),
-                    least,
-                    most,
-                    draws,
-                )
-                ratio = sample[:, 0] / sample[:, 1]
-                batch.loc[i, "RATIO_PRED"] = ratio.mean()
-                batch.loc[i, ["RATIO_PRED_LO", "RATIO_PRED_HI"]] = np.quantile(ratio, [ALPHA, 1 - ALPHA])
-            yield batch[names]
+            known = batch.fillna(0.0)
+            stats = []
+            for block in _blocks(len(batch)):
+                part = known.iloc[block]
+                mean = part[["COUNT_NOISY_NUM", "COUNT_NOISY_DENOM"]].to_numpy(dtype=float).T[:, :, None]
+                sd = np.sqrt(part[["VARIANCE_NUM", "VARIANCE_DENOM"]].to_numpy(dtype=float).T[:, :, None])
+                keys = list(part[[*_GROUP, "DATA_CELL"]].itertuples(index=False))
+                caps = np.stack([np.full(mean[0].shape, np.inf), np.abs(mean[1]) + DEVIATIONS * sd[1]])
+                tops, bottom = _chains(_uniforms(keys, 2, draws), mean, sd, caps, -np.inf, least, most, False)
+                stats.append(_summary(tops[0], bottom))
+            if stats:
+                ratio, low, high = np.concatenate(stats, axis=1)
+                yield batch.assign(RATIO_PRED=ratio, RATIO_PRED_LO=low, RATIO_PRED_HI=high)[names]
 
     missing = ["RATIO_PRED", "RATIO_PRED_LO", "RATIO_PRED_HI"]
     return _spread_out(_typed(table, _ONE_PART_SCHEMA, missing)).mapInPandas(fit, _ONE_PART_SCHEMA)

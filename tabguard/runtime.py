@@ -16,6 +16,8 @@ _TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cut rows per key before the exchange however many are kept; the cut streams over sorted rows.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.session.timeZone": "UTC",
 }
 

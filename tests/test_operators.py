@@ -35,10 +35,15 @@ def brute_groups(rows, n):
     return sorted(r.e for r in rows if r.g in kept[r.u])
 
 
-@pytest.mark.parametrize("hot_share", [1, 3, 20, 100_000])
-def test_limit_groups_with_hot_pairs(spark, skewed, hot_share):
-    got = limits.limit_groups_per_id(skewed, "u", "g", 2, hot_share)
-    assert sorted(r.e for r in got.collect()) == brute_groups(skewed.collect(), 2)
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_limit_groups_with_hot_pairs(spark, skewed, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = sorted(r.e for r in limits.limit_groups_per_id(skewed, "u", "g", 2).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute_groups(skewed.collect(), 2)
 
 
 def test_limits_above_planner_threshold(spark, skewed):
@@ -181,6 +186,14 @@ def test_truncated_normal_functions():
         assert draws.mean() == pytest.approx(exact, rel=0.08)
         q = gaussian.truncated_quantile(np.array([0.05, 0.95]), np.full(2, mean), np.full(2, sd), 0.0)
         assert q == pytest.approx(np.quantile(draws, [0.05, 0.95]), rel=0.12, abs=0.02)
+    assert gaussian.sum_quantiles([7.0], [3.0], [0.05, 0.95]) == pytest.approx(
+        gaussian.truncated_quantile(np.array([0.05, 0.95]), 7.0, 3.0, 0.0), abs=1e-4
+    )
+    total = sum(gaussian.truncated_draws(rng, m, s, np.zeros(200_000), np.full(200_000, np.inf)) for m, s in [(100, 5), (-9, 2), (3, 7)])
+    assert gaussian.sum_quantiles([100, -9, 3], [5, 2, 7], [0.05, 0.5, 0.95]) == pytest.approx(np.quantile(total, [0.05, 0.5, 0.95]), abs=0.1)
+    assert list(gaussian.sum_quantiles([4, -2], [0, 0], [0.05])) == [4.0]
+    a = np.linspace(-8, 30, 400)
+    assert gaussian.fast_upper_tail(a) == pytest.approx(gaussian.upper_tail(a), rel=2e-7)
     inside = gaussian.truncated_draws(rng, 0.0, 1.0, np.full(500, -60.0), np.full(500, -50.0))
     assert inside.min() >= -60 and inside.max() <= -50
 

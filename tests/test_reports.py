@@ -51,11 +51,12 @@ def test_dq_values_lists_all(spark):
     assert quality.dq_values(df.limit(5), [Pattern("v", r"\d+")]).count() == 0
 
 
-def test_updated_domains(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
-    found = quality.dq_update_domains(df, ["c"])
-    got = quality.updated_domains([Categories("c", ("z",)), Range("n", 0, 1)], found, ["c"])
-    assert got == [Categories("c", ("a", "b")), Range("n", 0, 1)]
+def test_unlisted_values(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3)], "c string, n int")
+    known = quality.dq_update_domains(df, ["c"])
+    assert {(r.column, r.value) for r in known.collect()} == {("c", "a"), ("c", "b")}
+    later = spark.createDataFrame([("b", 1), ("z", 9), ("z", 9), (None, 3)], "c string, n int")
+    assert {tuple(r) for r in quality.dq_unlisted_values(later, ["c"], known).collect()} == {("c", "z", 2), ("c", None, 1)}
 
 
 def test_expected_variances(spark):
