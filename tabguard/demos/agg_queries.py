@@ -309,7 +309,7 @@ def evaluate_budgeted_exact(spark, folder):
     base = account.add_private("events", df, RowsWithId("user_id"))
     bounded = base.enforce(max_groups_per_id("event_type", 5))
     types = Keys.of_values(spark, {"event_type": ["click", "error", "signup", "nothing"]})
-    query_ = bounded.groupby(types).count_distinct(["user_id"], "n", concentrated=True)
+    query_ = bounded.groupby(types).count_distinct(["user_id"], "n")
     return account.evaluate(query_, Concentrated(float("inf")))
 
 

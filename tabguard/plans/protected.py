@@ -292,16 +292,25 @@ def join_bound(left_rows: int, right_rows: int, left_cut, right_cut) -> int:
 
 @dataclass(frozen=True)
 class Query:
-    """An aggregate with the table it reads; ``bound`` is known once the limits are enforced."""
+    """An aggregate with the table it reads and what one individual can change of it.
+
+    ``rooted`` is the bound where groups add up as a root-sum-square, which only concentrated budgets allow; the
+    budget of the evaluation decides between the two.
+    """
 
     measure: agg.Measure | None
     bound: Bound
     mechanism: str = "default"
     answer: Any = None
+    rooted: Bound | None = None
+
+    def bound_for(self, budget: Budget) -> Bound:
+        """The bound that noise under this budget is made for."""
+        return self.rooted if self.rooted is not None and isinstance(budget, Concentrated) else self.bound
 
     def noise(self, budget: Budget):
         """Mechanism and parameter of every noisy component."""
-        return noise_plan(self.measure, _without_delta(budget), self.bound, self.mechanism)
+        return noise_plan(self.measure, _without_delta(budget), self.bound_for(budget), self.mechanism)
 
 
 def _without_delta(budget: Budget) -> Budget:
@@ -315,45 +324,37 @@ class Grouped:
     table: Protected
     keys: Keys
 
-    def _bounded(self, concentrated: bool = False) -> tuple[DataFrame, Bound]:
-        """The table with the cheapest sufficient limits enforced, and the resulting bound."""
-        table, change = self.table, self.table.change
+    def _bound(self, rooted: bool = False) -> Bound:
+        """The smallest bound that follows from the table's protection and the limits already enforced on it."""
+        change, limits_ = self.table.change, self.table.limits
         if isinstance(change, MaxRows):
-            return table.df, Bound.of_rows(change.rows)
+            return Bound.of_rows(change.rows)
         if isinstance(change, MaxRowsInMaxGroups):
             if change.column not in self.keys.columns:
                 raise ValueError(f"answers must be grouped by {change.column}")
-            return table.df, Bound.of_groups(change.groups, change.rows, concentrated)
-        options = []
-        for x in table.limits:
-            if x.kind == "rows":
-                options.append((Bound.of_rows(x.n), (x,)))
-            if x.kind == "groups":
-                for y in table.limits:
-                    if y.kind == "rows_in_group" and y.column == x.column:
-                        grouped = concentrated and x.column in self.keys.columns
-                        options.append((Bound.of_groups(x.n, y.n, grouped), (y, x)))
+            return Bound.of_groups(change.groups, change.rows, rooted)
+        options = [Bound.of_rows(x.n) for x in limits_ if x.kind == "rows"]
+        for x in limits_:
+            for y in limits_:
+                if (x.kind, y.kind) == ("groups", "rows_in_group") and x.column == y.column:
+                    options.append(Bound.of_groups(x.n, y.n, rooted and x.column in self.keys.columns))
         if not options:
             raise ValueError("the rows per identifier must be limited before an aggregate")
-        bound, needed = min(options, key=lambda o: math.sqrt(o[0].squared))
-        df = table.df
-        for limit in needed:
-            df = _cut(df, change.column, limit)
-        return df, bound
+        return min(options, key=lambda o: o.squared)
 
-    def _query(self, build, mechanism: str, concentrated: bool) -> Query:
-        df, bound = self._bounded(concentrated)
-        return Query(build(df), bound, mechanism)
+    def _query(self, build, mechanism: str) -> Query:
+        # Laplace noise goes by the sum over groups under any budget.
+        rooted = None if mechanism == "laplace" else self._bound(rooted=True)
+        return Query(build(self.table.df), self._bound(), mechanism, rooted=rooted)
 
-    def count(self, name: str = "count", mechanism: str = "default", concentrated: bool = False):
-        return self._query(lambda d: agg.agg_count(d, self.keys, name), mechanism, concentrated)
+    def count(self, name: str = "count", mechanism: str = "default"):
+        return self._query(lambda d: agg.agg_count(d, self.keys, name), mechanism)
 
     def count_distinct(
         self,
         columns: Sequence[str] | None = None,
         name: str | None = None,
         mechanism: str = "default",
-        concentrated: bool = False,
     ):
         """Distinct tuples. Identifiers alone are counted from one row each (per group)."""
         change = self.table.change
@@ -367,34 +368,31 @@ class Grouped:
             elif len(groups) == 1 and groups[0] in limited:
                 single = max_rows_per_group_per_id(groups[0], 1)
             if single is not None:
-                one = replace(self.table, limits=_tightest([*self.table.limits, single]))
-                return Grouped(one, self.keys).count(name, mechanism, concentrated)
-        return self._query(
-            lambda d: agg.agg_count_distinct(d, self.keys, columns, name), mechanism, concentrated
-        )
+                return Grouped(self.table.enforce(single), self.keys).count(name, mechanism)
+        return self._query(lambda d: agg.agg_count_distinct(d, self.keys, columns, name), mechanism)
 
-    def sum(self, column, low, high, name=None, mechanism="default", concentrated=False):
+    def sum(self, column, low, high, name=None, mechanism="default"):
         build = lambda d: agg.agg_sum(d, self.keys, column, low, high, name)
-        return self._query(build, mechanism, concentrated)
+        return self._query(build, mechanism)
 
-    def average(self, column, low, high, name=None, mechanism="default", concentrated=False):
+    def average(self, column, low, high, name=None, mechanism="default"):
         build = lambda d: agg.agg_average(d, self.keys, column, low, high, name)
-        return self._query(build, mechanism, concentrated)
+        return self._query(build, mechanism)
 
-    def variance(self, column, low, high, name=None, mechanism="default", concentrated=False):
+    def variance(self, column, low, high, name=None, mechanism="default"):
         build = lambda d: agg.agg_variance(d, self.keys, column, low, high, name)
-        return self._query(build, mechanism, concentrated)
+        return self._query(build, mechanism)
 
-    def stdev(self, column, low, high, name=None, mechanism="default", concentrated=False):
+    def stdev(self, column, low, high, name=None, mechanism="default"):
         build = lambda d: agg.agg_stdev(d, self.keys, column, low, high, name)
-        return self._query(build, mechanism, concentrated)
+        return self._query(build, mechanism)
 
-    def histogram(self, column, bins, name=None, mechanism="default", concentrated=False):
+    def histogram(self, column, bins, name=None, mechanism="default"):
         build = lambda d: agg.agg_histogram(d, self.keys, column, bins, name)
-        return self._query(build, mechanism, concentrated)
+        return self._query(build, mechanism)
 
     def quantile(self, column, q, low, high, name=None, seed=None) -> Query:
-        df, bound = self._bounded()
+        df, bound = self.table.df, self._bound()
 
         def answer(budget: Budget) -> DataFrame:
             epsilon = None
@@ -424,10 +422,10 @@ def group_values(table: Protected, columns: Sequence[str] | None = None, seed=No
     if isinstance(table.change, RowsWithId) and table.change.column in names:
         raise ValueError("identifiers cannot be released")
     if isinstance(table.change, MaxRowsInMaxGroups):
-        df, bound = table.df, Bound.of_groups(table.change.groups, table.change.rows, False)
+        bound = Bound.of_groups(table.change.groups, table.change.rows, False)
     else:
-        df, bound = Grouped(table, Keys.of_values(spark, {}))._bounded()
-    answer = lambda budget: select_groups_private(df, names, budget, int(bound.rows), seed)
+        bound = Grouped(table, Keys.of_values(spark, {}))._bound()
+    answer = lambda budget: select_groups_private(table.df, names, budget, int(bound.rows), seed)
     return Query(None, bound, answer=answer)
 
 
@@ -473,18 +471,13 @@ class Account:
             self._cached.discard(name)
             table.df.unpersist()
 
-    @property
-    def concentrated(self) -> bool:
-        """Whether bounds may use the root-sum-square; pass it to the aggregate methods."""
-        return isinstance(self.ledger.left, Concentrated)
-
     def evaluate(self, query: Query, budget: Budget) -> DataFrame:
         """Debit ``budget`` and return the answer, drawn once and held in shared storage."""
         granted = self.ledger.spend(budget)
         if query.answer is not None:
             return materialise(query.answer(granted))
         charged = _without_delta(granted)
-        return materialise(release(query.measure, charged, query.bound, query.mechanism))
+        return materialise(release(query.measure, charged, query.bound_for(charged), query.mechanism))
 
     def partition(
         self, table: Protected, column: str, splits: Mapping[str, Any], budget: Budget

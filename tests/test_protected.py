@@ -60,14 +60,15 @@ def test_noise_scales_pure(spark, ids):
 def test_noise_scales_concentrated(spark, ids):
     t = with_id(ids)
     for n, expected in [(1, Fraction(1, 2)), (2, 2), (5, Fraction(25, 2))]:
-        q = t.enforce(max_rows_per_id(n)).groupby(total(spark)).count(concentrated=True)
+        q = t.enforce(max_rows_per_id(n)).groupby(total(spark)).count()
         assert [x.parameter for x in q.noise(Concentrated(1))] == [expected]
     q = t.enforce(max_rows_per_id(5)).groupby(total(spark))
     assert [x.parameter for x in q.average("f", 0, 20).noise(Concentrated(1))] == [2500, 25]
     both = t.enforce(max_groups_per_id("g", 2)).enforce(max_rows_per_group_per_id("g", 3))
-    grouped = both.groupby(groups(spark)).average("n", 0, 10, concentrated=True)
+    grouped = both.groupby(groups(spark)).average("n", 0, 10)
     assert [x.parameter for x in grouped.noise(Concentrated(1))] == [450, 18]
-    ungrouped = both.groupby(total(spark)).average("n", 0, 10, concentrated=True)
+    assert grouped.bound_for(Pure(1)).squared == 36
+    ungrouped = both.groupby(total(spark)).average("n", 0, 10)
     assert [x.parameter for x in ungrouped.noise(Concentrated(1))] == [900, 36]
 
 
@@ -186,7 +187,7 @@ def test_limits_follow_operators(spark, ids):
 
 def test_grouping_column(spark, ids):
     t = Protected.load(ids, MaxRowsInMaxGroups("g", 2, 3))
-    assert t.groupby(groups(spark)).count(concentrated=True).bound == Bound(Fraction(6), Fraction(18))
+    assert t.groupby(groups(spark)).count().bound_for(Concentrated(1)) == Bound(Fraction(6), Fraction(18))
     with pytest.raises(ValueError):
         t.groupby(total(spark)).count()
     flat = Protected.load(ids.select("n"), MaxRows(2)).flat_map(F.array(F.lit("A"), F.lit("B"), F.lit("C")), 2, "w", grouping=True)
