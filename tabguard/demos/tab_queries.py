@@ -233,6 +233,27 @@ def all_noisy(spark, folder):
     return both.withColumn("plausible", F.col("COUNT") >= -12 * F.sqrt("VARIANCE")).drop("COUNT")
 
 
+def _all_cut_oracle() -> str:
+    """Truncated leaf counts of every counted table on its key set, stacked in long form."""
+    parts = []
+    for n in COUNTED:
+        t = TABLES[n]
+        sql = unit_oracle(n, False) if t.of_units else person_oracle(n, False, "cell")
+        cell = f'"{t.cell}"' if t.of_units else "cell"
+        it = '"ITERATION_CODE"' if t.race else "'*'"
+        parts.append(
+            f"""SELECT '{n}' AS "TABLE", "REGION_ID", "REGION_TYPE", {it} AS "ITERATION_CODE", {cell} AS "DATA_CELL", "COUNT" FROM ({sql})"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("tab_all_cut", _all_cut_oracle())
+def all_cut(spark, folder):
+    """All counted tables at infinite budget, from one pass over persons."""
+    persons, units, geo = files(spark, folder)
+    return _counts_only(tab.private_tabulations(persons, units, geo, TAUS, budgets(INFINITE), "pure", DIGEST))
+
+
 def _all_exact_oracle() -> str:
     """True counts of every table, stacked in long form."""
     parts = []

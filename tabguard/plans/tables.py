@@ -21,7 +21,7 @@ PERSON_UNIVERSES = {
     "family": f"RELSHIP IN {FAMILY}",
     "own_children": f"RELSHIP IN {OWN_CHILD} AND QAGE < 18",
 }
-"""Person filters. They come before the truncation, so each needs a truncating join of its own."""
+"""Person filters. They come before the truncation, so a household is cut for each of them."""
 
 UNIT_UNIVERSES = {
     "households": "RTYPE_UNIT = '2' AND HHT <> '0'",

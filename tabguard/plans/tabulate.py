@@ -1,9 +1,10 @@
 """Region x iteration x cell tabulations, all tables in one pass.
 
-Persons are cut per household once for each person filter, joined to their unit on the same
-partitioning, and counted per *profile*: state, iteration letters and leaf cells of every table of
-that filter. Profiles are few, whatever the number of persons, and map tasks pre-aggregate them. Only
-profiles are expanded to regions, iterations and cells, so the expansion costs nothing at scale.
+Persons are read once. Running counts along the digest order of a household tell in which person filters
+a record is within the cut; the records left are joined to their unit on the same partitioning and counted
+per *profile*: state, iteration letters and leaf cells of the tables of a filter. Profiles are few, whatever
+the number of persons, and map tasks pre-aggregate them. Only profiles are expanded to regions, iterations
+and cells, so the expansion costs nothing at scale.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabguard.functions.rowhash import digest_order
+from tabguard.functions.rowhash import row_digest
 from tabguard.functions.samplers import add_noise
 from tabguard.operators.expand import (
     EVERYBODY,
@@ -66,26 +67,64 @@ def shared_units(units: DataFrame, geo: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-def person_records(
-    persons: DataFrame,
-    unit_geo: DataFrame,
-    universe: str,
-    tau: int | None,
-    unit_filter: str = "true",
-    digest_columns: Sequence[str] | None = None,
+def person_records(persons: DataFrame, unit_geo: DataFrame, universe: str) -> DataFrame:
+    """All persons of a universe with their unit."""
+    people = persons.withColumnRenamed("RTYPE", "RTYPE_PERSON").filter(PERSON_UNIVERSES[universe])
+    return people.join(unit_geo, "MAFID")
+
+
+def _marks(conditions: Sequence[str]) -> Column:
+    """Bit i for condition i; an unknown condition does not hold."""
+    bits = [F.when(F.expr(c), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(conditions)]
+    return reduce(lambda x, y: x + y, bits)
+
+
+def _has(i: int) -> Column:
+    return F.col("__marks").bitwiseAND(1 << i) != 0
+
+
+def cut_persons(
+    persons: DataFrame, cuts: Sequence[tuple[str, int]], digest_columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Persons of a universe with their unit.
+    """Persons within at least one of the cuts (universe, tau), all in one pass.
 
-    With ``tau`` at most that many persons of a household are kept and units with a repeated key are
-    dropped. The cut is by household, so is the join after it: persons are shuffled once.
+    Column ``__cut<i>`` tells whether the record is among the first tau records of its household in the
+    universe of cut i. Households are bounded before they meet in one task: of records that hold the same
+    filters no more than the largest tau can be wanted, and map tasks cut to that.
     """
-    people = persons.withColumnRenamed("RTYPE", "RTYPE_PERSON").filter(PERSON_UNIVERSES[universe])
-    units = unit_geo.filter(unit_filter)
-    if tau is None:
-        return people.join(units, "MAFID")
-    columns = digest_columns or people.columns
-    people = keep_first(people, ["MAFID"], tau, digest_order(columns))
-    return people.join(keep_unique(units, ["MAFID"]), "MAFID")
+    people = persons.withColumnRenamed("RTYPE", "RTYPE_PERSON")
+    columns = list(digest_columns or people.columns)
+    universes = list(dict.fromkeys(u for u, _ in cuts))
+    marked = (
+        people.withColumn("__marks", _marks([PERSON_UNIVERSES[u] for u in universes]))
+        .filter("__marks > 0")
+        .withColumn("__digest", row_digest(columns))
+    )
+    order = [F.col("__digest"), *[F.col(c).asc_nulls_first() for c in columns]]
+    alike = ["MAFID"] if len(universes) == 1 else ["MAFID", "__marks"]
+    bounded = keep_first(marked, alike, max(tau for _, tau in cuts), order)
+    so_far = Window.partitionBy("MAFID").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    places = {f"__place{i}": F.count_if(_has(i)).over(so_far) for i in range(len(universes))}
+    within = {}
+    for i, (universe, tau) in enumerate(cuts):
+        at = universes.index(universe)
+        within[f"__cut{i}"] = _has(at) & (F.col(f"__place{at}") <= tau)
+    kept = bounded.withColumns(places).withColumns(within)
+    return kept.filter(reduce(lambda x, y: x | y, [F.col(c) for c in within])).drop("__marks", "__digest", *places)
+
+
+def unique_units(unit_geo: DataFrame, filters: Sequence[str]) -> DataFrame:
+    """Units that are the only ones of their key under at least one filter, which ``__unique<i>`` tells."""
+    if len(filters) == 1:
+        return keep_unique(unit_geo.filter(filters[0]), ["MAFID"]).withColumn("__unique0", F.lit(True))
+    marked = unit_geo.withColumn("__marks", _marks(filters)).filter("__marks > 0")
+    # Two units that hold the same filters prove that the key repeats under each of these.
+    proof = keep_first(marked, ["MAFID", "__marks"], 2, [F.col("MAFID")])
+    by_key = Window.partitionBy("MAFID")
+    counts = {f"__n{i}": F.count_if(_has(i)).over(by_key) for i in range(len(filters))}
+    only = {f"__unique{i}": _has(i) & (F.col(f"__n{i}") == 1) for i in range(len(filters))}
+    kept = proof.withColumns(counts).withColumns(only)
+    return kept.filter(reduce(lambda x, y: x | y, [F.col(c) for c in only])).drop("__marks", *counts)
 
 
 def _profile_columns(tables: Sequence[Table], full: bool) -> dict[str, Column]:
@@ -140,14 +179,21 @@ def _count_profiles(
         .groupBy("STATE", *profile)
         .agg(total.alias("__n"))
     )
-    regions = F.array(
+    entries = F.flatten(F.array_compact(F.array(*[_entries(t, full) for t in tables])))
+    return _long(groups.select(_regions().alias("__regions"), F.explode(entries).alias("e"), "__n"))
+
+
+def _regions() -> Column:
+    return F.array(
         F.struct(F.lit("USA").alias("REGION_TYPE"), F.lit("1").alias("REGION_ID")),
         F.struct(F.lit("STATE").alias("REGION_TYPE"), F.col("STATE").alias("REGION_ID")),
     )
-    entries = F.flatten(F.array_compact(F.array(*[_entries(t, full) for t in tables])))
+
+
+def _long(listed: DataFrame) -> DataFrame:
+    """Profiles with their regions and entries (table, iterations, cell), spread out and summed."""
     spread = (
-        groups.select(regions.alias("__regions"), F.explode(entries).alias("e"), "__n")
-        .select("e.TABLE", "e.DATA_CELL", F.explode("e.its").alias("ITERATION_CODE"), "__regions", "__n")
+        listed.select("e.TABLE", "e.DATA_CELL", F.explode("e.its").alias("ITERATION_CODE"), "__regions", "__n")
         .select("TABLE", "DATA_CELL", "ITERATION_CODE", "__n", F.inline("__regions"))
     )
     return (
@@ -157,6 +203,44 @@ def _count_profiles(
     )
 
 
+def _count_cuts(records: DataFrame, groups: Sequence[tuple[Column, Sequence[Table]]]) -> DataFrame:
+    """Long-form counts of several groups of tables over the same records, each group under its own condition.
+
+    A record becomes one short row per group it belongs to: group, letters and leaf cells.
+    """
+    width = max(len(tables) for _, tables in groups)
+    parts = []
+    for i, (condition, tables) in enumerate(groups):
+        race = next((t for t in tables if t.race is not None), None)
+        letters = [F.lit(None).cast("string")] * 2
+        if race is not None:
+            letters = [
+                race_letter(F.col(race.race), strict=True),
+                ethnicity_letter(F.col(race.race), F.col(race.ethnicity)),
+            ]
+        leaves = [first_match(t.leaves) for t in tables] + [F.lit(None).cast("int")] * (width - len(tables))
+        fields = [F.lit(i).alias("__group"), letters[0].alias("__race"), letters[1].alias("__ethnicity")]
+        fields += [leaf.alias(f"__leaf{k}") for k, leaf in enumerate(leaves)]
+        parts.append(F.when(condition, F.struct(*fields)))
+    keys = ["STATE", "__group", "__race", "__ethnicity", *[f"__leaf{k}" for k in range(width)]]
+    rows = records.select("STATE", F.explode(F.array_compact(F.array(*parts))).alias("g")).select("STATE", "g.*")
+    profiles = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    entries = []
+    for i, (_, tables) in enumerate(groups):
+        for k, t in enumerate(tables):
+            letters = [F.lit(EVERYBODY)]
+            if t.race is not None:
+                letters += [F.col("__race"), F.col("__ethnicity")]
+            entry = F.struct(
+                F.lit(t.name).alias("TABLE"),
+                F.array_compact(F.array(*letters)).alias("its"),
+                F.col(f"__leaf{k}").alias("DATA_CELL"),
+            )
+            entries.append(F.when((F.col("__group") == i) & F.col(f"__leaf{k}").isNotNull(), entry))
+    listed = profiles.select(_regions().alias("__regions"), F.explode(F.array_compact(F.array(*entries))).alias("e"), "__n")
+    return _long(listed)
+
+
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -179,7 +263,7 @@ def exact_tabulations(
         tables = [t for t in wanted if t.universe == universe]
         tables = [_as_counted(t) for t in tables]
         if tables:
-            records = person_records(persons, unit_geo, universe, None)
+            records = person_records(persons, unit_geo, universe)
             frames.append(_count_profiles(records, tables, full=True))
     for universe, condition in UNIT_UNIVERSES.items():
         tables = [t for t in wanted if t.universe == universe and t.name != "PH8_num"]
@@ -212,13 +296,21 @@ def leaf_counts(
     wanted = [TABLES[n] for n in (names or COUNTED)]
     unit_geo = unit_records(units, geo) if unit_geo is None else unit_geo
     frames = []
-    shared: dict[tuple, list[Table]] = {}
-    for t in wanted:
-        if not t.of_units:
-            shared.setdefault((t.universe, t.unit_filter, taus[t.name]), []).append(t)
-    for (universe, unit_filter, tau), tables in shared.items():
-        records = person_records(persons, unit_geo, universe, tau, unit_filter, digest_columns)
-        frames.append(_count_profiles(records, tables, full=False))
+    of_persons = [t for t in wanted if not t.of_units]
+    if of_persons:
+        cuts = list(dict.fromkeys((t.universe, taus[t.name]) for t in of_persons))
+        filters = list(dict.fromkeys(t.unit_filter for t in of_persons))
+        shared: dict[tuple, list[Table]] = {}
+        for t in of_persons:
+            place = (cuts.index((t.universe, taus[t.name])), filters.index(t.unit_filter))
+            shared.setdefault((*place, t.race or "HHRACE"), []).append(t)
+        people = cut_persons(persons, cuts, digest_columns)
+        records = people.join(unique_units(unit_geo, filters), "MAFID")
+        groups = [
+            (F.col(f"__cut{cut}") & F.col(f"__unique{unit}"), tables)
+            for (cut, unit, _), tables in shared.items()
+        ]
+        frames.append(_count_cuts(records, groups))
     for universe, condition in UNIT_UNIVERSES.items():
         tables = [t for t in wanted if t.universe == universe]
         if tables:
