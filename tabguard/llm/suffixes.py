@@ -197,8 +197,9 @@ def _sorted_runs(size: int, spread: int, buckets: int):
     core = size - spread + 1
 
     def coded(bucket: int, run: int, items: list) -> Iterator[pa.RecordBatch]:
+        before = b""  # carried across parts: the merge reads a run as one
         for part in range(0, len(items), _ROW):
-            shared, before = [], b""
+            shared = []
             for right, *_ in items[part : part + _ROW]:
                 shared.append(common_prefix(before, right))
                 before = right

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabguard.llm import suffixes
@@ -94,3 +96,42 @@ def test_extents_of_large_groups_equal_those_of_all_pairs():
         pairs = [(suffixes.common_prefix(lefts[i][::-1], lefts[j][::-1]), suffixes.common_prefix(rights[i], rights[j])) for j in range(40) if j != i]
         good = [(a, b) for a, b in pairs if a + b >= 8]
         assert (left[i], right[i]) == ((max(a for a, _ in good), max(b for _, b in good)) if good else (-1, -1))
+
+
+def spans_of_runs(docs, size, spread, n_runs):
+    """All places of ``docs`` in one bucket, ``n_runs`` sorted runs, merged -> the bytes to remove per document."""
+    core, runs, places = size - spread + 1, [], []
+    for text in docs:
+        data = np.frombuffer(text, np.uint8)
+        found = list(suffixes.window_places(data, np.array([0, len(data)]), size, spread))
+        at, first, last = (np.concatenate(x) for x in zip(*found))
+        places.append((at, suffixes._pack(at, at - last, at - first, np.zeros(len(at), np.int64))))
+    cores = Counter(t[i : i + core] for t, (at, _) in zip(docs, places) for i in at.tolist())
+    for k in range(n_runs):
+        rows = []
+        for n in range(k, len(docs), n_runs):
+            at, packed = places[n]
+            again = [cores[docs[n][i : i + core]] > 1 for i in at.tolist()]
+            rows.append({"text": docs[n].decode(), "k1": n, "k2": 0, "packed": packed[np.array(again, bool)].tolist()})
+        kinds = pa.schema([("text", pa.string()), ("k1", pa.int64()), ("k2", pa.int64()), ("packed", pa.list_(pa.int64()))])
+        runs += list(suffixes._sorted_runs(size, spread, 1)(iter([pa.RecordBatch.from_pylist(rows, kinds)])))
+    ordered = pa.Table.from_batches(runs).sort_by([("bucket", "ascending"), ("run", "ascending"), ("part", "ascending")])
+    gone = [bytearray(len(t)) for t in docs]
+    for batch in suffixes._merge_buckets(size, spread)(iter(ordered.to_batches())):
+        for r in batch.to_pylist():
+            gone[r["k1"]][r["start"] : r["stop"]] = b"\1" * (r["stop"] - r["start"])
+    return gone
+
+
+@pytest.mark.parametrize("row", [2, 3, 512])
+def test_runs_of_several_parts_lose_no_repeats(monkeypatch, row):
+    monkeypatch.setattr(suffixes, "_ROW", row)
+    for seed in range(6):
+        docs = [t.encode() for _, t in texts(seed) if t and len(t.encode()) >= 40]
+        seen = Counter(t[i : i + 40] for t in docs for i in range(len(t) - 39))
+        expected = [bytearray(len(t)) for t in docs]
+        for t, gone in zip(docs, expected):
+            for i in range(len(t) - 39):
+                if seen[t[i : i + 40]] > 1:
+                    gone[i : i + 40] = b"\1" * 40
+        assert spans_of_runs(docs, 40, 20, 4) == expected
