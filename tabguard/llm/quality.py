@@ -30,7 +30,8 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     n_repeat_words of whole texts.
 
     Repeats are found without leaving the row: hashes of the 3-word windows, with the window's place in the low bits,
-    are sorted; windows with an equal neighbour repeat, and the words under them are counted once each.
+    are sorted, and windows with an equal neighbour may repeat. Those are sorted again by their words, so that what
+    hashes alone have in common does not count; the words under windows that repeat are counted once each.
     """
     rows = keyed(docs, doc_id=id_col, text=text_col, lang=lang_col, source=source_col)
     rows = rows.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
@@ -44,11 +45,13 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        "words",
         F.transform("words", lambda w: F.xxhash64(w)).alias("w"),
         F.greatest(F.size("words") - 2, F.lit(0)).alias("m"),
     )
     kept = ["doc_id", "lang", "source", "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines"]
     bits = F.ceil(F.log2(F.col("m") + 2)).cast("int")
+    kept.append("words")
     rows = rows.select(*kept, "m", bits.alias("b"), F.expr(
         "zip_with(slice(w, 1, m), zip_with(slice(w, 2, m), slice(w, 3, m), (x, y) -> xxhash64(x, y)), (x, y) -> xxhash64(x, y))"
     ).alias("w"))
@@ -58,6 +61,15 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         "(x, y) -> if(shiftright(x, b) = shiftright(y, b), named_struct('x', x, 'y', y), null)), d -> d is not null)"
     ).alias("d"))
     rows = rows.select(*kept, F.expr("sort_array(array_distinct(concat(transform(d, p -> p.x & low), transform(d, p -> p.y & low))))").alias("p"))
+    rows = rows.select(*kept, F.expr(
+        "sort_array(transform(p, i -> named_struct('g', concat_ws(' ', slice(words, cast(i as int) + 1, 3)), 'i', i)))"
+    ).alias("c"))
+    rows = rows.select(*kept, F.expr(
+        "filter(zip_with(slice(c, 1, greatest(size(c) - 1, 0)), slice(c, 2, greatest(size(c) - 1, 0)), "
+        "(x, y) -> if(x.g = y.g, named_struct('x', x.i, 'y', y.i), null)), d -> d is not null)"
+    ).alias("d"))
+    kept.remove("words")
+    rows = rows.select(*kept, F.expr("sort_array(array_distinct(concat(transform(d, p -> p.x), transform(d, p -> p.y))))").alias("p"))
     covered = F.expr(
         "aggregate(p, named_struct('last', -3L, 'n', 0L), "
         "(a, x) -> named_struct('last', x, 'n', a.n + least(3L, x - a.last)), a -> a.n)"

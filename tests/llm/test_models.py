@@ -136,6 +136,13 @@ def test_quality_counts_equal_brute_force(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_windows_of_other_words_with_the_same_hash_are_no_repeats(spark):
+    same_hash = ["eszycidp yopumzgd pamntyya", "woixzhsd trcjrvct ZDlfzuN3"]
+    texts = [f"{same_hash[0]} x {same_hash[1]}", f"{same_hash[0]} x {same_hash[1]} y {same_hash[0]}", " z ".join(same_hash * 2)]
+    found = quality.counts(spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string"))
+    assert {r.doc_id: r.n_repeat_words for r in found.collect()} == {i: plain_counts(t)[4] for i, t in enumerate(texts)}
+
+
 def test_fences_adapt_to_language_and_source(spark):
     def text(i, length):
         return " ".join("w" * length + str(j * i % 89) for j in range(1, 70))
