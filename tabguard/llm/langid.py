@@ -9,7 +9,7 @@ whole text. N-grams are hashed into a fixed number of features, so the model's s
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +31,10 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_per_language`` bounds the rows that the weights are fitted on; nothing else is sampled."""
+    """``sample_per_language`` and ``sample_total`` bound the rows that the weights are fitted on; nothing else is sampled."""
 
     sample_per_language: int = 1500
+    sample_total: int = 12_000
     epochs: int = 3
     alpha: float = 0.5
     beta: float = 1.0
@@ -169,11 +170,23 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return df[:FEATURES], int(df[FEATURES])
 
 
+def most_per_language(sizes: Iterable[int], settings: Settings) -> float:
+    """The bound on the rows of one language: small languages are taken whole, large ones share what remains of the total."""
+    sizes = sorted(min(v, settings.sample_per_language) for v in sizes)
+    left = float(settings.sample_total)
+    for i, v in enumerate(sizes):
+        if v > left / (len(sizes) - i):
+            return left / (len(sizes) - i)
+        left -= v
+    return float(settings.sample_per_language)
+
+
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Fit a model on all rows (doc_id, text, lang) that are given; rows with null text or lang are left out.
 
     The rows that the weights are fitted on are drawn per language by a hash of id and text, at most about
-    ``sample_per_language`` each, so the same rows give the same model. Without rows the model knows no language.
+    ``sample_per_language`` each and ``sample_total`` in all, so the same rows give the same model. Without rows the
+    model knows no language.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     per_language = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -183,14 +196,15 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         return Model((), np.ones(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     df, n = document_frequencies(rows)
     idf = idf_of(df, n)
+    most = most_per_language(per_language.values(), settings)
     shares = docs.sparkSession.createDataFrame(
-        [(k, min(1.0, settings.sample_per_language / v)) for k, v in per_language.items()], "lang string, share double"
+        [(k, min(1.0, most / v)) for k, v in per_language.items()], "lang string, share double"
     )
     draw = (F.xxhash64("doc_id", "text") / F.lit(2.0**64) + F.lit(0.5)).alias("draw")
     drawn = rows.select("lang", draw, "text").join(F.broadcast(shares), "lang").where(F.col("draw") < F.col("share"))
     number = {k: i for i, k in enumerate(languages)}
     vectors = []
-    sample = _counted(drawn).collect()  # bounded by sample_per_language and FEATURES
+    sample = _counted(drawn).collect()  # bounded by sample_total and FEATURES
     for r in sorted(sample, key=lambda r: (r.draw, bytes(r.places), bytes(r.counts))):
         counts = np.zeros(FEATURES, np.int64)
         counts[np.frombuffer(r.places, "<u2").astype(np.int64)] = np.frombuffer(r.counts, "<u4")
@@ -249,16 +263,24 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language with at least that score."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and, if given, a language with at least that score.
+
+    A model without languages gives no scores, so that the letter alone decides.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_col)
+    place, model_knows = docs.columns.index(text_col), bool(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Predictor(shared.value)
         for batch in batches:
-            found = [known.one(t.as_py()) for t in batch.column(place)]
-            yield batch.filter(pa.array([x != UNDETERMINED and y >= least_score for x, y in found], pa.bool_()))
+            texts = [t.as_py() for t in batch.column(place)]
+            if model_knows:
+                found = [known.one(t) for t in texts]
+                fine = [has_letter(t) and y >= least_score for t, (_, y) in zip(texts, found)]
+            else:
+                fine = [has_letter(t) for t in texts]
+            yield batch.filter(pa.array(fine, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -34,6 +34,28 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_only_texts_without_letters_are_rejected(spark):
+    few = [(i, "the house and the garden " * 3, "en") for i in range(40)] + [(100 + i, "das Haus und der Garten " * 3, "de") for i in range(40)]
+    few += [(200 + i, "la casa e il giardino " * 3, "it") for i in range(40)]
+    docs = spark.createDataFrame(few, "doc_id long, text string, lang string")
+    model = langid.train_on_documents(docs)
+    odd = ["zq", "the casa der", "qqq ђћ", "日本", "12 + 3", "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    assert min(langid.Predictor(model).one(t)[1] for t in odd[:4]) < 0.5
+    nothing = langid.train_on_documents(docs.selectExpr("doc_id", "text", "cast(null as string) as lang"))
+    assert not nothing.languages
+    for m in (model, nothing):
+        assert [r.doc_id for r in langid.keep_identified(frame, m).orderBy("doc_id").collect()] == [0, 1, 2, 3]
+
+
+def test_sample_is_bounded_in_total():
+    s = langid.Settings()
+    assert langid.most_per_language([10**6] * 4, s) == s.sample_per_language
+    sizes = [3, 40] + [10**6] * 50
+    most = langid.most_per_language(sizes, s)
+    assert most > 40 and abs(sum(min(v, most) for v in sizes) - s.sample_total) < 1e-6
+
+
 def test_counting_in_pieces_counts_the_same(monkeypatch):
     text = "".join(random.Random(1).choice("abcdé ") for _ in range(1000))
     whole = langid.ngram_counts(text)
