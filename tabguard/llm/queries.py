@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabguard.demos.registry import query, table
-from tabguard.llm import chat, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
+from tabguard.llm import balls, chat, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
 
 #: The public merge-type vocabulary that the tokenizing query uses; a path, never a copy.
 MODEL_PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -184,6 +184,36 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.token_digests(table(spark, folder, "documents"), MODEL_PATH)
 
 
+def _code_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Assignments and moves unrolled; every part is compared with every entry."""
+    text = f"""
+    WITH k AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (SELECT r, p.i AS p, list_slice(v, p.i * len(v) // {parts} + 1, (p.i + 1) * len(v) // {parts}) AS s FROM k, range({parts}) p(i)),
+    c0 AS MATERIALIZED (SELECT p, r - 1 AS e, s AS c FROM p WHERE r <= {entries})"""
+    for at in range(rounds + 1):
+        text += f""",
+    a{at} AS MATERIALIZED (SELECT r, p, any_value(s) AS s, min({{'d': d, 'e': e}}) AS best FROM (SELECT r, p.p, s, e,
+        CAST(list_sum(list_transform(list_zip(s, c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS BIGINT) AS d FROM p JOIN c{at} c ON p.p = c.p) GROUP BY r, p)"""
+        if at < rounds:
+            text += f""",
+    m{at} AS (SELECT p, e, list(x ORDER BY i) AS c FROM (SELECT p, best.e AS e, i, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+        FROM (SELECT p, best, unnest(s) AS x, unnest(range(len(s))) AS i FROM a{at}) GROUP BY 1, 2, 3) GROUP BY p, e),
+    c{at + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM c{at} c LEFT JOIN m{at} m ON c.p = m.p AND c.e = m.e)"""
+    return text + f""",
+    coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+    books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM k JOIN coded USING (r), books
+    """
+
+
+@query("op11_vector_codes", _code_sql())
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return balls.code_digests(table(spark, folder, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
