@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabguard.demos.registry import query, table
-from tabguard.llm import balls, chat, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
+from tabguard.llm import alignment, balls, chat, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
 
 #: The public merge-type vocabulary that the tokenizing query uses; a path, never a copy.
 MODEL_PATH = public_tokenizers.path("piece_bpe_32k.model")
+#: The two public vocabularies whose tokens are aligned.
+TOKENIZER_PAIR = alignment.Pair(public_tokenizers.path("byte_bpe_50k.json"), MODEL_PATH, public_tokenizers.PATTERN)
 
 
 @query(
@@ -214,6 +216,11 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return balls.code_digests(table(spark, folder, "embeddings"))
 
 
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), TOKENIZER_PAIR)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
