@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabguard.demos.registry import query, table
-from tabguard.llm import alignment, balls, chat, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
+from tabguard.llm import alignment, balls, chat, jaccard, langid, lines, mixing, neighbours, pieces, quality, simhash, suffixes, warc
 
 #: The public merge-type vocabulary that the tokenizing query uses; a path, never a copy.
 MODEL_PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -221,6 +221,11 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"), TOKENIZER_PAIR)
 
 
+@query("op13_jaccard_join")
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
