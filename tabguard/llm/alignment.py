@@ -36,8 +36,8 @@ from tabguard.llm.common import keyed, parallelism, saved
 
 #: Bytes of text tokenized at once in a task.
 _AT_ONCE = 1 << 20
-#: Different pairs that a task holds before it hands on their counts.
-_HELD = 1 << 19
+#: Links counted at once, and different pairs that a task holds before it hands on their counts.
+_LINKS, _HELD = 1 << 19, 1 << 19
 #: Not before a last space: the piece tokenizer has no token for an empty rest, but one for the space.
 _SPLIT = re.compile(r"(?<=[\w!-~]) (?=[\s\S])")
 
@@ -55,6 +55,14 @@ class Pair:
     fan: int = 8
 
 
+def _parts(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most``, by the size of each row."""
+    part = np.cumsum(sizes) // most
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
+        yield batch.slice(s, e - s)
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write for bytes: visible Latin-1 characters stand for themselves, the
     other bytes, in order, for the characters from 256 on."""
@@ -229,11 +237,7 @@ def _short(docs: DataFrame, pair: Pair) -> DataFrame:
         t, row = _loaded(pair), TaskContext.get().partitionId() << 40
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            part = np.cumsum(sizes) // _AT_ONCE
-            for at in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1):
-                if not len(at):
-                    continue
-                own = batch.slice(int(at[0]), len(at))
+            for own in _parts(batch, sizes, _AT_ONCE):
                 texts = own.column(1).to_pylist()
                 found = align_texts(t, [x for x in texts if x])
                 rows = [(next(found) if x else None) or (0, 0, 0, b"", None) for x in texts]
@@ -317,15 +321,19 @@ def _reduced(fragments: DataFrame, pair: Pair, last: int) -> DataFrame:
             return now
 
 
+def _sizes(batch: pa.RecordBatch) -> np.ndarray:
+    """Links of each row (the second column)."""
+    return pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _pair_counts(links: DataFrame) -> DataFrame:
     """(weight, links) -> (pair, n): counts are added up in the tasks before they are dealt by pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = np.concatenate([held, batch.column(1).flatten().to_numpy(zero_copy_only=False)])
-            counts = np.concatenate([counts, np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)])
+        for part in (p for batch in batches for p in _parts(batch, _sizes(batch), _LINKS)):
+            keys = np.concatenate([held, part.column(1).flatten().to_numpy(zero_copy_only=False)])
+            counts = np.concatenate([counts, np.repeat(part.column(0).to_numpy(zero_copy_only=False), _sizes(part))])
             held, place = np.unique(keys, return_inverse=True)
             counts = np.bincount(place, weights=counts, minlength=len(held)).astype(np.int64)
             if len(held) > _HELD:
@@ -354,12 +362,11 @@ def _scored(links: DataFrame, counts: DataFrame, sent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = known.value
-        for batch in batches:
-            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            stops = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        for part in (p for batch in batches for p in _parts(batch, _sizes(batch), _LINKS)):
+            keys, stops = part.column(1).flatten().to_numpy(zero_copy_only=False), np.cumsum(_sizes(part))
             place = np.searchsorted(pairs, keys)
             sums = [np.diff(np.concatenate([[0], np.cumsum(x[place].astype(np.int64))])[np.concatenate([[0], stops])]) for x in (best, n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums[0]), pa.array(sums[1])], ["row", "n_best", "count_sum"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums[0]), pa.array(sums[1])], ["row", "n_best", "count_sum"])
 
     return links.select("row", "links").mapInArrow(run, "row long, n_best long, count_sum long")
 
