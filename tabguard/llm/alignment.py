@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tabguard.llm.common import keyed, parallelism, saved
 
 #: Bytes of text tokenized at once in a task.
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 19
 #: Links counted at once, and different pairs that a task holds before it hands on their counts.
 _LINKS, _HELD = 1 << 19, 1 << 19
 #: Not before a last space: the piece tokenizer has no token for an empty rest, but one for the space.
@@ -95,6 +95,9 @@ class Tokenizers:
         self.length_a = np.array([len(b) for b in self.bytes_a], np.int64)
         self.length_b = np.array([len(b) for b in self.bytes_b], np.int64)
         self.divisible = not any("▁" in n.lstrip("▁") for n in names)
+        # A link is written as one number, short where the vocabularies allow it.
+        self.radix = size
+        self.code, self.code_type = (np.int32, "int") if len(self.bytes_a) * size < 1 << 31 else (np.int64, "long")
         # An id's text in a group: followed by a comma, or by what ends its side of the group.
         self.text_a = [f"{i}{end}".encode() for i in range(len(self.bytes_a)) for end in ",|"]
         self.text_b = [f"{i}{end}".encode() for i in range(size) for end in ",;"]
@@ -111,6 +114,10 @@ class Tokenizers:
         return a, b, np.array(same, bool)
 
 
+    def links(self, ids_a: np.ndarray, ids_b: np.ndarray) -> np.ndarray:
+        return (ids_a * self.radix + ids_b).astype(self.code)
+
+
 @functools.lru_cache(maxsize=2)
 def _loaded(pair: Pair) -> Tokenizers:
     return Tokenizers(pair)
@@ -150,10 +157,7 @@ def _written(t: Tokenizers, ids_a: np.ndarray, ids_b: np.ndarray, hit_a: np.ndar
 
 
 def align_texts(t: Tokenizers, texts: list[str]) -> Iterator[tuple[int, int, int, bytes, np.ndarray] | None]:
-    """Of each text (tokens A, tokens B, groups, written groups, links), None where the bytes differ.
-
-    A link is (id A << 32 | id B).
-    """
+    """Of each text (tokens A, tokens B, groups, written groups, links), None where the bytes differ."""
     a, b, same = t.encode(texts)
     a, b = [x for x, s in zip(a, same) if s], [x for x, s in zip(b, same) if s]
     ids_a, ids_b = _flat(a), _flat(b)
@@ -161,7 +165,7 @@ def align_texts(t: Tokenizers, texts: list[str]) -> Iterator[tuple[int, int, int
     # Texts laid end to end: the end of each is a cut.
     hit_a, hit_b = _cuts(ends_a, ends_b)
     written = _written(t, ids_a, ids_b, hit_a, hit_b)
-    links = ids_a[hit_a] << 32 | ids_b[hit_b]
+    links = t.links(ids_a[hit_a], ids_b[hit_b])
     stop_a, stop_b = np.cumsum([len(x) for x in a]), np.cumsum([len(x) for x in b])
     upto = np.concatenate([[0], np.cumsum(hit_a)])
     at_a = at_b = 0
@@ -195,10 +199,6 @@ class Fragment:
         between = group_text(self.tail_a + right.head_a, self.tail_b + right.head_b) + b";"
         return Fragment(self.cuts + right.cuts, self.head_a, self.head_b, self.body + between + right.body, right.tail_a, right.tail_b)
 
-    def closed(self) -> bytes:
-        """The written groups of a whole document."""
-        return group_text(self.head_a, self.head_b) + (b";" + self.body[:-1] if self.body else b"")
-
 
 def group_text(a: list[int], b: list[int]) -> bytes:
     return (",".join(map(str, a)) + "|" + ",".join(map(str, b))).encode()
@@ -208,7 +208,7 @@ def fragment(t: Tokenizers, ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.nda
     """The fragment of the tokens that end in one byte range, and its links."""
     hit_a, hit_b = _cuts(ends_a, ends_b)
     last_a, last_b = np.flatnonzero(hit_a), np.flatnonzero(hit_b)
-    links = ids_a[last_a] << 32 | ids_b[last_b]
+    links = t.links(ids_a[last_a], ids_b[last_b])
     if not len(last_a):
         return Fragment(0, ids_a.tolist(), ids_b.tolist()), links
     head_a, head_b, tail_a, tail_b = last_a[0] + 1, last_b[0] + 1, last_a[-1] + 1, last_b[-1] + 1
@@ -231,7 +231,7 @@ _RESULT = "n_a long, n_b long, n_groups long, groups_sha256 string"
 
 def _short(docs: DataFrame, pair: Pair) -> DataFrame:
     """(row, doc_id, counts, digest, links) of documents of one byte range."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, code_type = docs.schema["doc_id"].dataType.simpleString(), _loaded(pair).code_type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, row = _loaded(pair), TaskContext.get().partitionId() << 40
@@ -242,16 +242,16 @@ def _short(docs: DataFrame, pair: Pair) -> DataFrame:
                 found = align_texts(t, [x for x in texts if x])
                 rows = [(next(found) if x else None) or (0, 0, 0, b"", None) for x in texts]
                 digests = [hashlib.sha256(r[3]).hexdigest() if r[3] else "" for r in rows]
-                links = [r[4] if r[4] is not None else np.zeros(0, np.int64) for r in rows]
+                links = [r[4] if r[4] is not None else np.zeros(0, t.code) for r in rows]
                 counts = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
                 number = pa.array(np.arange(row, row + len(rows)))
                 row += len(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [number, own.column(0), *counts, pa.array(digests), pa.array(links, pa.list_(pa.int64()))],
+                    [number, own.column(0), *counts, pa.array(digests), pa.array(links, pa.list_(pa.from_numpy_dtype(t.code)))],
                     ["row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"],
                 )
 
-    return docs.mapInArrow(run, f"row long, doc_id {kind}, {_RESULT}, links array<long>")
+    return docs.mapInArrow(run, f"row long, doc_id {kind}, {_RESULT}, links array<{code_type}>")
 
 
 _FRAGMENT = "text_key string, at long, cuts long, head_a array<int>, head_b array<int>, body binary, tail_a array<int>, tail_b array<int>, n_a long, n_b long, same boolean"
@@ -263,19 +263,20 @@ def _fragment_table(rows: list[dict], links: list | None) -> pa.RecordBatch:
     types = dict(text_key=pa.string(), at=pa.int64(), cuts=pa.int64(), head_a=ints, head_b=ints, body=pa.binary(), tail_a=ints, tail_b=ints, n_a=pa.int64(), n_b=pa.int64(), same=pa.bool_())
     columns = {k: pa.array([r[k] for r in rows], kind) for k, kind in types.items()}
     if links is not None:
-        columns["links"] = pa.array(links, pa.list_(pa.int64()))
+        columns["links"] = pa.array(links, pa.list_(pa.from_numpy_dtype(links[0].dtype)))
     return pa.RecordBatch.from_pydict(columns)
 
 
 def _fragments(texts: DataFrame, pair: Pair) -> DataFrame:
     """(text_key, text), long -> the fragments of their byte ranges; a range with tokens of two pieces has two."""
 
+    divisible, code_type = _loaded(pair).divisible, _loaded(pair).code_type
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = _loaded(pair)
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 start = 0
-                for piece in split_text(text.as_py(), pair.span, t.divisible):
+                for piece in split_text(text.as_py(), pair.span, divisible):
                     yield pa.RecordBatch.from_pydict({"text_key": [key], "start": pa.array([start], pa.int64()), "piece": [piece]})
                     start += len(piece.encode()) + (start == 0)  # the space in front belongs to the first piece
 
@@ -298,7 +299,7 @@ def _fragments(texts: DataFrame, pair: Pair) -> DataFrame:
 
     cut = texts.select("text_key", "text").mapInArrow(pieces, "text_key string, start long, piece string")
     dealt = cut.repartition(parallelism(texts.sparkSession), "text_key", "start")
-    return dealt.mapInArrow(run, _FRAGMENT + ", links array<long>")
+    return dealt.mapInArrow(run, f"{_FRAGMENT}, links array<{code_type}>")
 
 
 def _reduced(fragments: DataFrame, pair: Pair, last: int) -> DataFrame:
@@ -326,7 +327,7 @@ def _sizes(batch: pa.RecordBatch) -> np.ndarray:
     return pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _pair_counts(links: DataFrame) -> DataFrame:
+def _pair_counts(links: DataFrame, radix: int) -> DataFrame:
     """(weight, links) -> (pair, n): counts are added up in the tasks before they are dealt by pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,8 +344,8 @@ def _pair_counts(links: DataFrame) -> DataFrame:
 
     partial = links.select("weight", "links").mapInArrow(run, "pair long, n long")
     counts = saved(partial.groupBy("pair").agg(F.sum("n").alias("n")), "pair-sums")
-    best = counts.groupBy(F.expr("pair & 4294967295").alias("b")).agg(F.max("n").alias("most"))
-    joined = counts.join(best, F.expr("pair & 4294967295") == F.col("b"))
+    best = counts.groupBy((F.col("pair") % radix).alias("b")).agg(F.max("n").alias("most"))
+    joined = counts.join(best, F.col("pair") % radix == F.col("b"))
     return joined.select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
@@ -393,18 +394,16 @@ def align(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col: str = "
         parts = saved(_fragments(once, pair), "fragments")
         whole = _reduced(parts, pair, longest + 1)
 
-        def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = batch.to_pylist()
-                digests = [hashlib.sha256(Fragment(*(r[k] for k in _FIELDS)).closed()).hexdigest() if r["same"] else "" for r in found]
-                counts = [pa.array([r[k] if r["same"] else 0 for r in found], pa.int64()) for k in ("n_a", "n_b", "cuts")]
-                yield pa.RecordBatch.from_arrays([batch.column("text_key"), *counts, pa.array(digests)], ["text_key", "n_a", "n_b", "n_groups", "groups_sha256"])
-
-        closed = saved(whole.mapInArrow(close, f"text_key string, {_RESULT}"), "closed")
+        head = F.concat_ws("|", *[F.array_join(F.col(c).cast("array<string>"), ",") for c in ("head_a", "head_b")])
+        body = F.col("body").cast("string")
+        written = F.when(F.length(body) > 0, F.concat(head, F.lit(";"), F.substring(body, F.lit(1), F.length(body) - 1))).otherwise(head)
+        counts = [F.when(F.col("same"), F.col(c)).otherwise(F.lit(0).cast("long")).alias(n) for c, n in (("n_a", "n_a"), ("n_b", "n_b"), ("cuts", "n_groups"))]
+        digest = F.when(F.col("same"), F.sha2(written.cast("binary"), 256)).otherwise("").alias("groups_sha256")
+        closed = saved(whole.select("text_key", *counts, digest), "closed")
         keys = closed.where("n_groups > 0").join(copies, "text_key").select("text_key", "weight", (-1 - F.monotonically_increasing_id()).alias("row"))
         keys = saved(keys, "long-rows")
         links = links.unionByName(parts.join(keys, "text_key").select("row", "weight", "links"))
-    counts = saved(_pair_counts(links), "pairs")
+    counts = saved(_pair_counts(links, _loaded(pair).radix), "pairs")
     scored = _scored(links, counts, pair.sent).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
     if longest is not None:
         scored = saved(scored, "scored")
