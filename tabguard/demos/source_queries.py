@@ -92,26 +92,66 @@ def _typed_sql(fields, source):
     return f"SELECT {', '.join(columns)} FROM ({source})"
 
 
+def damaged(record, fields, sep):
+    """SQL for the records as lines (``value``, ``k``), of which some are cut short, empty, or have a field too many."""
+    line = f"concat_ws('{sep}', {', '.join(f.name for f in fields)})"
+    more = f"WHEN k % 227 = 0 THEN concat(line, '{sep}x')" if sep else ""
+    return f"""SELECT CASE WHEN k % 211 = 0 THEN substr(line, 1, 40) WHEN k % 223 = 0 THEN '' {more} ELSE line END AS value, k
+    FROM (SELECT {line} AS line, CAST(MAFID AS BIGINT) AS k FROM ({record}) r) l"""
+
+
+def _is_broken(sep):
+    return "k % 211 = 0 OR k % 223 = 0" + (" OR k % 227 = 0" if sep else "")
+
+
+def _why(fields, piped):
+    by_place = f"length(value) || ' characters instead of {sum(f.width for f in fields)}'"
+    by_pipe = f"len(string_split(value, '|')) || ' fields instead of {len(fields)}'"
+    return f"CASE WHEN {piped} THEN {by_pipe} ELSE {by_place} END"
+
+
+def _scanned_sql(fields, source, sep):
+    """Typed records of the whole lines, and the broken ones with why."""
+    lines = damaged(source, fields, sep)
+    whole = _typed_sql(fields, f"SELECT * FROM (SELECT *, CAST(MAFID AS BIGINT) AS k FROM ({source})) WHERE NOT ({_is_broken(sep)})")
+    nulls = ", ".join("NULL" for _ in fields)
+    return f"""SELECT *, CAST(NULL AS VARCHAR) AS "BROKEN_LINE", CAST(NULL AS VARCHAR) AS "REASONS" FROM ({whole})
+    UNION ALL SELECT {nulls}, value, {_why(fields, 'true' if sep else 'false')} FROM ({lines}) WHERE {_is_broken(sep)}"""
+
+
 def record_lines(spark, folder, sql, fields, label, sep=""):
-    return _lines(derived(spark, folder, sql), label, *[f.name for f in fields], sep=sep)
+    path = scratch_path(spark, label)
+    derived(spark, folder, damaged(sql, fields, sep)).select("value").write.text(path)
+    return path
 
 
-@query("scan_fixed_width_unit", _typed_sql(UNIT_FIELDS, _U))
+@query("scan_fixed_width_unit", _scanned_sql(UNIT_FIELDS, _U, ""))
 def scan_fixed_width_unit(spark, folder):
-    return text.scan_fixed_width_unit(spark, record_lines(spark, folder, UNIT_RECORD, UNIT_FIELDS, "units"))
+    path = record_lines(spark, folder, UNIT_RECORD, UNIT_FIELDS, "units")
+    return text.scan_fixed_width_unit(spark, path).drop(*text.PLACE)
 
 
-@query("scan_fixed_width_person", _typed_sql(PERSON_FIELDS, _P))
+@query("scan_fixed_width_person", _scanned_sql(PERSON_FIELDS, _P, ""))
 def scan_fixed_width_person(spark, folder):
-    return text.scan_fixed_width_person(
-        spark, record_lines(spark, folder, PERSON_RECORD, PERSON_FIELDS, "persons")
-    )
+    path = record_lines(spark, folder, PERSON_RECORD, PERSON_FIELDS, "persons")
+    return text.scan_fixed_width_person(spark, path).drop(*text.PLACE)
 
 
-@query("scan_pipe_record", _typed_sql(UNIT_FIELDS, _U))
+@query("scan_pipe_record", _scanned_sql(UNIT_FIELDS, _U, "|"))
 def scan_pipe_record(spark, folder):
     path = record_lines(spark, folder, UNIT_RECORD, UNIT_FIELDS, "pipes", sep="|")
-    return text.scan_pipe_record(spark, path, UNIT_FIELDS)
+    both = text.quarantine(text.scan_pipe_record(spark, path, UNIT_FIELDS), scratch_path(spark, "quarantine"))
+    return both.records.drop(*text.PLACE).unionByName(both.rejects.drop(*text.PLACE), allowMissingColumns=True)
+
+
+@query(
+    "reject_counts",
+    f"""SELECT {_why(UNIT_FIELDS, 'true')} AS "REASONS", count(*) AS n_lines FROM ({damaged(_U, UNIT_FIELDS, '|')}) WHERE {_is_broken('|')} GROUP BY 1""",
+)
+def reject_counts(spark, folder):
+    path = record_lines(spark, folder, UNIT_RECORD, UNIT_FIELDS, "pipes", sep="|")
+    both = text.quarantine(text.scan_pipe_record(spark, path, UNIT_FIELDS), scratch_path(spark, "quarantine"))
+    return text.reject_counts(both.rejects).groupBy("REASONS").agg(F.sum("n_lines").alias("n_lines"))
 
 
 _GEO_NAMES = "OIDTABBLK TABBLKST TABBLKCOU TABTRACTCE TABBLK TABBLKGRPCE REGIONCE DIVISIONCE PLACEFP AIANNHCE".split()
@@ -303,16 +343,57 @@ def popgroup_region_filter(spark, folder):
     return households.popgroup_region_filter(totals, geo, ["03", "16"])
 
 
-@query(
-    "dq_record_rules_unit",
-    f"""SELECT "MAFID", concat_ws(', ', CASE WHEN "BCUSTATEFP" = '03' THEN 'BCUSTATEFP' END, CASE WHEN "TEN" = '9' THEN 'TEN' END,
-CASE WHEN "P18" = 'x1' THEN 'P18' END) AS fields FROM (SELECT MAFID AS "MAFID", BCUSTATEFP AS "BCUSTATEFP", TEN AS "TEN", P18 AS "P18" FROM ({_U}))
-WHERE "BCUSTATEFP" = '03' OR "TEN" = '9' OR "P18" = 'x1'""",
-)
+def dirty(record, fields, key, step):
+    """SQL for the records in which each field in turn holds a text that its rule does not allow."""
+    bad = [f"CASE WHEN {key} % {step} = {i} THEN '{'x' * f.width}' ELSE {f.name} END AS {f.name}" for i, f in enumerate(fields, 1)]
+    return f"SELECT {', '.join(bad)} FROM ({record}) r"
+
+
+UNIT_KEY, PERSON_KEY = "CAST(MAFID AS BIGINT)", "(CAST(MAFID AS BIGINT) * 7 + CAST(trim(CUF_PNC) AS BIGINT))"
+DIRTY_UNIT = dirty(f"SELECT * FROM ({UNIT_RECORD}) u", UNIT_FIELDS, UNIT_KEY, 401)
+DIRTY_PERSON = dirty(f"SELECT * FROM ({PERSON_RECORD}) p", PERSON_FIELDS, PERSON_KEY, 401)
+
+
+def _broken_of(sep):
+    """Whether a record's line is damaged, by its key; a record whose key is spoilt is never damaged."""
+    return f"coalesce(k % 211 = 0 OR k % 223 = 0{' OR k % 227 = 0' if sep else ''}, false)"
+
+
+def _rules_sql(record, fields, sep, shown, own):
+    """Names of the failed fields of each record by the rules' own reading in SQL, and the broken lines."""
+    dirty_sql = oracle_text(record)
+    failed = ", ".join(f"CASE WHEN {f.name} = '{'x' * f.width}'{' OR ' + own[f.name] if f.name in own else ''} THEN '{f.name}' END" for f in fields)
+    return f"""WITH r AS ({dirty_sql}), n AS (SELECT *, TRY_CAST(MAFID AS BIGINT) AS k, concat_ws(', ', {failed}) AS fields,
+        concat_ws('{sep}', {', '.join(f.name for f in fields)}) AS line FROM r),
+    b AS (SELECT CASE WHEN k % 211 = 0 THEN substr(line, 1, 40) WHEN k % 223 = 0 THEN '' ELSE concat(line, '{sep}x') END AS value FROM n WHERE {_broken_of(sep)})
+    SELECT {', '.join(f'{c} AS "{c}"' for c in shown)}, fields, CAST(NULL AS VARCHAR) AS "BROKEN_LINE", CAST(NULL AS VARCHAR) AS why FROM n
+    WHERE fields <> '' AND NOT {_broken_of(sep)}
+    UNION ALL SELECT {', '.join('NULL' for _ in shown)}, '', value, {_why(fields, "contains(value, '|')")} FROM b"""
+
+
+def _rule_lines(spark, folder, record, fields, label, sep):
+    """Damaged lines of the dirty records; a spoilt key damages nothing."""
+    line = f"concat_ws('{sep}', {', '.join(f.name for f in fields)})"
+    more = f"WHEN k % 227 = 0 THEN concat(line, '{sep}x')" if sep else ""
+    sql = f"""SELECT CASE WHEN k % 211 = 0 THEN substr(line, 1, 40) WHEN k % 223 = 0 THEN '' {more} ELSE line END AS value
+    FROM (SELECT {line} AS line, TRY_CAST(MAFID AS BIGINT) AS k FROM ({record}) d) l"""
+    path = scratch_path(spark, label)
+    derived(spark, folder, sql).write.text(path)
+    return text.numbered_lines(spark, path)
+
+
+def _shown_failures(bad, *columns):
+    why = F.when(F.col("BROKEN_LINE").isNotNull(), F.col("REASONS")).alias("why")
+    return bad.select(*columns, _failed_fields(), "BROKEN_LINE", why)
+
+
+_UNIT_OWN = {"BCUSTATEFP": "BCUSTATEFP = '03'", "TEN": "TEN = '9'", "P18": "P18 = 'x1'"}
+
+
+@query("dq_record_rules_unit", _rules_sql(DIRTY_UNIT, UNIT_FIELDS, "", ["MAFID"], _UNIT_OWN))
 def dq_record_rules_unit(spark, folder):
-    path = record_lines(spark, folder, UNIT_RECORD, UNIT_FIELDS, "units")
-    bad = text.dq_record_rules_unit(text.raw_records(spark.read.text(path), UNIT_FIELDS))
-    return bad.select("MAFID", _failed_fields())
+    lines = _rule_lines(spark, folder, DIRTY_UNIT, UNIT_FIELDS, "units", "")
+    return _shown_failures(text.dq_record_rules_unit(text.cut_records(lines, UNIT_FIELDS)), "MAFID")
 
 
 def _failed_fields():
@@ -321,14 +402,10 @@ def _failed_fields():
     return F.concat_ws(", ", names).alias("fields")
 
 
-@query(
-    "dq_record_rules_person",
-    f"""SELECT MAFID AS "MAFID", CUF_PNC AS "CUF_PNC", 'QDB' AS fields FROM ({_P}) WHERE QDB < '19040402'""",
-)
+@query("dq_record_rules_person", _rules_sql(DIRTY_PERSON, PERSON_FIELDS, "|", ["MAFID", "CUF_PNC"], {"QDB": "QDB < '19040402'"}))
 def dq_record_rules_person(spark, folder):
-    path = record_lines(spark, folder, PERSON_RECORD, PERSON_FIELDS, "persons", sep="|")
-    bad = text.dq_record_rules_person(text.raw_records(spark.read.text(path), PERSON_FIELDS))
-    return bad.select("MAFID", "CUF_PNC", _failed_fields())
+    lines = _rule_lines(spark, folder, DIRTY_PERSON, PERSON_FIELDS, "persons", "|")
+    return _shown_failures(text.dq_record_rules_person(text.cut_records(lines, PERSON_FIELDS)), "MAFID", "CUF_PNC")
 
 
 @query("count_rows_per_file", "SELECT count(*) AS n_rows FROM customer GROUP BY c_nationkey")

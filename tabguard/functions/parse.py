@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGER = r"^[+-]?0*\d{1,19}\z"
+_INTEGER = r"^[+-]?\d{1,18}\z"
+_WIDE = r"^[+-]?0*\d{1,19}\z"
 _LEAST, _MOST = str(-(2**63)), str(2**63 - 1)
 _DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\z"
 
 
 def long_or_null(text: Column) -> Column:
-    """Integer between blanks; null for any other text and for integers that a long cannot hold."""
+    """Integer between blanks; null for any other text and for integers that a long cannot hold.
+
+    Up to 18 digits fit whatever they are; only longer texts take the way over decimals.
+    """
     trimmed = F.trim(text)
-    wide = F.when(trimmed.rlike(_INTEGER), trimmed.cast("decimal(20,0)"))
-    return F.when(wide.between(F.lit(_LEAST).cast("decimal(20,0)"), F.lit(_MOST).cast("decimal(20,0)")), wide.cast("long"))
+    wide = F.when(trimmed.rlike(_WIDE), trimmed.cast("decimal(38,0)"))
+    checked = F.when(wide.between(F.lit(_LEAST).cast("decimal(38,0)"), F.lit(_MOST).cast("decimal(38,0)")), wide.cast("long"))
+    return F.when(trimmed.rlike(_INTEGER), trimmed.cast("long")).when(F.length(trimmed) > 18, checked)
 
 
 def number_or_null(text: Column, data_type: str) -> Column:

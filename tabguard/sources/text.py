@@ -72,101 +72,117 @@ def scan_state_files(
     return spark.read.text(state_files(folder, name_format, states, folder_72))
 
 
-def fixed_width_fields(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Raw text fields cut from ``value`` by position."""
-    columns, start = [], 1
+FIXED, PIPED, EITHER = "fixed", "piped", "either"
+BROKEN = ["BROKEN_LINE", "REASONS"]
+PLACE = ["file", "block", "line"]
+
+
+def cut_records(lines: DataFrame, fields: Sequence[Field], layout: str = EITHER) -> DataFrame:
+    """Lines (``value``) cut into raw text fields, permissively: every line gives a row.
+
+    A line that cannot be cut has null fields, itself as ``BROKEN_LINE`` and why in ``REASONS``; both are null for
+    others. ``layout`` says whether lines are cut by position or at pipes; ``EITHER`` tells them apart per line. Cut by
+    position, a line must hold all fields; what follows them is ignored. Columns besides ``value`` (the place of a line,
+    see ``numbered_lines``) are kept.
+    """
+    if layout not in (FIXED, PIPED, EITHER):
+        raise ValueError(f"unknown layout {layout!r}")
+    width, cut, start = sum(f.width for f in fields), [], 1
     for f in fields:
-        columns.append(F.substring("value", start, f.width).alias(f.name))
+        cut.append(F.substring("value", start, f.width))
         start += f.width
-    return lines.select(*columns)
+    piped = {FIXED: F.lit(False), PIPED: F.lit(True), EITHER: F.contains("value", F.lit("|"))}[layout]
+    parts = F.split("value", r"\|", -1)
+    long_enough = F.length("value") >= width
+    cells = F.when(piped, parts).when(long_enough, F.array(*cut))
+    # A generator keeps the optimizer from repeating the split inside every later use of a field.
+    once = lines.select("*", piped.alias("__piped"), F.explode(F.array(cells)).alias("__cells"))
+    whole = F.coalesce(F.size("__cells") == len(fields), F.lit(False))
+    reason = (
+        F.when(F.col("value").isNull(), F.lit("no line"))
+        .when(F.col("__piped"), F.format_string(f"%d fields instead of {len(fields)}", F.size("__cells")))
+        .otherwise(F.format_string(f"%d characters instead of {width}", F.length("value")))
+    )
+    named = [F.when(whole, F.get("__cells", F.lit(i))).alias(f.name) for i, f in enumerate(fields)]
+    places = [c for c in lines.columns if c != "value"]
+    broken = [F.when(~whole, F.coalesce("value", F.lit(""))).alias("BROKEN_LINE"), F.when(~whole, reason).alias("REASONS")]
+    return once.select(*places, *named, *broken)
 
 
-def pipe_fields(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Raw text fields of pipe lines with the right number of fields; see ``bad_pipe_lines``."""
-    parts = F.split("value", r"\|", -1)
-    good = lines.withColumn("__p", parts).filter(F.size("__p") == len(fields))
-    return good.select(*[F.col("__p")[i].alias(f.name) for i, f in enumerate(fields)])
+@dataclass(frozen=True)
+class Quarantine:
+    """Both outputs of one reading: whole records, and the lines that could not be cut with their REASONS."""
 
+    records: DataFrame
+    rejects: DataFrame
 
-def bad_pipe_lines(lines: DataFrame, n_fields: int) -> DataFrame:
-    """Pipe lines with a wrong number of fields, with that number."""
-    sized = lines.withColumn("n_fields", F.size(F.split("value", r"\|", -1)))
-    return sized.filter(F.col("n_fields") != n_fields)
 
+def quarantine(scanned: DataFrame, path: str) -> Quarantine:
+    """Write scanned lines to ``path`` in one job, whole and broken ones, and read both back.
 
-def broken_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Lines (column ``value``) that ``raw_records`` and ``pipe_fields`` cannot cut into the fields, with REASONS."""
-    width = sum(f.width for f in fields)
-    n = F.size(F.split("value", r"\|", -1))
-    reason = (
-        F.when(F.col("value").isNull(), F.lit("no line"))
-        .when(F.contains("value", F.lit("|")) & (n != len(fields)), F.format_string(f"%d fields instead of {len(fields)}", n))
-        .when(~F.contains("value", F.lit("|")) & (F.length("value") < width), F.format_string(f"%d characters instead of {width}", F.length("value")))
-    )
-    return lines.select("value", reason.alias("REASONS")).filter(F.col("REASONS").isNotNull())
+    Broken lines are found by the file statistics of ``REASONS``, so reading either output skips most of the other.
+    """
+    scanned.write.parquet(path)
+    stored = scanned.sparkSession.read.schema(scanned.schema).parquet(path)
+    place = [c for c in PLACE if c in stored.columns]
+    return Quarantine(stored.where("REASONS IS NULL").drop(*BROKEN), stored.where("REASONS IS NOT NULL").select(*place, *BROKEN))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Broken lines per file and reason, with the first of each as an example."""
+    place = F.struct("block", "line")
+    example = F.min_by("BROKEN_LINE", place).alias("example")
+    return rejects.groupBy("file", "REASONS").agg(F.count(F.lit(1)).alias("n_lines"), example)
 
 
 def typed_fields(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Raw text fields as typed columns; text that is no integer becomes null."""
+    """Raw text fields as typed columns; text that is no integer becomes null. Other columns are kept."""
+    names = {f.name: f for f in fields}
     return raw.select(
         *[
-            long_or_null(F.col(f.name)).alias(f.name) if f.kind == "long" else F.col(f.name)
-            for f in fields
+            long_or_null(F.col(c)).alias(c) if c in names and names[c].kind == "long" else F.col(c)
+            for c in raw.columns
         ]
     )
 
 
-def raw_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Fields of a file whose lines are either pipe-delimited or fixed-width, told apart per line.
-
-    Lines that cannot be cut are left to ``broken_records``.
-    """
-    piped = F.contains(F.col("value"), F.lit("|"))
-    width = sum(f.width for f in fields)
-    cut, start = [], 1
-    for f in fields:
-        cut.append(F.substring("value", start, f.width))
-        start += f.width
-    fixed = F.when(F.length("value") >= width, F.array(*cut))
-    cells = F.when(piped, F.split("value", r"\|", -1)).otherwise(fixed)
-    # A generator keeps the optimizer from repeating the split inside every later use of a field.
-    once = lines.select(F.explode(F.array(cells)).alias("cells"))
-    sized = once.filter(F.size("cells") == len(fields))
-    return sized.select(*[F.get("cells", F.lit(i)).alias(f.name) for i, f in enumerate(fields)])
-
-
 def scan_fixed_width_unit(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Fixed-width unit file as typed columns."""
-    return typed_fields(fixed_width_fields(spark.read.text(paths), UNIT_FIELDS), UNIT_FIELDS)
+    """Fixed-width unit file as typed columns, broken lines with null fields; see ``cut_records``."""
+    return typed_fields(cut_records(numbered_lines(spark, paths), UNIT_FIELDS, FIXED), UNIT_FIELDS)
 
 
 def scan_fixed_width_person(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Fixed-width person file as typed columns."""
-    return typed_fields(fixed_width_fields(spark.read.text(paths), PERSON_FIELDS), PERSON_FIELDS)
+    """Fixed-width person file as typed columns, broken lines with null fields; see ``cut_records``."""
+    return typed_fields(cut_records(numbered_lines(spark, paths), PERSON_FIELDS, FIXED), PERSON_FIELDS)
 
 
 def scan_pipe_record(
     spark: SparkSession, paths: str | Sequence[str], fields: Sequence[Field]
 ) -> DataFrame:
-    """Pipe-delimited record file as typed columns; ``broken_records`` lists the lines that it cannot cut."""
-    return typed_fields(pipe_fields(spark.read.text(paths), fields), fields)
+    """Pipe-delimited record file as typed columns, broken lines with null fields; see ``cut_records``."""
+    return typed_fields(cut_records(numbered_lines(spark, paths), fields, PIPED), fields)
 
 
 def record_failures(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Raw records that break a field rule, with all REASONS; clean records are not listed."""
+    """Raw records that break a field rule, with all REASONS; clean records are not listed.
+
+    Of ``cut_records``, broken lines are failures too, with why they could not be cut.
+    """
     reasons = rule_failures({f.name: (f.valid(), f.allowed()) for f in fields})
+    if "REASONS" in raw.columns:
+        reasons = F.coalesce("REASONS", reasons)
     # Generated from an array of at most one text, so that the rules run once per record.
     found = F.filter(F.array(reasons), lambda text: text != "")
-    return raw.select("*", F.explode(found).alias("REASONS"))
+    return raw.select(*[c for c in raw.columns if c != "REASONS"], F.explode(found).alias("REASONS"))
 
 
 def dq_record_rules_unit(raw: DataFrame) -> DataFrame:
-    """Unit records that break a rule."""
+    """Unit records that break a rule, and broken lines."""
     return record_failures(raw, UNIT_FIELDS)
 
 
 def dq_record_rules_person(raw: DataFrame) -> DataFrame:
-    """Person records that break a rule."""
+    """Person records that break a rule, and broken lines."""
     return record_failures(raw, PERSON_FIELDS)
 
 

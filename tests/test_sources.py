@@ -28,8 +28,8 @@ def lines(spark, records, fields, sep=""):
 @pytest.mark.parametrize("sep", ["", "|"])
 def test_clean_records_pass(spark, sep):
     for record, fields in ((UNIT, UNIT_FIELDS), (PERSON, PERSON_FIELDS)):
-        raw = text.raw_records(lines(spark, [record], fields, sep), fields)
-        assert raw.first().asDict() == record
+        raw = text.cut_records(lines(spark, [record], fields, sep), fields)
+        assert raw.first().asDict() == {**record, "BROKEN_LINE": None, "REASONS": None}
         assert text.record_failures(raw, fields).count() == 0
         typed = text.typed_fields(raw, fields).first()
         assert typed.MAFID == 100000001 and isinstance(typed.RTYPE, str)
@@ -60,39 +60,51 @@ def test_clean_records_pass(spark, sep):
 )
 def test_field_rules(spark, fields, base, name, good, bad):
     records = [{**base, name: v} for v in good + bad]
-    raw = text.raw_records(lines(spark, records, fields), fields)
+    raw = text.cut_records(lines(spark, records, fields), fields)
     failed = {r[name]: r.REASONS for r in text.record_failures(raw, fields).collect()}
     assert set(failed) == set(bad)
     assert all(reason.startswith(f"{name} ({v}) out of range (") for v, reason in failed.items())
 
 
-def test_broken_lines(spark):
-    df = spark.createDataFrame([("a|b|c",), ("a|b",)], "value string")
-    assert text.bad_pipe_lines(df, 3).first().n_fields == 2
-    assert text.pipe_fields(df, UNIT_FIELDS[:3]).count() == 1
-    assert text.raw_records(spark.createDataFrame([("2100",)], "value string"), UNIT_FIELDS).count() == 0
-
-
-def test_lines_that_cannot_be_cut_are_reported(spark):
-    width = sum(f.width for f in UNIT_FIELDS)
-    good = ["|".join("1" for _ in UNIT_FIELDS), "1" * width]
+def test_lines_that_cannot_be_cut_are_kept_with_why(spark):
+    width, n = sum(f.width for f in UNIT_FIELDS), len(UNIT_FIELDS)
+    good = ["|".join("1" for _ in UNIT_FIELDS), "1" * width, "1" * width + "more"]
     df = spark.createDataFrame([(v,) for v in [*good, "a|b", "2100", "", None]], "value string")
-    bad = {r.value: r.REASONS for r in text.broken_records(df, UNIT_FIELDS).collect()}
-    assert bad == {
-        "a|b": f"2 fields instead of {len(UNIT_FIELDS)}",
-        "2100": f"4 characters instead of {width}",
-        "": f"0 characters instead of {width}",
-        None: "no line",
-    }
-    assert text.raw_records(df, UNIT_FIELDS).count() == 2
+    rows = text.cut_records(df, UNIT_FIELDS).collect()
+    assert sorted(r.REASONS for r in rows if r.REASONS) == sorted([f"2 fields instead of {n}", f"4 characters instead of {width}", f"0 characters instead of {width}", "no line"])
+    assert sum(r.RTYPE == "1" for r in rows) == 3
+    piped = {r.BROKEN_LINE: r.REASONS for r in text.cut_records(df.where("value IS NOT NULL"), UNIT_FIELDS, text.PIPED).collect() if r.REASONS}
+    assert piped["2100"] == f"1 fields instead of {n}" and len(piped) == 5
+    fixed = text.cut_records(df.where("value IS NOT NULL"), UNIT_FIELDS, text.FIXED)
+    assert sorted(r.BROKEN_LINE for r in fixed.collect() if r.REASONS) == ["", good[0], "2100", "a|b"]
+    with pytest.raises(ValueError):
+        text.cut_records(df, UNIT_FIELDS, "csv")
+    failures = text.record_failures(text.cut_records(df, UNIT_FIELDS), UNIT_FIELDS).collect()
+    assert sum(r.BROKEN_LINE is not None for r in failures) == 4 and len(failures) == 7
+
+
+def test_quarantine_splits_one_reading(spark, tmp_path):
+    whole = ["".join(UNIT.values())] * 3
+    for name, content in (("a.txt", [*whole, "short", *whole, ""]), ("b.txt", ["short", "shorter"])):
+        (tmp_path / name).write_text("".join(x + "\n" for x in content))
+    scanned = text.scan_fixed_width_unit(spark, [str(tmp_path / "a.txt"), str(tmp_path / "b.txt")])
+    both = text.quarantine(scanned, str(tmp_path / "out"))
+    assert both.records.count() == 6 and both.records.select("MAFID").distinct().collect()[0][0] == 100000001
+    rejects = both.rejects.orderBy("file", "block", "line").collect()
+    assert [(r.file[-5:], r.BROKEN_LINE) for r in rejects] == [("a.txt", "short"), ("a.txt", ""), ("b.txt", "short"), ("b.txt", "shorter")]
+    width = sum(f.width for f in UNIT_FIELDS)
+    counts = {(r.file[-5:], r.REASONS): (r.n_lines, r.example) for r in text.reject_counts(both.rejects).collect()}
+    assert counts[("b.txt", f"7 characters instead of {width}")] == (1, "shorter") and len(counts) == 4
+    clean = text.quarantine(scanned.where("REASONS IS NULL"), str(tmp_path / "clean"))
+    assert clean.rejects.isEmpty() and clean.records.columns == both.records.columns
 
 
 def test_integers_as_wide_as_a_long(spark):
     from tabguard.functions.parse import long_or_null
 
-    texts = ["9223372036854775807", " -9223372036854775808", "+000000000000000000000012", "9223372036854775808", "12345678901234567890", "1x", "", None]
+    texts = ["9223372036854775807", " -9223372036854775808", "+000000000000000000000012", "9223372036854775808", "12345678901234567890", "1x", "", None, "-999999999999999999", "000000000000000000", "0" * 60 + "7"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(long_or_null(F.col("t")).alias("v")).collect()
-    assert [r.v for r in rows] == [2**63 - 1, -(2**63), 12, None, None, None, None, None]
+    assert [r.v for r in rows] == [2**63 - 1, -(2**63), 12, None, None, None, None, None, -(10**18 - 1), 0, 7]
 
 
 def test_state_files():
