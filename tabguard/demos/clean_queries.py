@@ -16,7 +16,7 @@ from tabguard.functions.domains import (
     code_columns,
     value_columns,
 )
-from tabguard.operators import cleaning, expand
+from tabguard.operators import cleaning, expand, rowwise
 
 DIRTY = """
 SELECT event_id, user_id, event_type,
@@ -275,6 +275,59 @@ def flat_map_grouping(spark, folder):
     return words.groupby(keys).count().measure.exact()
 
 
+def orbit(n):
+    """n and what follows it: half of an even number, three times an odd one and one more; ends at 1."""
+    while n != 1:
+        yield n
+        n = n // 2 if n % 2 == 0 else 3 * n + 1
+    yield 1
+
+
+_ORBITS = """WITH RECURSIVE o AS (SELECT p_partkey, CAST(p_size AS BIGINT) AS n, 0 AS i FROM part
+UNION ALL SELECT p_partkey, CASE WHEN n % 2 = 0 THEN n // 2 ELSE 3 * n + 1 END, i + 1 FROM o WHERE n <> 1)"""
+
+
+@query(
+    "map_function",
+    f"""{_ORBITS} SELECT p_partkey, count(*) - 1 AS steps, max(n) AS peak, any_value(g) AS common
+FROM o JOIN (SELECT p_partkey, gcd(p_partkey, p_size) AS g FROM part) USING (p_partkey) GROUP BY 1""",
+)
+def map_function(spark, folder):
+    """Loops of unknown length, which no Column expression has."""
+    import math
+
+    def follow(row):
+        path = list(orbit(row["p_size"]))
+        return {"steps": len(path) - 1, "peak": max(path), "common": math.gcd(row["p_partkey"], row["p_size"])}
+
+    part = table(spark, folder, "part").select("p_partkey", "p_size", "p_name")
+    return rowwise.map_function(part, follow, "steps long, peak long, common long", inputs=["p_partkey", "p_size"]).drop("p_size", "p_name")
+
+
+@query("flat_map_function", f"{_ORBITS} SELECT p_partkey, CAST(i AS INTEGER) AS place, n FROM o WHERE i < 6")
+def flat_map_function(spark, folder):
+    def places(row):
+        return ({"place": i, "n": n} for i, n in enumerate(orbit(row["p_size"])))
+
+    part = table(spark, folder, "part").select("p_partkey", "p_size")
+    return rowwise.flat_map_function(part, places, "place int, n long", 6, inputs=["p_size"]).drop("p_size")
+
+
+@query(
+    "flat_map_function_grouping",
+    f"""{_ORBITS}, k AS (SELECT unnest([1, 2, 4, 8, 16, 5, 10, 3]) AS n)
+SELECT CAST(k.n AS BIGINT) AS n, count(o.n) AS count FROM k LEFT JOIN (SELECT n FROM o WHERE i < 9) o ON k.n = o.n GROUP BY 1""",
+)
+def flat_map_function_grouping(spark, folder):
+    """A grouping column from a function: one row meets at most nine groups."""
+    from tabguard.operators.keys import Keys
+    from tabguard.plans.protected import MaxRows, Protected
+
+    sizes = Protected.load(table(spark, folder, "part").select("p_size"), MaxRows(1))
+    met = sizes.flat_map_function(lambda row: ({"n": n} for n in orbit(row["p_size"])), "n long", 9, grouping=True)
+    return met.groupby(Keys.of_values(spark, {"n": [1, 2, 4, 8, 16, 5, 10, 3]})).count().measure.exact()
+
+
 @query(
     "unpivot_regions",
     """SELECT o_orderkey AS "MAFID", 'USA' AS "REGION_TYPE", '1' AS "REGION_ID" FROM orders WHERE o_orderkey % 25 <> 0

@@ -90,11 +90,6 @@ def map_replace(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     return df.select(*[c.alias(name) for name, c in new.items()])
 
 
-def map_batches(df: DataFrame, function: Any, schema: str) -> DataFrame:
-    """Row-wise Python that no Column expression covers, on Arrow batches."""
-    return df.mapInPandas(function, schema)
-
-
 def bin_column(df: DataFrame, column: str, bins: Bins, name: str | None = None) -> DataFrame:
     """Add the bin of ``column`` as ``<column>_binned`` or ``name``."""
     return map_augment(

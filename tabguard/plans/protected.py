@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 
 from tabguard.functions.binning import Bins
 from tabguard.operators import aggregates as agg
-from tabguard.operators import cleaning, expand, joins, limits
+from tabguard.operators import cleaning, expand, joins, limits, rowwise
 from tabguard.operators.keys import Keys
 from tabguard.operators.noise import Bound, noise_plan, release, select_groups_private
 from tabguard.plans.budget import Approximate, Budget, Concentrated, Ledger, Pure, is_infinite, share
@@ -179,9 +179,38 @@ class Protected:
         grouping: bool = False,
     ) -> Protected:
         """Several rows per row. ``grouping`` makes the one new column the grouping column."""
+        self._replaceable(augment)
+        df = expand.flat_map_rows(self.df, items, max_rows, name, augment)
+        return self._expanded(df, max_rows, name if grouping else None, grouping)
+
+    def map_function(self, function, new, augment: bool = True, inputs: Sequence[str] | None = None) -> Protected:
+        """Columns from a Python function of a row."""
+        self._replaceable(augment)
+        df = rowwise.map_function(self.df, function, new, augment, inputs)
+        return self._on(df, None if augment else [])
+
+    def flat_map_function(
+        self,
+        function,
+        new,
+        max_rows: int | None = None,
+        augment: bool = True,
+        grouping: bool = False,
+        inputs: Sequence[str] | None = None,
+    ) -> Protected:
+        """Several rows per row from a Python function; only a table with an identifier needs no ``max_rows``."""
+        self._replaceable(augment)
+        if max_rows is None and not isinstance(self.change, RowsWithId):
+            raise ValueError("max_rows bounds what one row can become and is needed here")
+        df = rowwise.flat_map_function(self.df, function, new, max_rows, augment, inputs)
+        added = df.columns[len(self.df.columns) if augment else 0 :]
+        return self._expanded(df, max_rows, added[0] if len(added) == 1 else None, grouping)
+
+    def _replaceable(self, augment: bool) -> None:
         if not augment and self.fixed_column is not None:
             raise ValueError("all columns cannot be replaced in a table with a protected column")
-        df = expand.flat_map_rows(self.df, items, max_rows, name, augment)
+
+    def _expanded(self, df: DataFrame, max_rows: int | None, name: str | None, grouping: bool) -> Protected:
         change = self.change
         if grouping:
             if name is None or not isinstance(change, MaxRows):
