@@ -321,13 +321,17 @@ def _noisy(name, mechanism, num, den, value, reach, variance):
 
     @query(
         name,
-        f"""SELECT event_type, bucket, CAST({value} AS DOUBLE) AS value, true AS near, true AS spread
+        f"""SELECT event_type, bucket, CAST({value} AS DOUBLE) AS value, true AS near, true AS spread, true AS repeated
 FROM ({oracle_text(COUNTS)})""",
     )
     def run(spark, folder):
         df = derived(spark, folder, COUNTS)
-        drawn = add_noise(F.col(value), mechanism, F.lit(num), F.lit(den))
-        noisy = materialise(df.select("event_type", "bucket", F.col(value).cast("double").alias("value"), drawn.alias("noisy")))
+        keys = ["event_type", "bucket"]
+        drawn = add_noise(F.col(value), mechanism, F.lit(num), F.lit(den), keys)
+        noisy = df.select(*keys, F.col(value).cast("double").alias("value"), drawn.alias("noisy"))
+        # Another evaluation of the same plan, over other partitions.
+        again = df.repartition(3, "bucket").select(*keys, drawn.cast("double").alias("again"))
+        noisy = noisy.join(again, keys)
         noise = F.col("noisy") - F.col("value")
         alike = Window.partitionBy("event_type")  # at most twenty buckets
         return noisy.select(
@@ -336,6 +340,7 @@ FROM ({oracle_text(COUNTS)})""",
             "value",
             (F.abs(noise) <= reach).alias("near"),
             (F.sum(noise * noise).over(alike) / F.count(noise).over(alike)).between(variance / 100, variance * 30).alias("spread"),
+            (F.col("noisy") == F.col("again")).alias("repeated"),
         )
 
     return run

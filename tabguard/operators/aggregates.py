@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabguard.functions.binning import Bins
-from tabguard.functions.samplers import uniform_draw
+from tabguard.functions.samplers import secret_key, uniform_draw
 from tabguard.operators.cleaning import (
     bin_column,
     clamp_measure,
@@ -255,15 +255,16 @@ def agg_quantile(
 
     An interval is drawn with weight ``length * exp(epsilon * score / (2 * rows))``, as the largest of
     the log weights plus Gumbel noise, and the answer is uniform inside it. Empty groups answer from
-    the whole of [low, high]. The result holds random draws: materialise it before use.
+    the whole of [low, high]. Every evaluation of the same plan gives the same draws.
     """
     if not 0 <= q <= 1:
         raise ValueError("a quantile lies between 0 and 1")
     name = name or f"{column}_quantile({q})"
+    key = secret_key(seed)
     gaps = quantile_gaps(df, keys, column, q, low, high)
     appeal = F.col("score")
     if epsilon is not None:
-        gumbel = -F.log(-F.log(uniform_draw(seed)))
+        gumbel = -F.log(-F.log(uniform_draw([*keys.columns, "lo", "hi"], "interval", key)))
         length = F.log(F.col("hi") - F.col("lo"))
         appeal = appeal * F.lit(epsilon / (2 * rows)) + length + gumbel
     # Two numbers instead of one struct keep this a hash aggregate. Both see the same rows in the same
@@ -275,7 +276,7 @@ def agg_quantile(
     )
     whole = {"__lo": F.lit(float(low)), "__hi": F.lit(float(high))}
     chosen = over_keys(keys, best, whole)
-    answer = F.col("__lo") + uniform_draw(seed) * (F.col("__hi") - F.col("__lo"))
+    answer = F.col("__lo") + uniform_draw(keys.columns, "place", key) * (F.col("__hi") - F.col("__lo"))
     return chosen.select(*keys.columns, answer.alias(name))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabguard.functions.gaussian import Z95
-from tabguard.functions.samplers import add_noise
+from tabguard.functions.samplers import add_noise, secret_key
 from tabguard.operators.aggregates import Measure, Part
 from tabguard.plans.budget import Budget, Concentrated, Pure, is_infinite
 
@@ -86,8 +86,8 @@ def release(
     requested: str = "default",
     seed: int | None = None,
 ) -> DataFrame:
-    """The noisy answer. It holds random draws: materialise it exactly once before use."""
-    frame = measure.frame
+    """The noisy answer. Every evaluation of the same plan gives the same draws; a new call gives new ones."""
+    frame, key = measure.frame, secret_key(seed)
     for part, noise in zip(measure.parts, noise_plan(measure, budget, bound, requested)):
         if noise.parameter != 0:
             frame = frame.withColumn(
@@ -97,7 +97,9 @@ def release(
                     noise.mechanism,
                     F.lit(str(noise.parameter.numerator)),
                     F.lit(str(noise.parameter.denominator)),
-                    seed,
+                    measure.keys,
+                    part.column,
+                    key,
                 ),
             )
     return measure.finish(frame)
@@ -167,7 +169,7 @@ def select_groups_private(
 ) -> DataFrame:
     """Group values whose noisy count passes a threshold; counts are not part of the answer.
 
-    At infinite budget these are simply the distinct values. Random: materialise before use.
+    At infinite budget these are simply the distinct values.
     """
     if isinstance(budget, (Pure, Concentrated)):
         raise ValueError("naming groups needs an approximate budget")
@@ -176,7 +178,7 @@ def select_groups_private(
         return counts.drop("__n")
     scale = Fraction(rows) / budget.epsilon
     noisy = add_noise(
-        F.col("__n"), "geometric", F.lit(str(scale.numerator)), F.lit(str(scale.denominator)), seed
+        F.col("__n"), "geometric", F.lit(str(scale.numerator)), F.lit(str(scale.denominator)), columns, "groups", secret_key(seed)
     )
     threshold = selection_threshold(budget.epsilon, budget.delta, rows)
     return counts.withColumn("__n", noisy).filter(F.col("__n") >= threshold).drop("__n")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabguard.functions.rowhash import row_digest
-from tabguard.functions.samplers import add_noise
+from tabguard.functions.samplers import add_noise, secret_key
 from tabguard.operators.expand import (
     EVERYBODY,
     ITERATIONS,
@@ -382,8 +382,8 @@ def private_tabulations(
 ) -> DataFrame:
     """Noisy leaf counts of all tables in long form, with NOISE_DISTRIBUTION and VARIANCE.
 
-    Random: materialise the result exactly once. The two derived tables come from ``derive_tables``,
-    which must read that materialised result.
+    Every evaluation of the result gives the same draws; a new call gives new ones. The two derived tables come from
+    ``derive_tables``, which must read this result.
     """
     spark = persons.sparkSession
     names = [n for n in COUNTED if any(exact(v) != 0 for v in budgets.get(n, {}).values())]
@@ -399,7 +399,7 @@ def private_tabulations(
     mechanism = "geometric" if definition == "pure" else "discrete_gaussian"
     noisy = filled
     if any(exact(v) not in (0, float("inf")) for n in names for v in budgets[n].values()):
-        drawn = add_noise(F.col("COUNT"), mechanism, F.col("NUM"), F.col("DEN"), seed)
+        drawn = add_noise(F.col("COUNT"), mechanism, F.col("NUM"), F.col("DEN"), on, "cells", secret_key(seed))
         noisy = filled.withColumn("COUNT", drawn)
     return noisy.select(
         *LONG,

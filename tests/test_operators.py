@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tabguard.functions import gaussian, samplers
 from tabguard.functions.rowhash import digest_order
+from tabguard.operators import aggregates as agg
 from tabguard.operators import cleaning, joins, limits, noise
 from tabguard.operators.keys import Keys
 from tabguard.operators.ranks import exact_percentile, grouped_ranks
-from tabguard.runtime import materialise
+from tabguard.plans.budget import Approximate, Pure
 
 
 @pytest.fixture(scope="module")
@@ -132,7 +133,7 @@ def test_ranks_and_percentiles(spark):
 
 
 def test_samplers_match_their_variance():
-    rng = random.Random(1)
+    rng = samplers.KeyedDraws(samplers.secret_key(1), "row")
     for scale in (samplers.Fraction(3, 2), samplers.Fraction(7)):
         draws = [samplers.discrete_laplace(scale, rng) for _ in range(20000)]
         r = math.exp(-1 / scale)
@@ -144,18 +145,62 @@ def test_samplers_match_their_variance():
 
 
 def test_noise_columns_in_spark(spark):
-    df = spark.range(4000).select(F.lit(100).cast("long").alias("n"))
+    df = spark.range(4000).select("id", F.lit(100).cast("long").alias("n"))
     for mechanism, num, den, variance in [
         ("geometric", 4, 1, 31.83), ("discrete_gaussian", 9, 1, 9.0), ("laplace", 2, 1, 8.0), ("gaussian", 9, 1, 9.0),
     ]:
-        out = df.select(samplers.add_noise(F.col("n"), mechanism, F.lit(num), F.lit(den), seed=3).alias("x"))
+        out = df.select(samplers.add_noise(F.col("n"), mechanism, F.lit(num), F.lit(den), ["id"], key=samplers.secret_key(3)).alias("x"))
         got = out.agg(F.avg("x"), F.var_pop("x")).first()
         assert got[0] == pytest.approx(100, abs=0.5)
         assert got[1] == pytest.approx(variance, rel=0.15)
-    zero = df.limit(3).select(samplers.add_noise(F.col("n"), "geometric", F.lit(0), F.lit(1)).alias("x"))
+    zero = df.limit(3).select(samplers.add_noise(F.col("n"), "geometric", F.lit(0), F.lit(1), ["id"]).alias("x"))
     assert {r.x for r in zero.collect()} == {100}
-    drawn = materialise(df.select(samplers.add_noise(F.col("n"), "geometric", F.lit(4), F.lit(1)).alias("x")))
-    assert drawn.agg(F.sum("x")).first() == drawn.agg(F.sum("x")).first()
+
+
+def test_a_second_evaluation_draws_the_same_noise(spark):
+    df = spark.range(300).select("id", (F.col("id") % 3 == 0).alias("b"), F.lit(5).cast("long").alias("n"))
+    drawn = df.select("id", samplers.add_noise(F.col("n"), "geometric", F.lit(9), F.lit(1), ["id", "b"]).alias("x"))
+    first = {r.id: r.x for r in drawn.collect()}
+    assert first == {r.id: r.x for r in drawn.collect()}
+    column = samplers.add_noise(F.col("n"), "geometric", F.lit(9), F.lit(1), ["id", "b"])
+    one = {r.id: r.x for r in df.select("id", column.alias("x")).collect()}
+    other = {r.id: r.x for r in df.repartition(5).orderBy(F.desc("id")).select("id", column.alias("x")).collect()}
+    assert one == other and one != first  # a new call has a new key
+    assert len(set(first.values())) > 10
+
+
+def test_answers_do_not_rest_on_a_checkpoint(spark):
+    df = spark.createDataFrame([(i % 5, float(i)) for i in range(200)], "g long, v double")
+    keys = Keys.of_values(spark, {"g": [0, 1, 2, None]})
+    measure = agg.agg_average(df, keys, "v", 0.0, 200.0, "mean")
+    answer = noise.release(measure, Pure(1), noise.Bound.of_rows(1))
+    assert sorted(answer.collect(), key=str) == sorted(answer.collect(), key=str)
+    middle = agg.agg_quantile(df, keys, "v", 0.5, 0.0, 200.0, epsilon=1.0)
+    assert sorted(middle.collect(), key=str) == sorted(middle.repartition(4).collect(), key=str)
+    named = noise.select_groups_private(df, ["g"], Approximate(1, "0.01"))
+    assert sorted(named.collect()) == sorted(named.collect())
+
+
+def test_keyed_bits_are_uniform_and_apart():
+    draws = samplers.KeyedDraws(b"k" * 32, "a")
+    values = [draws.randrange(6) for _ in range(60000)]
+    assert np.abs(np.bincount(values) / 10000 - 1).max() < 0.05
+    assert draws.randrange(1) == 0 and all(draws.randrange(3) < 3 for _ in range(100))
+    bits = [samplers.KeyedDraws(b"k" * 32, f"row {i}").bits(64) for i in range(4000)]
+    share = np.unpackbits(np.array(bits, np.uint64).view(np.uint8)).reshape(4000, 64).mean(axis=0)
+    assert len(set(bits)) == 4000 and np.abs(share - 0.5).max() < 0.05
+    assert samplers.KeyedDraws(b"k" * 32, "a").bits(600) != samplers.KeyedDraws(b"l" * 32, "a").bits(600)
+    again = samplers.KeyedDraws(b"k" * 32, "a")
+    whole, parts = samplers.KeyedDraws(b"k" * 32, "a").bits(1100), [again.bits(500), again.bits(600)]
+    assert whole == parts[0] | parts[1] << 500
+
+
+def test_row_texts_tell_rows_apart(spark):
+    rows = [("a", "b", None), ("a\",\"c1\":\"b", None, None), ("a", None, "b"), ("ab", "", None), ("a", "b", ""), (None, "b", None)]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    texts = [r[0] for r in df.select(samplers.row_text("n", ["x", "y", "z"])).collect()]
+    assert len(set(texts)) == len(rows)
+    assert df.select(samplers.row_text("n", [])).first()[0] == "n"
 
 
 def test_geometric_interval_is_the_inverse(spark):
