@@ -22,7 +22,7 @@ from tabguard.plans.protected import (
     RowsWithId,
     max_groups_per_id,
     max_rows_per_id,
-    partition_by_value,
+    label_parts,
 )
 from tabguard.runtime import materialise
 
@@ -210,13 +210,8 @@ def agg_histogram(spark, folder):
     "SELECT event_type AS part, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events WHERE event_type IN ('click', 'view') GROUP BY 1",
 )
 def partition(spark, folder):
-    parts = partition_by_value(table(spark, folder, "events"), "event_type", {"click": "click", "view": "view"})
-    out = None
-    for name, df in parts.items():
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"))
-        row = row.select(F.lit(name).alias("part"), "n", "users")
-        out = row if out is None else out.unionByName(row)
-    return out
+    parts = label_parts(table(spark, folder, "events"), "event_type", {"click": "click", "view": "view"})
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"))
 
 
 @query(
@@ -227,7 +222,7 @@ UNION ALL SELECT 'groups', event_type, count(*) FROM f GROUP BY ALL
 UNION ALL SELECT 'ids', event_type, count(DISTINCT user_id) FROM f GROUP BY ALL""",
 )
 def account_partition(spark, folder):
-    """Parts of one account for rows, a grouping column and identifiers, exact at infinite budget."""
+    """Parts of one account for rows, a grouping column and identifiers, exact at infinite budget; each in one scan."""
     source = table(spark, folder, "events").select("user_id", "event_type")
     splits = {"click": "click", "view": "view"}
     whole = Keys.of_values(spark, {"event_type": list(splits)})
@@ -239,17 +234,46 @@ def account_partition(spark, folder):
         protected = account.add_private("events", source, change)
         if kind == "ids":  # no user has more than a thousand types, so nothing is cut
             protected = protected.enforce(max_groups_per_id("event_type", 1000))
-        for name, child in account.partition(protected, "event_type", splits, Pure(INF)).items():
-            part = child.private[name]
-            if kind == "ids":
-                answer = child.evaluate(part.enforce(max_rows_per_id(10**6)).groupby(whole).count_distinct(["user_id"], "n"), Pure(INF))
-            else:
-                answer = child.evaluate(part.groupby(whole).count("n"), Pure(INF))
-            row = answer.filter(F.col("event_type") == name).select(F.lit(kind).alias("kind"), F.col("event_type").alias("part"), "n")
-            out = row if out is None else out.unionByName(row)
+        parts = account.split(protected, "event_type", splits, Pure(INF))
+        build = lambda g: g.count("n")
+        if kind == "ids":
+            parts = parts.enforce(max_rows_per_id(10**6))
+            build = lambda g: g.count_distinct(["user_id"], "n")
+        answers = parts.evaluate(whole, build, Pure(INF))
+        rows = answers.where("part = event_type").select(F.lit(kind).alias("kind"), "part", "n")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
+@query(
+    "account_split_noisy",
+    """WITH k AS (SELECT unnest(['click', 'error', 'signup']) AS part)
+SELECT part, count(event_type) AS n, round(coalesce(avg(least(greatest(m, 10), 80)), 45), 6) AS mean, true AS n_near, true AS mean_near FROM k LEFT JOIN
+(SELECT event_type, event_id % 100 AS m FROM events) e ON part = event_type GROUP BY 1""",
+)
+def account_split_noisy(spark, folder):
+    """Parts at budgets of their own, answered together, beside the truth; forty scales are beyond chance."""
+    source = table(spark, folder, "events").select("event_type", (F.col("event_id") % 100).alias("m"))
+    names = ["click", "error", "signup"]
+    nothing = Keys.of_values(spark, {})
+    truth = None
+    for budget, suffix in ((INF, ""), (4, "_noisy")):
+        account = Account(Pure(budget))
+        parts = account.split(account.add_private("events", source, MaxRows(1)), "event_type", dict(zip(names, names)), Pure(budget))
+        own = {n: Pure(INF if budget == INF else i + 1) for i, n in enumerate(names)}
+        counts = parts.evaluate(nothing, lambda g: g.count(f"n{suffix}"), own)
+        both = counts.join(parts.evaluate(nothing, lambda g: g.average("m", 10, 80, f"mean{suffix}"), Pure(budget if budget == INF else 1)), "part")
+        truth = both if truth is None else truth.join(both, "part")
+    # The mean of n rows has two sums, of scale 2 and 70, at half the budget each.
+    return truth.select(
+        "part",
+        "n",
+        F.round("mean", 6).alias("mean"),
+        (F.abs(F.col("n_noisy") - F.col("n")) <= 40).alias("n_near"),
+        (F.abs(F.col("mean_noisy") - F.col("mean")) <= 2 * 40 * 70 / F.greatest(F.col("n") - 80, F.lit(1))).alias("mean_near"),
+    )
+
+
 @query(
     "cached_view",
     """SELECT event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY 1

@@ -10,6 +10,7 @@ from tabguard.demos.standin import DIGEST, files
 from tabguard.demos.tab_queries import TAUS, budgets, person_oracle
 from tabguard.plans import report, smooth
 from tabguard.plans import tabulate as tab
+from tabguard.plans.tables import TABLES, WITH_TAU
 from tabguard.runtime import materialise, scratch_path
 from tabguard.sources import households, sinks, synth, text
 from tabguard.sources.layouts import PERSON_FIELDS, UNIT_FIELDS
@@ -451,23 +452,22 @@ _WRITTEN = """SELECT '{0}' AS "TABLE", "REGION_ID", "REGION_TYPE", cell AS "DATA
 
 @query(
     "sink_tabulations",
-    " UNION ALL ".join(_WRITTEN.format(n, person_oracle(n, False, "cell")) for n in ("PH2", "PH7")),
+    " UNION ALL ".join(_WRITTEN.format(n, person_oracle(n, False, "cell")) for n in WITH_TAU),
 )
 def sink_tabulations(spark, folder):
-    """Two tables at infinite budget, written and read back."""
+    """All tables of persons at infinite budget, published at once and read back."""
     persons, units, geo = files(spark, folder)
-    plan = budgets(float("inf"), ["PH2", "PH7"])
+    plan = budgets(float("inf"), WITH_TAU)
     answers = materialise(tab.private_tabulations(persons, units, geo, TAUS, plan, "pure", DIGEST))
     path = scratch_path(spark, "tables")
     sinks.sink_tabulations(answers, path)
     out = None
-    for n in ("PH2", "PH7"):
-        back = spark.read.csv(f"{path}/{n}", header=True, sep="|")
-        rows = back.select(
+    for n in WITH_TAU:
+        rows = sinks.read_release(spark, path, n).select(
             F.lit(n).alias("TABLE"),
             "REGION_ID",
             "REGION_TYPE",
-            F.col(f"{n}_DATA_CELL").cast("int").alias("DATA_CELL"),
+            F.col(TABLES[n].cell).cast("int").alias("DATA_CELL"),
             F.col("COUNT").cast("long").alias("COUNT"),
             F.col("VARIANCE").cast("double").alias("VARIANCE"),
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -27,11 +28,26 @@ def _checked(df: DataFrame) -> DataFrame:
     )
 
 
+def _decoded(lists: Mapping[str, Sequence[Any]], number: Column) -> list[Column]:
+    """The values that a number below the product of the lists' lengths stands for, the last list turning fastest."""
+    columns, stride = [], 1
+    for name, items in reversed(lists.items()):
+        place = F.pmod(F.call_function("div", number, F.lit(stride)), F.lit(len(items)))
+        columns.append(F.get(F.array(*[F.lit(v) for v in items]), place.cast("int")).alias(name))
+        stride *= len(items)
+    return columns[::-1]
+
+
 @dataclass(frozen=True)
 class Keys:
-    """A set of group keys. ``df`` has no duplicate rows; without columns it is the one global group."""
+    """A set of group keys. ``df`` has no duplicate rows; without columns it is the one global group.
+
+    A product of value lists is a range of numbers, decoded by arithmetic where it is read: it is never stored or joined.
+    ``lists`` keeps the lists, so that products of products stay so.
+    """
 
     df: DataFrame
+    lists: Mapping[str, Sequence[Any]] | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -40,13 +56,13 @@ class Keys:
     @staticmethod
     def of_values(spark: SparkSession, values: Mapping[str, Sequence[Any]]) -> Keys:
         """Product of value lists, each de-duplicated; an empty mapping is the global group."""
-        df = spark.range(1)
+        lists = {}
         for name, items in values.items():
-            distinct = list(dict.fromkeys(items))
-            if not distinct:
+            lists[name] = list(dict.fromkeys(items))
+            if not lists[name]:
                 raise ValueError(f"no values given for key {name}")
-            df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in distinct])))
-        return Keys(_checked(df.select(*values)))
+        size = math.prod(map(len, lists.values()))
+        return Keys(_checked(spark.range(size).select(*_decoded(lists, F.col("id")))), lists)
 
     @staticmethod
     def of_table(df: DataFrame) -> Keys:
@@ -64,10 +80,20 @@ class Keys:
         return Keys(self.df.select(*columns).dropDuplicates())
 
     def times(self, other: Keys) -> Keys:
-        """Product of two key sets without a common column."""
+        """Product of two key sets without a common column; value lists are multiplied as numbers, without a join."""
         from tabguard.operators.joins import cross_join_keys
 
-        return Keys(cross_join_keys(self.df, other.df))
+        if set(self.columns) & set(other.columns):
+            raise ValueError("key sets with a common column cannot be multiplied")
+        if self.lists is not None and other.lists is not None:
+            return Keys.of_values(self.df.sparkSession, {**self.lists, **other.lists})
+        table, listed = (self, other) if other.lists is not None else (other, self)
+        if listed.lists is None:
+            return Keys(cross_join_keys(self.df, other.df))
+        size = math.prod(map(len, listed.lists.values()))
+        rows = table.df.withColumn("__number", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
+        both = _checked(rows.select(*table.columns, *_decoded(listed.lists, F.col("__number"))))
+        return Keys(both.select(*self.columns, *other.columns))
 
     def equality(self, other: Keys) -> DataFrame:
         """One row with ``equal``: whether both hold the same rows, whatever the column order."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -105,6 +106,28 @@ def release(
     return measure.finish(frame)
 
 
+def release_by(measure: Measure, column: str, plans: Mapping[str, Sequence[Noise]], seed: int | None = None) -> DataFrame:
+    """The noisy answer where ``plans`` gives the noise of every component for each value of a key column.
+
+    All values share the mechanisms; only the parameters differ, and an unlisted value is an error.
+    """
+    frame, key = measure.frame, secret_key(seed)
+    for i, part in enumerate(measure.parts):
+        noises = {value: plan[i] for value, plan in plans.items()}
+        mechanisms = {n.mechanism for n in noises.values()}
+        if len(mechanisms) != 1:
+            raise ValueError(f"several mechanisms for {part.column}: {sorted(mechanisms)}")
+        if all(n.parameter == 0 for n in noises.values()):
+            continue
+        num, den = (
+            F.element_at(F.create_map(*[F.lit(x) for v, n in noises.items() for x in (v, str(getattr(n.parameter, side)))]), F.col(column))
+            for side in ("numerator", "denominator")
+        )
+        drawn = add_noise(F.col(part.column), mechanisms.pop(), num, den, measure.keys, part.column, key)
+        frame = frame.withColumn(part.column, drawn)
+    return measure.finish(frame)
+
+
 def noise_columns(df: DataFrame, noise: Noise) -> DataFrame:
     """Append NOISE_DISTRIBUTION and VARIANCE."""
     parameter = F.lit(float(noise.parameter))

@@ -12,12 +12,13 @@ from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tabguard.functions.binning import Bins
 from tabguard.operators import aggregates as agg
 from tabguard.operators import cleaning, expand, joins, limits, rowwise
 from tabguard.operators.keys import Keys
-from tabguard.operators.noise import Bound, noise_plan, release, select_groups_private
+from tabguard.operators.noise import Bound, noise_plan, release, release_by, select_groups_private
 from tabguard.plans.budget import Approximate, Budget, Concentrated, Ledger, Pure, is_infinite, share
 from tabguard.runtime import materialise
 
@@ -508,6 +509,22 @@ class Account:
         charged = _without_delta(granted)
         return materialise(release(query.measure, charged, query.bound_for(charged), query.mechanism))
 
+    def _granted_to_parts(self, table: Protected, column: str, budget: Budget) -> Budget:
+        n = 1
+        if isinstance(table.change, RowsWithId):
+            bounds = [x.n for x in table.limits if x.kind == "groups" and x.column == column]
+            if not bounds:
+                raise ValueError(f"enforce max_groups_per_id({column!r}, n) before splitting by {column}")
+            n = min(bounds)
+        return share(self.ledger.spend(budget), n)
+
+    def split(self, table: Protected, column: str, splits: Mapping[str, Any], budget: Budget) -> Parts:
+        """The parts of ``partition`` side by side in one table, to be answered together."""
+        if PART in table.df.columns:
+            raise ValueError(f"the table has a column {PART}")
+        granted = self._granted_to_parts(table, column, budget)
+        return Parts(replace(table, df=label_parts(table.df, column, splits)), {name: Ledger(granted) for name in splits})
+
     def partition(
         self, table: Protected, column: str, splits: Mapping[str, Any], budget: Budget
     ) -> dict[str, Account]:
@@ -516,13 +533,7 @@ class Account:
         Rows of one identifier may lie in several parts, whose losses add up. A table with an identifier
         therefore needs an enforced ``max_groups_per_id(column, n)``, and each part gets an n-th of the budget.
         """
-        n = 1
-        if isinstance(table.change, RowsWithId):
-            bounds = [x.n for x in table.limits if x.kind == "groups" and x.column == column]
-            if not bounds:
-                raise ValueError(f"enforce max_groups_per_id({column!r}, n) before splitting by {column}")
-            n = min(bounds)
-        granted = share(self.ledger.spend(budget), n)
+        granted = self._granted_to_parts(table, column, budget)
         parts = {}
         for name, part in partition_by_value(table.df, column, splits).items():
             child = Account(granted)
@@ -531,6 +542,88 @@ class Account:
         return parts
 
 
+PART = "part"
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Disjoint parts of a protected table, labelled in one frame, with a budget each.
+
+    An answer is one aggregation with the label as leading group key, so the table is read once however many parts
+    there are; every part's noise follows from what is spent on it.
+    """
+
+    table: Protected
+    ledgers: dict[str, Ledger]
+
+    def apply(self, change) -> Parts:
+        """The same change of every part: ``change`` maps a protected table to another that keeps the label.
+
+        Limits go through ``enforce``, which counts the rows of an identifier in each part.
+        """
+        table = change(self.table)
+        if PART not in table.df.columns:
+            raise ValueError(f"the column {PART} must be kept")
+        return Parts(table, self.ledgers)
+
+    def enforce(self, limit: Limit) -> Parts:
+        """Cut the rows of each identifier to a limit in every part by itself; the same rows stay as in parts cut alone."""
+        table = self.table
+        if not isinstance(table.change, RowsWithId):
+            raise ValueError("limits per identifier need a table with one")
+        digest = [c for c in table.df.columns if c != PART]
+        owned = table.df.withColumn("__owner", F.struct(PART, table.change.column))
+        if limit.kind == "rows":
+            cut = limits.limit_rows_per_id(owned, "__owner", limit.n, digest)
+        elif limit.kind == "groups":
+            cut = limits.limit_groups_per_id(owned, "__owner", limit.column, limit.n)
+        else:
+            cut = limits.limit_rows_per_group_per_id(owned, "__owner", limit.column, limit.n, digest)
+        return Parts(table._on(cut.drop("__owner"), _tightest([*table.limits, limit])), self.ledgers)
+
+    def evaluate(self, keys: Keys, build, budgets: Budget | Mapping[str, Budget]) -> DataFrame:
+        """Answers of the named parts (all at one budget): the label, the keys, and what ``build`` asks of a ``Grouped``."""
+        asked = {name: budgets for name in self.ledgers} if not isinstance(budgets, Mapping) else dict(budgets)
+        unknown = set(asked) - set(self.ledgers)
+        if unknown or not asked:
+            raise ValueError(f"no such parts: {sorted(unknown)}" if unknown else "no part is asked")
+        for name, budget in asked.items():
+            Ledger(self.ledgers[name].left).spend(budget)  # all can pay or none does
+        granted = {name: self.ledgers[name].spend(budget) for name, budget in asked.items()}
+        spark = self.table.df.sparkSession
+        wanted = Keys.of_values(spark, {PART: list(asked)}).times(keys)
+        table = self.table if len(asked) == len(self.ledgers) else self.table.filter(_one_of(list(asked)))
+        query = build(Grouped(table, wanted))
+        if query.answer is None:
+            charged = {name: _without_delta(b) for name, b in granted.items()}
+            plans = {name: noise_plan(query.measure, b, query.bound_for(b), query.mechanism) for name, b in charged.items()}
+            return materialise(release_by(query.measure, PART, plans))
+        # Mechanisms that take a whole budget are asked once per different budget.
+        answers = None
+        for budget in dict.fromkeys(granted.values()):
+            mine = query.answer(budget).filter(_one_of([n for n, b in granted.items() if b == budget]))
+            answers = mine if answers is None else answers.unionByName(mine)
+        return materialise(answers)
+
+
+def _one_of(names: Sequence[str]) -> str:
+    quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
+    return f"{PART} IN ({quoted})"
+
+
+def label_parts(df: DataFrame, column: str, splits: Mapping[str, Any]) -> DataFrame:
+    """Rows of the listed values with their part's name as ``part``, in one reading; other rows are in no part.
+
+    A value listed under several names belongs to the first.
+    """
+    first = {}
+    for name, value in splits.items():
+        first.setdefault(value, name)
+    names = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+    # A lookup by a null key is an error; such rows are in no part.
+    return df.filter(df[column].isin(list(first))).select(F.element_at(names, df[column]).alias(PART), "*")
+
+
 def partition_by_value(df: DataFrame, column: str, splits: Mapping[str, Any]) -> dict[str, DataFrame]:
     """Rows of each listed value; rows of other values are in no part."""
     return {name: df.filter(df[column] == value) for name, value in splits.items()}

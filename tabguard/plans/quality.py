@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabguard.functions.domains import Categories
-from tabguard.operators.joins import anti_join_keys
 from tabguard.operators.noise import noise_variance
 
 
@@ -44,17 +43,21 @@ def dq_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dq_orphan_keys(persons: DataFrame, units: DataFrame, geo: DataFrame, key: str) -> DataFrame:
-    """Keys with no partner: persons without unit, geography without unit, units without geography."""
-    checks = [
-        ("persons without unit", persons, units),
-        ("geography without unit", geo, units),
-        ("units without geography", units, geo),
-    ]
-    out = None
-    for label, left, right in checks:
-        found = anti_join_keys(left, right, key).select(F.lit(label).alias("gap"), F.col(key))
-        out = found if out is None else out.unionByName(found)
-    return out
+    """Keys with no partner: persons without unit, geography without unit, units without geography.
+
+    A null key has no partner.
+    """
+    sides = [df.select(F.col(key), F.lit(1 << i).alias("side")) for i, df in enumerate((persons, units, geo))]
+    # A bit per table and key; every table is pre-aggregated where it is read, and all keys are dealt once.
+    held = sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy(key).agg(F.bit_or("side").alias("side"))
+    person, unit, place = (F.col("side").bitwiseAND(1 << i) != 0 for i in range(3))
+    alone = F.col(key).isNull()
+    gaps = F.array(
+        F.when(person & (~unit | alone), F.lit("persons without unit")),
+        F.when(place & (~unit | alone), F.lit("geography without unit")),
+        F.when(unit & (~place | alone), F.lit("units without geography")),
+    )
+    return held.select(F.explode(F.array_compact(gaps)).alias("gap"), key)
 
 
 def dq_region_scope(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:

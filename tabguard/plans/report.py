@@ -16,7 +16,8 @@ REPORT_KEYS = ["TABLE", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"]
 
 
 def error_rows(noisy: DataFrame, truth: DataFrame) -> DataFrame:
-    """Absolute error per row of the long form; a cell absent from the truth counts 0."""
+    """Absolute error per row (and trial, if numbered) of the long form; a cell absent from the truth counts 0."""
+    numbered = ["TRIAL"] if "TRIAL" in noisy.columns else []
     joined = left_join_truth(noisy, truth)
     if "ITERATION_CODE" not in joined.columns:
         joined = joined.withColumn("ITERATION_CODE", F.lit("*"))
@@ -27,19 +28,15 @@ def error_rows(noisy: DataFrame, truth: DataFrame) -> DataFrame:
         F.coalesce("ITERATION_CODE", F.lit("*")).alias("ITERATION_CODE"),
         "DATA_CELL",
         F.abs(F.col("NOISY") - F.col("GROUND_TRUTH")).alias("ERROR"),
+        *numbered,
     )
 
 
-def error_trials(runs: Sequence[DataFrame]) -> DataFrame:
-    """Rows of repeated runs in one table, numbered by TRIAL from 0.
-
-    Every run must be materialised, or later reads would draw its noise again.
-    """
-    out = None
-    for i, run in enumerate(runs):
-        numbered = run.withColumn("TRIAL", F.lit(i))
-        out = numbered if out is None else out.unionByName(numbered)
-    return out
+def error_trials(trials: DataFrame, truth: DataFrame) -> DataFrame:
+    """Errors of trials drawn side by side: ``trials`` is a tabulation with TRIAL, joined with the truth once."""
+    if "TRIAL" not in trials.columns:
+        raise ValueError("the trials are not numbered")
+    return error_rows(trials, truth)
 
 
 def error_percentile(errors: DataFrame, q: float = 0.9) -> DataFrame:

@@ -379,6 +379,7 @@ def private_tabulations(
     digest_columns: Sequence[str] | None = None,
     seed: int | None = None,
     unit_geo: DataFrame | None = None,
+    trials: int | None = None,
 ) -> DataFrame:
     """Noisy leaf counts of all tables in long form, with NOISE_DISTRIBUTION and VARIANCE.
 
@@ -396,13 +397,17 @@ def private_tabulations(
     counts = leaf_counts(persons, units, geo, taus, names, digest_columns, unit_geo)
     on = ["TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"]
     filled = keys.join(counts, on, "left").withColumn("COUNT", F.coalesce("COUNT", F.lit(0)))
+    if trials is not None:
+        filled = filled.withColumn("TRIAL", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    numbered = [] if trials is None else ["TRIAL"]
     mechanism = "geometric" if definition == "pure" else "discrete_gaussian"
     noisy = filled
     if any(exact(v) not in (0, float("inf")) for n in names for v in budgets[n].values()):
-        drawn = add_noise(F.col("COUNT"), mechanism, F.col("NUM"), F.col("DEN"), on, "cells", secret_key(seed))
+        drawn = add_noise(F.col("COUNT"), mechanism, F.col("NUM"), F.col("DEN"), on + numbered, "cells", secret_key(seed))
         noisy = filled.withColumn("COUNT", drawn)
     return noisy.select(
         *LONG,
+        *numbered,
         F.lit(LABELS[mechanism]).alias("NOISE_DISTRIBUTION"),
         noise_variance(mechanism, F.col("PARAMETER")).alias("VARIANCE"),
     )

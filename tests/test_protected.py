@@ -245,6 +245,77 @@ def test_parts_of_identifier_tables_stay_within_the_budget(spark, ids):
     assert all(2 * child.remaining.epsilon == 1 for child in parts.values())
 
 
+def test_split_answers_as_parts_do(spark, ids):
+    splits = {"a": "A", "b": "B", "c": "nothing"}
+    single, joint = Account(Pure(float("inf"))), Account(Pure(float("inf")))
+    t = single.add_private("ids", ids, RowsWithId("id")).enforce(max_groups_per_id("g", 2))
+    alone = single.partition(t, "g", splits, Pure(float("inf")))
+    joint.add_private("ids", ids, RowsWithId("id"))
+    parts = joint.split(t, "g", splits, Pure(float("inf")))
+    for limits_ in ([max_rows_per_id(1)], [max_rows_per_group_per_id("g2", 1), max_groups_per_id("g2", 1)]):
+        bounded = parts
+        for limit in limits_:
+            bounded = bounded.enforce(limit)
+        for build in (lambda g: g.count("m"), lambda g: g.sum("n", 0, 50, "m"), lambda g: g.average("n", 0, 50, "m")):
+            got = {r.part: r.m for r in bounded.evaluate(total(spark), build, Pure(float("inf"))).collect()}
+            want = {}
+            for name, child in alone.items():
+                table = child.private[name]
+                for limit in limits_:
+                    table = table.enforce(limit)
+                want[name] = child.evaluate(build(table.groupby(total(spark))), Pure(float("inf"))).first().m
+            assert got == want
+        middle = bounded.evaluate(total(spark), lambda g: g.median("n", 0, 50, "m"), {"a": Pure(float("inf"))}).collect()
+        assert [r.part for r in middle] == ["a"] and 0 <= middle[0].m <= 50
+
+
+def test_split_spends_per_part(spark, ids):
+    account = Account(Pure(3))
+    t = account.add_private("ids", ids, MaxRows(1))
+    parts = account.split(t, "g", {"a": "A", "it's": "B"}, Pure(2))
+    assert account.remaining == Pure(1)
+    answer = parts.evaluate(total(spark), lambda g: g.count("m"), {"a": Pure(1), "it's": Pure(2)})
+    assert sorted(r.part for r in answer.collect()) == ["a", "it's"]
+    assert (parts.ledgers["a"].left, parts.ledgers["it's"].left) == (Pure(1), Pure(0))
+    with pytest.raises(ValueError):  # one part cannot pay, so none does
+        parts.evaluate(total(spark), lambda g: g.count("m"), Pure(1))
+    assert parts.ledgers["a"].left == Pure(1)
+    only = parts.apply(lambda p: p.filter("n > 0")).evaluate(groups(spark), lambda g: g.sum("n", 0, 9, "m"), {"a": Pure(1)})
+    assert {r.part for r in only.collect()} == {"a"}
+    for wrong in (
+        lambda: parts.evaluate(total(spark), lambda g: g.count("m"), {"z": Pure(1)}), lambda: parts.evaluate(total(spark), lambda g: g.count("m"), {}),
+        lambda: parts.enforce(max_rows_per_id(1)), lambda: parts.apply(lambda p: p.select(["n"])), lambda: account.split(parts.table, "g", {"a": "A"}, Pure(1)),
+    ):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_noise_of_parts_follows_their_budgets(spark):
+    df = spark.range(4000).select((F.floor(F.col("id") / 1000) % 2).alias("g"), (F.col("id") % 1000).alias("k"))
+    keys = Keys.of_table(df.select("k"))
+    account = Account(Pure(2))
+    parts = account.split(account.add_private("t", df, MaxRows(1)), "g", {"wide": 0, "narrow": 1}, Pure(2))
+    out = parts.evaluate(keys, lambda g: g.count("n"), {"wide": Pure("0.5"), "narrow": Pure(2)})
+    spread = {r.part: r.v for r in out.groupBy("part").agg(F.var_pop("n").alias("v")).collect()}
+    assert spread["wide"] > 5 * spread["narrow"]
+
+
+def test_products_of_value_lists_are_ranges(spark):
+    lists = {f"k{i}": list(range(100)) for i in range(4)}
+    keys = Keys.of_values(spark, {"k0": lists["k0"], "k1": lists["k1"]}).times(Keys.of_values(spark, {"k2": lists["k2"], "k3": lists["k3"]}))
+    df = spark.createDataFrame([(1, 2, 3, 4), (1, 2, 3, 4), (99, 0, 0, 99), (100, 0, 0, 0)], "k0 long, k1 long, k2 long, k3 long")
+    answer = aggregates.agg_count(df, keys, "n").exact()
+    assert answer.where("n > 0").count() == 2
+    plan = answer._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert answer.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()[:] == (10**8, 3, 2)
+    mixed = Keys.of_values(spark, {"a": ["x", "y", None], "b": [1]})
+    assert {tuple(r) for r in mixed.df.collect()} == {("x", 1), ("y", 1), (None, 1)}
+    table = Keys.of_table(spark.createDataFrame([(1,), (2,)], "t long")).times(mixed)
+    assert table.columns == ["t", "a", "b"] and table.df.count() == 6 and "NestedLoop" not in table.df._jdf.queryExecution().executedPlan().toString()
+    assert mixed.times(Keys.of_table(spark.createDataFrame([(1,)], "t long"))).columns == ["a", "b", "t"]
+
+
 def test_wide_integers_do_not_overflow(spark):
     df = spark.createDataFrame([("A", v) for v in [0, 2_000_000_000] * 20], "g string, x long")
     found = aggregates.agg_variance(df, groups(spark), "x", 0, 2_000_000_000).exact()

@@ -145,9 +145,30 @@ def test_estimate_checks(spark):
 
 
 def test_trials_and_metrics(spark):
-    runs = [spark.createDataFrame([("a", v)], "k string, VALUE double") for v in (1.0, 5.0)]
-    trials = report.error_trials(runs)
+    trials = spark.createDataFrame([("a", 1.0, 0), ("a", 5.0, 1)], "k string, VALUE double, TRIAL int")
     truth = spark.createDataFrame([("a", 2.0), ("b", 1.0)], "k string, TRUE_VALUE double")
     error = F.col("VALUE") - F.col("TRUE_VALUE")
     got = report.error_metric_by_cell(truth, trials, ["k"], {"mse": (error * error, F.avg, None), "max b": (error, F.max, F.col("k") == "b")})
     assert [tuple(r) for r in got.collect()] == [("a", "mse", 5.0)]
+
+
+def test_trials_of_one_tabulation(spark):
+    keys = ["TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"]
+    rows = [("PH7", str(i), "STATE", "*", 2, t, 10 + t) for i in range(3) for t in range(4)]
+    trials = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in keys[:4]) + ", DATA_CELL int, TRIAL int, COUNT long")
+    truth = trials.where("TRIAL = 0 AND REGION_ID <> '2'").drop("TRIAL")
+    got = {(r.REGION_ID, r.TRIAL): r.ERROR for r in report.error_trials(trials, truth).collect()}
+    assert got == {(str(i), t): t + (10 if i == 2 else 0) for i in range(3) for t in range(4)}
+    with pytest.raises(ValueError):
+        report.error_trials(truth, truth)
+
+
+def test_orphans_take_one_exchange_of_keys(spark):
+    persons, units, geo = (spark.createDataFrame([(k,) for k in ks], "MAFID long") for ks in ([1, 1, 2, None], [2, 3, None], [3, 4]))
+    found = quality.dq_orphan_keys(persons, units, geo, "MAFID")
+    assert sorted((r.gap, r.MAFID) for r in found.collect() if r.MAFID is not None) == [
+        ("geography without unit", 4), ("persons without unit", 1), ("units without geography", 2),
+    ]
+    assert sorted(r.gap for r in found.collect() if r.MAFID is None) == ["persons without unit", "units without geography"]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

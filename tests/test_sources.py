@@ -172,8 +172,37 @@ def test_sinks(spark, tmp_path):
     rows = [("PH2", "1", "USA", "*", 3, 5, "Discrete Gaussian", 2.0), ("PH7", "1", "USA", "A", 2, 4, "Discrete Gaussian", 2.0)]
     answers = spark.createDataFrame(rows, "TABLE string, REGION_ID string, REGION_TYPE string, ITERATION_CODE string, DATA_CELL int, COUNT long, NOISE_DISTRIBUTION string, VARIANCE double")
     sinks.sink_tabulations(answers, str(tmp_path / "t"))
-    back = spark.read.csv(str(tmp_path / "t" / "PH2"), header=True, sep="|")
+    back = sinks.read_release(spark, str(tmp_path / "t"), "PH2")
     assert back.columns == ["REGION_ID", "REGION_TYPE", "PH2_DATA_CELL", "COUNT", "NOISE_DISTRIBUTION", "VARIANCE"]
+    assert [tuple(r) for r in back.collect()] == [("1", "USA", "3", "5", "Discrete Gaussian", "2.0")]
+    assert sinks.read_release(spark, str(tmp_path / "t"), "PH7").columns[2:4] == ["ITERATION_CODE", "PH7_DATA_CELL"]
     sinks.sink_tabulations_partitioned(answers, str(tmp_path / "p"))
     assert spark.read.csv(str(tmp_path / "p"), header=True, sep="|").filter("TABLE = 'PH7'").count() == 1
     assert tab.one_table(answers, "PH7").columns[3] == "PH7_DATA_CELL"
+
+
+def test_readers_see_a_release_whole_or_not(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    assert sinks.latest_release(spark, folder) is None
+    with pytest.raises(ValueError):
+        sinks.read_release(spark, folder, "PH7")
+
+    def answers(count, fails=False):
+        rows = [(t, str(r), "STATE", "*", 2, count) for t in ("PH7", "PH1_num", "PH2") for r in range(10, 40)]
+        df = spark.createDataFrame(rows, "TABLE string, REGION_ID string, REGION_TYPE string, ITERATION_CODE string, DATA_CELL int, COUNT long")
+        broken = F.when((F.col("TABLE") == "PH2") & (F.col("REGION_ID") == "39"), F.raise_error(F.lit("lost"))).cast("long")
+        return df.withColumn("COUNT", F.coalesce(broken, "COUNT")) if fails else df
+
+    def seen():
+        return {(n, r.COUNT) for n in ("PH7", "PH1_num", "PH2") for r in sinks.read_release(spark, folder, n).collect()}
+
+    first = sinks.sink_tabulations(answers(1), folder)
+    assert seen() == {("PH7", "1"), ("PH1_num", "1"), ("PH2", "1")}
+    with pytest.raises(Exception, match="lost"):  # after some tables are written
+        sinks.sink_tabulations(answers(2, fails=True), folder)
+    assert seen() == {("PH7", "1"), ("PH1_num", "1"), ("PH2", "1")} and sinks.latest_release(spark, folder) == (1, first)
+    second = sinks.sink_tabulations(answers(3), folder)
+    assert seen() == {("PH7", "3"), ("PH1_num", "3"), ("PH2", "3")} and sinks.latest_release(spark, folder) == (2, second)
+    assert spark.read.csv(f"{first}/TABLE=PH7", header=True, sep="|").count() == 30  # the former one stays
+    listed = sinks.manifest(spark, folder)
+    assert {(r.number, r.TABLE, r.n_rows) for r in listed.collect()} == {(n, t, 30) for n in (1, 2) for t in ("PH7", "PH1_num", "PH2")}

@@ -123,3 +123,15 @@ def test_noise_variance_and_zero_budgets(spark):
     assert variances["PH1_num"] == 50.0 and variances["PH1_denom"] == 2.0
     derived = tab.derive_tables(out)
     assert {r.DATA_CELL: r.VARIANCE for r in derived.filter("TABLE = 'PH8_num'").collect()} == {2: 100.0, 3: 50.0}
+
+
+def test_trials_are_independent_draws_of_one_tabulation(spark):
+    persons, units, geo = toy(spark)
+    taus = {n: 4 for n in WITH_TAU}
+    few, many = (tab.private_tabulations(persons, units, geo, taus, budgets(1), "pure", seed=2, trials=n) for n in (2, 40))
+    nodes = [len(d._jdf.queryExecution().executedPlan().toString().splitlines()) for d in (few, many)]
+    assert nodes[0] == nodes[1]
+    cell = many.where("TABLE = 'PH7' AND REGION_TYPE = 'USA' AND ITERATION_CODE = '*' AND DATA_CELL = 2").collect()
+    assert sorted(r.TRIAL for r in cell) == list(range(40)) and len({r.COUNT for r in cell}) > 5
+    own = few.where("TABLE = 'PH7'").collect()
+    assert {tuple(r) for r in own} <= {tuple(r) for r in many.where("TABLE = 'PH7'").collect()}  # the same key, the same draws
