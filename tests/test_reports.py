@@ -170,5 +170,5 @@ def test_orphans_take_one_exchange_of_keys(spark):
         ("geography without unit", 4), ("persons without unit", 1), ("units without geography", 2),
     ]
     assert sorted(r.gap for r in found.collect() if r.MAFID is None) == ["persons without unit", "units without geography"]
-    plan = found._jdf.queryExecution().sparkPlan().toString()
-    assert "Join" not in plan and found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plan = found.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
