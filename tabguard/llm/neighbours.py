@@ -73,12 +73,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the k best scores of each row, with all that tie with the last of them."""
-    if scores.shape[1] > k:
-        last = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        return np.nonzero(scores >= (last - 1e-12)[:, None])
-    return np.nonzero(np.ones(scores.shape, bool))
+def _best(scores: np.ndarray, k: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k best scores of each row.
+
+    With the smallest ids ``first`` of the columns also those that are the k best if scores that differ by rounding only
+    count as ties, which go to the smaller id; so a row has at most 2 k, however many tie.
+    """
+    if scores.shape[1] <= k:
+        return np.nonzero(np.ones(scores.shape, bool))
+    chosen = np.zeros(scores.shape, bool)
+    np.put_along_axis(chosen, np.argpartition(-scores, k - 1, axis=1)[:, :k], True, axis=1)
+    if first is not None:
+        by_id = np.argsort(first, kind="stable")
+        rounded = np.round(scores[:, by_id], 10)
+        # Of equal rounded scores a stable sort leaves the smaller ids in front.
+        places = by_id[np.argsort(-rounded, axis=1, kind="stable")[:, :k]]
+        np.put_along_axis(chosen, places, True, axis=1)
+    return np.nonzero(chosen)
 
 
 def _fitted_depth(entries: DataFrame, f: Forest, k: int) -> int:
@@ -131,9 +142,9 @@ def _ascend(hashed: DataFrame, wanted: DataFrame | None, depth: int, f: Forest,
     """(q, key, score): the best entries that share ``depth`` bits with a query in a tree, for the wanted queries."""
     trees = F.posexplode("codes").alias("tree", "code") if depth else F.posexplode(F.slice("codes", 1, 1)).alias("tree", "code")
     prefix = F.expr(f"shiftright(code, {f.bits - depth})").alias("prefix")
-    entries = hashed.select("key", "v", trees).select("tree", prefix, "key", "v")
+    entries = hashed.select("key", "first", "v", trees).select("tree", prefix, "key", "first", "v")
     asking = hashed.where("is_query") if wanted is None else hashed.join(wanted, "key", "left_semi")
-    queries = asking.select("key", "v", trees).select("tree", prefix, "key", "v")
+    queries = asking.select("key", "first", "v", trees).select("tree", prefix, "key", "first", "v")
     sizes = entries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"))
     asks = queries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("m"))
     blocks = saved(
@@ -148,25 +159,25 @@ def _ascend(hashed: DataFrame, wanted: DataFrame | None, depth: int, f: Forest,
         placed = rows.join(blocks, ["tree", "prefix"])
         place = F.pmod(F.xxhash64("key"), F.col(own)).cast("int")
         everywhere = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return placed.select("tree", "prefix", "key", "v", place.alias(own[0]), everywhere.alias(other[0]), F.lit(is_query).alias("asks"))
+        return placed.select("tree", "prefix", "key", "first", "v", place.alias(own[0]), everywhere.alias(other[0]), F.lit(is_query).alias("asks"))
 
     cells = dealt(entries, "cuts", "rounds", False).unionByName(dealt(queries, "rounds", "cuts", True))
 
     def compare(table: pa.Table) -> pa.Table:
         asks = table.column("asks").combine_chunks().to_numpy(zero_copy_only=False)
-        keys = table.column("key").combine_chunks()
+        keys, first = table.column("key").combine_chunks(), table.column("first").to_numpy()
         v = _matrix(table.column("v").combine_chunks())
         q, e = np.flatnonzero(asks), np.flatnonzero(~asks)
         out = []
         for at in range(0, len(q), 256):
             part = q[at : at + 256]
             scores = v[part] @ v[e].T
-            i, j = _best(scores, k)
-            out.append(pa.table({"q": keys.take(pa.array(part[i])), "key": keys.take(pa.array(e[j])), "score": pa.array(scores[i, j])}))
-        empty = pa.table({"q": pa.array([], keys.type), "key": pa.array([], keys.type), "score": pa.array([], pa.float64())})
+            i, j = _best(scores, k, first[e])
+            out.append(pa.table({"q": keys.take(pa.array(part[i])), "key": keys.take(pa.array(e[j])), "first": first[e[j]], "score": pa.array(scores[i, j])}))
+        empty = pa.table({"q": pa.array([], keys.type), "key": pa.array([], keys.type), "first": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         return pa.concat_tables(out) if out else empty
 
-    return cells.groupBy("tree", "prefix", "c", "r").applyInArrow(compare, "q string, key string, score double")
+    return cells.groupBy("tree", "prefix", "c", "r").applyInArrow(compare, "q string, key string, first long, score double")
 
 
 def search(
@@ -187,20 +198,20 @@ def search(
         .groupBy("key").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     asks = (F.col("vec_id") % every == 0)
-    entries = saved(rows.groupBy("key").agg(F.any_value("v").alias("v"), F.bool_or(asks).alias("is_query")), "entries")
+    entries = saved(rows.groupBy("key").agg(F.any_value("v").alias("v"), F.bool_or(asks).alias("is_query"), F.min("vec_id").cast("long").alias("first")), "entries")
     top = k + 1
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 codes = forest.codes(_matrix(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(codes), pa.list_(pa.int64()))], ["key", "v", "is_query", "codes"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(codes), pa.list_(pa.int64()))], ["key", "v", "is_query", "first", "codes"])
 
-    hashed = saved(entries.mapInArrow(hash_all, "key string, v array<double>, is_query boolean, codes array<long>"), "hashed")
+    hashed = saved(entries.mapInArrow(hash_all, "key string, v array<double>, is_query boolean, first long, codes array<long>"), "hashed")
     depth = _fitted_depth(entries, forest, k)
     found, wanted = None, None
     while True:
-        step = saved(_ascend(hashed, wanted, depth, forest, top).groupBy("q", "key").agg(F.max("score").alias("score")), "candidates")
+        step = saved(_ascend(hashed, wanted, depth, forest, top).groupBy("q", "key").agg(F.max("score").alias("score"), F.min("first").alias("first")), "candidates")
         found = step if found is None else found.unionByName(step)
         if depth == 0:
             break
@@ -209,8 +220,11 @@ def search(
         if wanted.isEmpty():
             break
         depth //= 2
-    order = Window.partitionBy("q").orderBy(F.desc(F.round("score", 10)))
-    close = found.select("q", "key", "score").groupBy("q", "key").agg(F.max("score").alias("score")).withColumn("r", F.rank().over(order)).where(F.col("r") <= top)
+    # Scores of tasks differ by rounding; the best by them, and the best if close ones are ties, hold the best by exact ones.
+    orders = [Window.partitionBy("q").orderBy(*c) for c in ([F.desc("score")], [F.desc(F.round("score", 10)), F.col("first")])]
+    close = found.groupBy("q", "key").agg(F.max("score").alias("score"), F.min("first").alias("first"))
+    close = close.withColumns({f"r{i}": F.row_number().over(o) for i, o in enumerate(orders)}).where((F.col("r0") <= top) | (F.col("r1") <= top))
+    close = close.select("q", "key")
     a = entries.select(F.col("key").alias("q"), F.col("v").alias("qv"))
     scored = close.join(a, "q").join(entries.select("key", "v"), "key").join(ids, "key").select("q", inner_product("qv", "v").alias("score"), F.explode("ids").alias("vec_id"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")

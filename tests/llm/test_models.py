@@ -173,3 +173,22 @@ def test_fences_adapt_to_language_and_source(spark):
     rows += [(300, text(7, 18), "en", "a"), (301, text(7, 3), "de", "b"), (302, "% ".join(map(str, range(900, 990))), "en", "a"), (303, text(5, 3), "en", "rare")]
     found = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert [found[i] for i in (5, 105, 300, 301, 302, 303)] == [True, True, False, False, False, True]
+
+
+def test_ties_of_orthogonal_vectors_stay_bounded(spark):
+    """All scores are zero: the smallest ids are nearest, and no more than two lists a query leave a block."""
+    n = 64
+    rows = [(i, [1.0 if j == i else 0.0 for j in range(n)]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.search(frame, k=3).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == {q: [(i, 0.0) for i in range(5) if i != q][:3] for q in range(0, n, 20)}
+    r = np.random.default_rng(1)
+    for scores in (np.zeros((4, 5000)), r.integers(0, 3, (4, 5000)) / 3, r.normal(size=(4, 5000))):
+        first = r.permutation(5000)
+        i, j = neighbours._best(scores + r.normal(0, 1e-14, scores.shape), 21, first)
+        assert np.bincount(i).max() <= 42
+        for q in range(4):
+            want = sorted(range(5000), key=lambda c: (-scores[q, c], first[c]))[:21]
+            assert set(want) <= set(j[i == q].tolist())

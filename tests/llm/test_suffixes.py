@@ -135,3 +135,33 @@ def test_runs_of_several_parts_lose_no_repeats(monkeypatch, row):
                 if seen[t[i : i + 40]] > 1:
                     gone[i : i + 40] = b"\1" * 40
         assert spans_of_runs(docs, 40, 20, 4) == expected
+
+
+def test_passages_of_over_fifty_words_on_both_sides_of_the_limit(spark):
+    """A passage that repeats across documents goes if it has 400 bytes, whatever its words; shorter ones stay."""
+    r = random.Random(12)
+    used = set()
+
+    def word(n):
+        while True:
+            w = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+            if w not in used:
+                used.add(w)
+                return w
+
+    def passage(words, size):
+        """So many words in exactly so many bytes."""
+        letters = size - (words - 1)
+        return " ".join(word(letters // words + (i < letters % words)) for i in range(words))
+
+    rows, expected = [], {}
+    for at, (words, size) in enumerate([(51, 357), (51, 399), (51, 400), (55, 399), (55, 401), (60, 394), (60, 400), (60, 480)]):
+        shared = passage(words, size)
+        assert len(shared.split()) == words and len(shared) == size
+        for copy in range(3):
+            doc = 10 * at + copy
+            # Other letters around it, so that nothing beside the passage is shared.
+            rows.append((doc, f"{passage(20, 150)}{'<[{'[copy]}{shared}{'>]}'[copy]}{passage(20, 150)}"))
+            expected[doc] = size if size >= 400 else 0
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id: x.n_removed for x in suffixes.remove_repeats(docs).collect()} == expected
