@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabguard.demos.registry import derived, oracle_text, query, table
+from tabguard.demos.registry import ORACLES, derived, oracle_text, query, table
 from tabguard.demos.standin import CTES, DIGEST, UNITS, files
-from tabguard.demos.tab_queries import TAUS, budgets, person_oracle, unit_oracle
+from tabguard.demos.tab_queries import TAUS, all_exact_oracle, budgets, person_oracle, reported_oracle, unit_oracle
 from tabguard.functions.domains import Categories, Pattern, Range
 from tabguard.operators import joins
 from tabguard.plans import quality, report, smooth
@@ -87,14 +87,25 @@ def dq_output_variance(spark, folder):
 
 @query(
     "dq_output_format",
-    f"""WITH o AS (SELECT "REGION_ID", CASE WHEN "ITERATION_CODE" = 'C' THEN 'Z' ELSE "ITERATION_CODE" END AS it FROM ({_PH7}))
-SELECT 'PH7' AS "table", 'ITERATION_CODE' AS "column", 'Z' AS value, count(*) AS n_rows, 1::BIGINT AS n_values FROM o WHERE it = 'Z'""",
+    f"""SELECT "TABLE" AS "table", 'ITERATION_CODE' AS "column", 'Z' AS value, count(*) AS n_rows, 1::BIGINT AS n_values
+FROM ({all_exact_oracle()}) WHERE "ITERATION_CODE" = 'C' GROUP BY 1
+UNION ALL SELECT "TABLE", upper("TABLE") || '_DATA_CELL', CAST("DATA_CELL" AS VARCHAR), count(*), 2
+FROM ({all_exact_oracle()}) WHERE "TABLE" IN ('PH1_denom', 'PH5_denom') AND "DATA_CELL" <> 1 GROUP BY 1, 2, 3""",
 )
 def dq_output_format(spark, folder):
-    rows = tab.one_table(spoiled(spark, folder), "PH7")
+    """All tables of one counting, of which one letter is spoiled wherever it occurs.
+
+    True denominators repeat their count in two cells that published tables do not have.
+    """
+    persons, units, geo = files(spark, folder)
+    with tab.shared_units(units, geo) as unit_geo:
+        known = materialise(tab.exact_tabulations(persons, units, geo, unit_geo=unit_geo))
     wrong = F.when(F.col("ITERATION_CODE") == "C", F.lit("Z")).otherwise(F.col("ITERATION_CODE"))
-    domains = {"PH7": quality.output_domains(TABLES["PH7"])}
-    return quality.dq_output_format({"PH7": rows.withColumn("ITERATION_CODE", wrong)}, domains)
+    spoilt = known.withColumn("ITERATION_CODE", wrong).withColumns(
+        {"VARIANCE": F.lit(1.0), "NOISE_DISTRIBUTION": F.lit("Discrete Gaussian")}
+    )
+    outputs = {name: tab.one_table(spoilt, name) for name in TABLES}
+    return quality.dq_output_format(outputs, {name: quality.output_domains(t) for name, t in TABLES.items()})
 
 
 @query(
@@ -131,19 +142,23 @@ def dq_estimates_ratios(spark, folder):
     return quality.dq_estimates_ratios(derived(spark, folder, RATIOS), 1.0, 10.0)
 
 
-def truncated(spark, folder, names):
-    """Truncated leaf counts, standing in for noisy answers."""
-    persons, units, geo = files(spark, folder)
-    return tab.leaf_counts(persons, units, geo, TAUS, names, DIGEST)
-
-
 def truth(spark, folder, names):
     return tab.exact_tabulations(*files(spark, folder), names)
 
 
-_CUT = f"""SELECT 'PH7' AS "TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell AS "DATA_CELL", "COUNT"
-FROM ({person_oracle('PH7', False, 'cell')}) WHERE "COUNT" > 0"""
-_TRUE = f"""SELECT 'PH7' AS "TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell AS "DATA_CELL", "COUNT"
+def both_answers(spark, folder):
+    """All eleven tables at infinite budget, that is truncated only, and the truth; each counted once."""
+    persons, units, geo = files(spark, folder)
+    with tab.shared_units(units, geo) as unit_geo:
+        plan = budgets(float("inf"))
+        counted = materialise(tab.private_tabulations(persons, units, geo, TAUS, plan, "pure", DIGEST, unit_geo=unit_geo))
+        known = materialise(tab.exact_tabulations(persons, units, geo, unit_geo=unit_geo))
+    answers = counted.unionByName(tab.derive_tables(counted))
+    return answers.drop("NOISE_DISTRIBUTION", "VARIANCE"), known
+
+
+_CUT, _TRUE = reported_oracle(), all_exact_oracle()
+_TRUE_PH7 = f"""SELECT 'PH7' AS "TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell AS "DATA_CELL", "COUNT"
 FROM ({person_oracle('PH7', True, 'cell')}) WHERE cell <> 3"""
 _KEYS = '"TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"'
 
@@ -151,11 +166,12 @@ _KEYS = '"TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"'
 @query(
     "left_join_truth",
     f"""SELECT {_KEYS}, c."COUNT" AS "NOISY", coalesce(t."COUNT", 0) AS "GROUND_TRUTH"
-FROM ({_CUT}) c LEFT JOIN ({_TRUE}) t USING ({_KEYS})""",
+FROM ({_CUT}) c LEFT JOIN (SELECT * FROM ({_TRUE}) WHERE "DATA_CELL" <> 3) t USING ({_KEYS})""",
 )
 def left_join_truth(spark, folder):
-    known = truth(spark, folder, ["PH7"]).filter("DATA_CELL <> 3")
-    return joins.left_join_truth(truncated(spark, folder, ["PH7"]), known)
+    answers, known = both_answers(spark, folder)
+    # A truth with gaps: cells that are not in it count zero.
+    return joins.left_join_truth(answers, known.filter("DATA_CELL <> 3"))
 
 
 _ERRORS = f"""SELECT {_KEYS}, abs(c."COUNT" - coalesce(t."COUNT", 0)) AS "ERROR"
@@ -163,8 +179,7 @@ FROM ({_CUT}) c LEFT JOIN ({_TRUE}) t USING ({_KEYS})"""
 
 
 def errors(spark, folder):
-    known = truth(spark, folder, ["PH7"]).filter("DATA_CELL <> 3")
-    return report.error_rows(truncated(spark, folder, ["PH7"]), known)
+    return report.error_rows(*both_answers(spark, folder))
 
 
 @query("error_rows", _ERRORS)
@@ -172,20 +187,11 @@ def error_rows(spark, folder):
     return errors(spark, folder)
 
 
-def _cut_sql(tau):
-    return _CUT.replace("rn <= 3", f"rn <= {tau}")
-
-
-def _error_sql(cut):
-    return f"""SELECT {_KEYS}, abs(c."COUNT" - coalesce(t."COUNT", 0)) AS "ERROR"
-FROM ({cut}) c LEFT JOIN ({_TRUE}) t USING ({_KEYS})"""
-
-
 @query(
     "error_trials",
-    f"""SELECT e.*, i AS "TRIAL" FROM (SELECT k.*, abs(c - coalesce(t."COUNT", 0)) AS "ERROR" FROM
+    f"""SELECT {_KEYS}, abs(c - coalesce(t."COUNT", 0)) AS "ERROR", i AS "TRIAL" FROM
 (SELECT 'PH7' AS "TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell AS "DATA_CELL", "COUNT" AS c FROM ({person_oracle('PH7', False, 'cell')})) k
-LEFT JOIN ({_TRUE}) t USING ({_KEYS})) e0 JOIN (SELECT unnest([0, 1, 2])::INTEGER AS i) ON true""".replace("SELECT e.*", f'SELECT {_KEYS}, "ERROR"').replace("SELECT k.*", f"SELECT {_KEYS}"),
+LEFT JOIN ({_TRUE_PH7}) t USING ({_KEYS}) CROSS JOIN (SELECT unnest([0, 1, 2])::INTEGER AS i)""",
 )
 def error_trials(spark, folder):
     """Three trials of one tabulation at infinite budget, whose errors are those of the cut alone."""
@@ -236,24 +242,26 @@ def error_percentile_large(spark, folder):
     return out.withColumn("p", F.round("p", 4))
 
 
+def reach_sql(of):
+    """The rows that one household can change of each table, by name."""
+    cases = []
+    for n, t in TABLES.items():
+        source = TABLES[t.derived_from or n]
+        size = 2.0 if source.of_units else 2.0 * TAUS[source.name] + 2
+        cases.append(f"WHEN '{n}' THEN {size}::DOUBLE")
+    return f"CASE {of} {' '.join(cases)} END"
+
+
 @query(
     "error_expected_moe",
-    """WITH c AS (SELECT DISTINCT l_returnflag AS f FROM lineitem),
-r AS (SELECT * FROM (VALUES ('PH7', 2, 8), ('PH7', 3, 8), ('PH7', 4, 8), ('PH8_num', 2, 8), ('PH8_num', 3, 8), ('PH5_num', 2, 8), ('PH8_denom', 2, 2)) t("TABLE", "DATA_CELL", s))
-SELECT "TABLE", "DATA_CELL", 'USA' AS "REGION_TYPE", CASE WHEN f = 'A' THEN 'A' WHEN f = 'N' THEN '*' ELSE 'H' END AS "ITERATION_CODE",
-CASE WHEN "TABLE" = 'PH8_num' AND "DATA_CELL" = 2 THEN round(sqrt(2) * round(1.64 * s / sqrt(2 * 0.5), 1), 1)
-ELSE round(1.64 * s / sqrt(2 * 0.5), 1) END AS "EXPECTED_MOE" FROM c CROSS JOIN r""",
+    f"""WITH r AS (SELECT *, round(1.64 * {reach_sql('"TABLE"')} / sqrt(2 * 0.5), 1) AS m FROM ({ORACLES["error_percentile"]}))
+SELECT * EXCLUDE (m), CASE WHEN "TABLE" = 'PH8_num' AND "DATA_CELL" = 2 THEN round(sqrt(2) * m, 1) ELSE m END AS "EXPECTED_MOE" FROM r""",
 )
 def error_expected_moe(spark, folder):
-    letters = table(spark, folder, "lineitem").select("l_returnflag").distinct()
-    code = F.when(F.col("l_returnflag") == "A", "A").when(F.col("l_returnflag") == "N", "*").otherwise("H")
-    cells = [("PH7", 2), ("PH7", 3), ("PH7", 4), ("PH8_num", 2), ("PH8_num", 3), ("PH5_num", 2), ("PH8_denom", 2)]
-    rows = letters.select(
-        F.inline(F.array(*[F.struct(F.lit(t).alias("TABLE"), F.lit(c).alias("DATA_CELL")) for t, c in cells])),
-        F.lit("USA").alias("REGION_TYPE"),
-        code.alias("ITERATION_CODE"),
-    )
-    return report.error_expected_moe(rows, budgets("0.5"), TAUS, "concentrated")
+    """The report of all tables with the margins that the noise should give."""
+    summary = report.error_percentile(errors(spark, folder))
+    summary = summary.withColumn("EXPERIMENTAL_MOE", F.round("EXPERIMENTAL_MOE", 6))
+    return report.error_expected_moe(summary, budgets("0.5"), TAUS, "concentrated")
 
 
 TRIALS = """SELECT l_orderkey AS k, l_linenumber AS TRIAL, sum(CAST(l_quantity AS BIGINT)) AS VALUE FROM {lineitem} GROUP BY 1, 2"""
@@ -344,6 +352,9 @@ def ratio_input(spark, folder):
 
 
 _NUM, _DEN = _leaf_sql("PH1_num", "IN (2, 3)"), _leaf_sql("PH1_denom", "= 1")
+_NUM_PH5 = f"""SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell, "COUNT" AS n FROM ({person_oracle('PH4', True, 'cell')}) WHERE cell IN (2, 3)"""
+_DEN_PH5 = f"""SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "PH5_DENOM_DATA_CELL" AS cell, "COUNT" AS n FROM ({unit_oracle('PH5_denom', True)})
+WHERE "PH5_DENOM_DATA_CELL" = 1"""
 _SIDES = f"""WITH l AS ({_NUM}), nn AS (SELECT * , 30.0::DOUBLE AS v FROM l UNION ALL
 SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", 1, CAST(sum(n) AS BIGINT), 30.0::DOUBLE * count(*) FROM l GROUP BY 1, 2, 3),
 dd AS (SELECT *, 2.0::DOUBLE AS v FROM ({_DEN}))"""
@@ -488,6 +499,20 @@ def posterior_ratio_two_part(spark, folder):
     return ratio_checks(smooth.posterior_ratio_two_part(both, 1.0), 1.0)
 
 
+def ratio_input_families(spark, folder):
+    """PH5: adults and children of families over families, whose ratio of all ages is two at least."""
+    return leaves(spark, folder, "PH5_num"), leaves(spark, folder, "PH5_denom", 2.0)
+
+
+_PH5_SIDES = _SIDES.replace(f"({_NUM})", "(" + _NUM_PH5 + ")").replace(f"({_DEN})", "(" + _DEN_PH5 + ")")
+
+
+@query("posterior_ratio_two_part_families", _PH5_SIDES + _RATIO_ORACLE)
+def posterior_ratio_two_part_families(spark, folder):
+    both = smooth.ratio_table(*ratio_input_families(spark, folder), by_cell=False)
+    return ratio_checks(smooth.posterior_ratio_two_part(both, 2.0), 2.0)
+
+
 @query(
     "posterior_ratio_one_part",
     f"""WITH l AS (SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", CASE WHEN cell IN (2, 3) THEN 2 ELSE 3 END AS cell, sum(n) AS n

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabguard.demos.registry import ORACLES, derived, oracle_text, query, table
-from tabguard.demos.report_queries import errors, leaves
+from tabguard.demos.report_queries import errors, leaves, reach_sql
 from tabguard.demos.standin import DIGEST, files
 from tabguard.demos.tab_queries import TAUS, budgets, person_oracle
 from tabguard.plans import report, smooth
@@ -481,7 +481,8 @@ _REPORT = ORACLES["error_percentile"]
 @query(
     "sink_error_report",
     f"""SELECT "TABLE", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "EXPERIMENTAL_MOE", "COUNT",
-round(8 * ln(20 / (1 + exp(1 / 8.0::DOUBLE))), 1) AS "EXPECTED_MOE" FROM ({_REPORT})""",
+CASE WHEN "TABLE" = 'PH8_num' AND "DATA_CELL" = 2 THEN round(sqrt(2) * m, 1) ELSE m END AS "EXPECTED_MOE"
+FROM (SELECT *, round(s * ln(20 / (1 + exp(1 / s))), 1) AS m FROM (SELECT *, {reach_sql('"TABLE"')} AS s FROM ({_REPORT})))""",
 )
 def sink_error_report(spark, folder):
     summary = report.error_percentile(errors(spark, folder))
