@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabguard.demos.registry import query, table
 from tabguard.demos.standin import CTES, DIGEST, files
+from tabguard.plans import stored
 from tabguard.plans import tabulate as tab
 from tabguard.plans.tables import COUNTED, TABLES, WITH_TAU
 from tabguard.runtime import materialise
@@ -288,6 +289,20 @@ def all_exact(spark, folder):
         return materialise(tab.exact_tabulations(persons, units, geo, unit_geo=unit_geo))
 
 
+def _all_stored_oracle() -> str:
+    return f"""SELECT 'exact' AS kind, * FROM ({all_exact_oracle()}) UNION ALL SELECT 'cut', * FROM ({_all_cut_oracle()})"""
+
+
+@query("tab_all_stored", _all_stored_oracle())
+def all_stored(spark, folder):
+    """Households stored together once; true counts and truncated counts of all tables are both taken from them."""
+    persons, units, geo = files(spark, folder)
+    households = stored.store_households(persons, units, geo)
+    cut = stored.private_stored(households, geo, TAUS, budgets(INFINITE), "pure", DIGEST)
+    exact = stored.exact_stored(households).withColumn("kind", F.lit("exact"))
+    return materialise(exact.unionByName(_counts_only(cut).withColumn("kind", F.lit("cut"))))
+
+
 @query(
     "stack_answers",
     """SELECT CAST(count(*) AS BIGINT) AS "COUNT", '1' AS "REGION_ID", 'USA' AS "REGION_TYPE" FROM customer

@@ -135,17 +135,24 @@ def _profile_columns(tables: Sequence[Table], full: bool) -> dict[str, Column]:
             race, ethnicity = F.col(t.race), F.col(t.ethnicity)
             out[f"race_{t.race}"] = race_letter(race, strict=not full)
             out[f"ethnicity_{t.race}"] = ethnicity_letter(race, ethnicity)
-        if full:
-            leaf = first_match([*t.leaves, *t.fallbacks])
-            out[f"leaf_{t.name}"] = F.when(F.expr(t.exact_filter), leaf)
-        else:
-            out[f"leaf_{t.name}"] = first_match(t.leaves)
+        out[f"leaf_{t.name}"] = _leaf(t, full)
     return out
 
 
-def _entries(t: Table, full: bool) -> Column:
-    """Array of (table, iterations, cell) a profile counts in; empty without a leaf cell."""
-    leaf = F.col(f"leaf_{t.name}")
+def _letters(t: Table, race: str, ethnicity: str) -> list[Column]:
+    """Iteration letters of a profile in one table: everybody, and its race and ethnicity where the table has them."""
+    return [F.lit(EVERYBODY)] if t.race is None else [F.lit(EVERYBODY), F.col(race), F.col(ethnicity)]
+
+
+def _leaf(t: Table, full: bool) -> Column:
+    """Leaf cell of a record; in the exact tables also the cell of those that only reach a subtotal."""
+    if full:
+        return F.when(F.expr(t.exact_filter), first_match([*t.leaves, *t.fallbacks]))
+    return first_match(t.leaves)
+
+
+def _entries(t: Table, full: bool, leaf: Column, letters: Sequence[Column]) -> Column:
+    """Array of (table, iterations, cell) a profile counts in; null without a leaf cell."""
     if not full:
         cells = F.array(leaf)
     elif t.leaf_cells == [1]:
@@ -154,9 +161,6 @@ def _entries(t: Table, full: bool) -> Column:
     else:
         # A record that only reaches the total must not count there twice.
         cells = F.array_distinct(with_ancestors(leaf, t.parents, 1))
-    letters = [F.lit(EVERYBODY)]
-    if t.race is not None:
-        letters += [F.col(f"race_{t.race}"), F.col(f"ethnicity_{t.race}")]
     iterations = F.array_compact(F.array(*letters))
     listed = F.transform(
         cells,
@@ -179,7 +183,11 @@ def _count_profiles(
         .groupBy("STATE", *profile)
         .agg(total.alias("__n"))
     )
-    entries = F.flatten(F.array_compact(F.array(*[_entries(t, full) for t in tables])))
+    listed = [
+        _entries(t, full, F.col(f"leaf_{t.name}"), _letters(t, f"race_{t.race}", f"ethnicity_{t.race}"))
+        for t in tables
+    ]
+    entries = F.flatten(F.array_compact(F.array(*listed)))
     return _long(groups.select(_regions().alias("__regions"), F.explode(entries).alias("e"), "__n"))
 
 
@@ -203,7 +211,9 @@ def _long(listed: DataFrame) -> DataFrame:
     )
 
 
-def _count_cuts(records: DataFrame, groups: Sequence[tuple[Column, Sequence[Table]]]) -> DataFrame:
+def _count_together(
+    records: DataFrame, groups: Sequence[tuple[Column, Sequence[Table]]], full: bool = False
+) -> DataFrame:
     """Long-form counts of several groups of tables over the same records, each group under its own condition.
 
     A record becomes one short row per group it belongs to: group, letters and leaf cells.
@@ -215,30 +225,30 @@ def _count_cuts(records: DataFrame, groups: Sequence[tuple[Column, Sequence[Tabl
         letters = [F.lit(None).cast("string")] * 2
         if race is not None:
             letters = [
-                race_letter(F.col(race.race), strict=True),
+                race_letter(F.col(race.race), strict=not full),
                 ethnicity_letter(F.col(race.race), F.col(race.ethnicity)),
             ]
-        leaves = [first_match(t.leaves) for t in tables] + [F.lit(None).cast("int")] * (width - len(tables))
+        leaves = [_leaf(t, full) for t in tables] + [F.lit(None).cast("int")] * (width - len(tables))
         fields = [F.lit(i).alias("__group"), letters[0].alias("__race"), letters[1].alias("__ethnicity")]
         fields += [leaf.alias(f"__leaf{k}") for k, leaf in enumerate(leaves)]
         parts.append(F.when(condition, F.struct(*fields)))
     keys = ["STATE", "__group", "__race", "__ethnicity", *[f"__leaf{k}" for k in range(width)]]
     rows = records.select("STATE", F.explode(F.array_compact(F.array(*parts))).alias("g")).select("STATE", "g.*")
     profiles = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    entries = []
-    for i, (_, tables) in enumerate(groups):
-        for k, t in enumerate(tables):
-            letters = [F.lit(EVERYBODY)]
-            if t.race is not None:
-                letters += [F.col("__race"), F.col("__ethnicity")]
-            entry = F.struct(
-                F.lit(t.name).alias("TABLE"),
-                F.array_compact(F.array(*letters)).alias("its"),
-                F.col(f"__leaf{k}").alias("DATA_CELL"),
-            )
-            entries.append(F.when((F.col("__group") == i) & F.col(f"__leaf{k}").isNotNull(), entry))
-    listed = profiles.select(_regions().alias("__regions"), F.explode(F.array_compact(F.array(*entries))).alias("e"), "__n")
-    return _long(listed)
+    listed = [
+        F.when(F.col("__group") == i, _entries(t, full, F.col(f"__leaf{k}"), _letters(t, "__race", "__ethnicity")))
+        for i, (_, tables) in enumerate(groups)
+        for k, t in enumerate(tables)
+    ]
+    entries = F.flatten(F.array_compact(F.array(*listed)))
+    return _long(profiles.select(_regions().alias("__regions"), F.explode(entries).alias("e"), "__n"))
+
+
+def sum_counts(frames: Sequence[DataFrame]) -> DataFrame:
+    """Long-form counts of disjoint sets of households, added up."""
+    if len(frames) == 1:
+        return frames[0]
+    return _stack(frames).groupBy(*LONG[:-1]).agg(F.sum("COUNT").alias("COUNT")).select(*LONG)
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -252,19 +262,26 @@ def exact_tabulations(
     names: Sequence[str] | None = None,
     unit_geo: DataFrame | None = None,
 ) -> DataFrame:
-    """True counts in long form, subtotals and totals included, empty groups absent.
+    """True counts in long form, subtotals and totals included, empty groups absent; persons are read once.
 
     ``geo`` is the prepared geography, ``unit_geo`` the records of ``shared_units`` if kept.
     """
     wanted = [TABLES[n] for n in (names or TABLES)]
     unit_geo = unit_records(units, geo) if unit_geo is None else unit_geo
     frames = []
-    for universe in PERSON_UNIVERSES:
-        tables = [t for t in wanted if t.universe == universe]
-        tables = [_as_counted(t) for t in tables]
-        if tables:
-            records = person_records(persons, unit_geo, universe)
-            frames.append(_count_profiles(records, tables, full=True))
+    of_persons = [_as_counted(t) for t in wanted if t.universe in PERSON_UNIVERSES]
+    universes = list(dict.fromkeys(t.universe for t in of_persons))
+    if len(universes) == 1:
+        frames.append(_count_profiles(person_records(persons, unit_geo, universes[0]), of_persons, full=True))
+    elif universes:
+        # Persons are read and joined once; the filters are tested before the join and kept as bits.
+        people = persons.withColumnRenamed("RTYPE", "RTYPE_PERSON")
+        marked = people.withColumn("__marks", _marks([PERSON_UNIVERSES[u] for u in universes])).filter("__marks > 0")
+        shared: dict[tuple, list[Table]] = {}
+        for t in of_persons:
+            shared.setdefault((universes.index(t.universe), t.race or "HHRACE"), []).append(t)
+        groups = [(_has(i), tables) for (i, _), tables in shared.items()]
+        frames.append(_count_together(marked.join(unit_geo, "MAFID"), groups, full=True))
     for universe, condition in UNIT_UNIVERSES.items():
         tables = [t for t in wanted if t.universe == universe and t.name != "PH8_num"]
         records = unit_geo.filter(condition)
@@ -310,7 +327,7 @@ def leaf_counts(
             (F.col(f"__cut{cut}") & F.col(f"__unique{unit}"), tables)
             for (cut, unit, _), tables in shared.items()
         ]
-        frames.append(_count_cuts(records, groups))
+        frames.append(_count_together(records, groups))
     for universe, condition in UNIT_UNIVERSES.items():
         tables = [t for t in wanted if t.universe == universe]
         if tables:
@@ -359,6 +376,11 @@ def budget_rows(
     return small_table(spark, rows, {**columns, "NUM": text, "DEN": text, "PARAMETER": number})
 
 
+def budgeted_tables(budgets: Mapping[str, Mapping[str, object]]) -> list[str]:
+    """Counted tables with a budget above zero anywhere."""
+    return [n for n in COUNTED if any(exact(v) != 0 for v in budgets.get(n, {}).values())]
+
+
 def key_rows(regions: DataFrame, budgets: DataFrame) -> DataFrame:
     """Full key set: regions of ``keys_region_domain`` x budgeted iterations x leaf cells."""
     cells = F.lit(None)
@@ -380,21 +402,25 @@ def private_tabulations(
     seed: int | None = None,
     unit_geo: DataFrame | None = None,
     trials: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Noisy leaf counts of all tables in long form, with NOISE_DISTRIBUTION and VARIANCE.
 
+    ``counts`` are the truncated leaf counts if they are at hand (of stored households).
+
     Every evaluation of the result gives the same draws; a new call gives new ones. The two derived tables come from
     ``derive_tables``, which must read this result.
     """
-    spark = persons.sparkSession
-    names = [n for n in COUNTED if any(exact(v) != 0 for v in budgets.get(n, {}).values())]
+    spark = geo.sparkSession
+    names = budgeted_tables(budgets)
     if not names:
         raise ValueError("no table has a budget")
     from tabguard.operators.keys import keys_region_domain
 
     regions = keys_region_domain(geo, "MAFID", ["USA", "STATE"])
     keys = key_rows(regions, budget_rows(spark, budgets, taus, definition))
-    counts = leaf_counts(persons, units, geo, taus, names, digest_columns, unit_geo)
+    if counts is None:
+        counts = leaf_counts(persons, units, geo, taus, names, digest_columns, unit_geo)
     on = ["TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL"]
     filled = keys.join(counts, on, "left").withColumn("COUNT", F.coalesce("COUNT", F.lit(0)))
     if trials is not None:

@@ -3,6 +3,7 @@ import math
 import pytest
 
 from tabguard.operators.cleaning import prepare_geo
+from tabguard.plans import stored
 from tabguard.plans import tabulate as tab
 from tabguard.plans.tables import COUNTED, TABLES, WITH_TAU
 
@@ -135,3 +136,52 @@ def test_trials_are_independent_draws_of_one_tabulation(spark):
     assert sorted(r.TRIAL for r in cell) == list(range(40)) and len({r.COUNT for r in cell}) > 5
     own = few.where("TABLE = 'PH7'").collect()
     assert {tuple(r) for r in own} <= {tuple(r) for r in many.where("TABLE = 'PH7'").collect()}  # the same key, the same draws
+
+
+def _exchanges(df):
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [x for x in lines if "Exchange hashpartitioning(MAFID" in x or "Exchange hashpartitioning(knownfloatingpointnormalized(MAFID" in x]
+
+
+def _sorted(df):
+    return sorted(tuple(r) for r in df.select(*tab.LONG).collect())
+
+
+@pytest.mark.parametrize("crowd", [100, 3])
+def test_stored_households(spark, tmp_path, crowd):
+    """The same counts from stored households, also where some are crowded, in a plan that deals no person."""
+    persons, units, geo = toy(spark)
+    nobody = spark.createDataFrame([("3", None, 40, 1, "01", "20")], P)
+    persons, taus = persons.unionByName(nobody), {n: 2 for n in WITH_TAU}
+    kept = stored.store_households(persons, units, geo, str(tmp_path / "h"), crowd=crowd)
+    assert kept.crowded_persons.count() == (0 if crowd == 100 else 7)
+    assert kept.persons.count() + kept.crowded_persons.count() == 8
+    for h in (kept, stored.open_households(spark, str(tmp_path / "h"))):
+        assert _sorted(stored.exact_stored(h)) == _sorted(tab.exact_tabulations(persons, units, geo))
+        assert _sorted(stored.cut_stored(h, taus)) == _sorted(tab.leaf_counts(persons, units, geo, taus))
+    private = stored.private_stored(kept, geo, taus, budgets(math.inf), "pure")
+    assert _sorted(private) == _sorted(tab.private_tabulations(persons, units, geo, taus, budgets(math.inf), "pure"))
+
+
+def test_stored_plans_deal_no_person(spark, tmp_path):
+    persons, units, geo = toy(spark)
+    kept = stored.store_households(persons, units, geo, str(tmp_path / "h"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(tab.exact_tabulations(persons, units, geo))
+        assert not _exchanges(tab.exact_tabulations(kept.persons, kept.units, None, unit_geo=kept.units))
+        taus = {n: 2 for n in WITH_TAU}
+        assert not _exchanges(tab.leaf_counts(kept.persons, kept.units, None, taus, unit_geo=kept.units))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_stored_folder_must_be_whole_and_is_not_overwritten(spark, tmp_path):
+    persons, units, geo = toy(spark)
+    with pytest.raises(ValueError):
+        stored.open_households(spark, str(tmp_path / "none"))
+    empty = stored.store_households(persons.limit(0), units.limit(0), geo, str(tmp_path / "h"))
+    assert stored.exact_stored(empty).count() == 0
+    with pytest.raises(ValueError):
+        stored.store_households(persons, units, geo, str(tmp_path / "h"))
