@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabguard.demos.registry import ORACLES, derived, oracle_text, query, table
@@ -408,32 +411,52 @@ def join_num_denom_by_cell(spark, folder):
     return joins.join_num_denom_by_cell(num, den)
 
 
+# Leaf cells of the tables that the count model serves, and the leaves behind their margins.
+_COUNT_LEAVES = {n: [c for c in TABLES[n].leaf_cells if c not in smooth.MARGINS[n]] for n in smooth.MARGINS}
+_ALL_LEAVES = " UNION ALL ".join(
+    f"""SELECT '{n}' AS "TABLE", "REGION_ID", "REGION_TYPE", {'"ITERATION_CODE"' if TABLES[n].race else "'*'"} AS "ITERATION_CODE", cell, "COUNT" AS n
+FROM ({person_oracle(n, True, 'cell')}) WHERE cell IN ({', '.join(map(str, cells))})"""
+    for n, cells in _COUNT_LEAVES.items()
+)
+_ALL_MARGINS = ", ".join(
+    f"('{n}', {dest}, {src})" for n, margins in smooth.MARGINS.items() for dest, sources in margins.items() for src in sources
+)
+
+
 def count_estimates(spark, folder):
-    tables = smooth.marginal_cells(leaves(spark, folder, "PH7"), smooth.MARGINS["PH7"])
-    return smooth.posterior_count(tables, smooth.MARGINS["PH7"])
+    """All five tables of counts, tabulated together."""
+    exact = materialise(tab.exact_tabulations(*files(spark, folder), list(smooth.MARGINS)))
+    out = []
+    for name, margins in smooth.MARGINS.items():
+        leaf = (F.col("TABLE") == name) & F.col("DATA_CELL").isin(_COUNT_LEAVES[name])
+        rows = exact.filter(leaf).withColumn("VARIANCE", F.lit(30.0)).drop("TABLE")
+        out.append(smooth.posterior_count(smooth.marginal_cells(rows, margins), margins).withColumn("TABLE", F.lit(name)))
+    return reduce(DataFrame.unionByName, out)
 
 
 # Mean of the truncated normal with the normal distribution function summed up by Simpson's rule.
-_LEAF_MEANS = f"""WITH l AS ({_leaf_sql('PH7', 'IN (2, 3, 4)')}), z AS (SELECT *, n / sqrt(30.0::DOUBLE) AS a FROM l),
+_LEAF_MEANS = f"""WITH l AS ({_ALL_LEAVES}), z AS (SELECT *, n / sqrt(30.0::DOUBLE) AS a FROM l),
 p AS (SELECT *, exp(-a * a / 2) / sqrt(2 * pi()) AS phi, CASE WHEN a > 9 THEN 1.0::DOUBLE ELSE 0.5 + a / 1200 / sqrt(2 * pi()) * list_sum(
   list_transform(range(0, 401), lambda i: CASE WHEN i IN (0, 400) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-(a * i / 400) * (a * i / 400) / 2))) END AS tail FROM z),
-m AS (SELECT "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell, n, CASE WHEN a > 38 THEN n ELSE round(n + phi / tail * sqrt(30.0::DOUBLE)) END AS pred FROM p)"""
+m AS (SELECT "TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", cell, n, CASE WHEN a > 38 THEN n ELSE round(n + phi / tail * sqrt(30.0::DOUBLE)) END AS pred FROM p),
+g AS (SELECT * FROM (VALUES {_ALL_MARGINS}) t("TABLE", dest, src))"""
 
 
 @query(
     "posterior_count_mean",
     _LEAF_MEANS
-    + """ SELECT lpad("REGION_ID", 2, '0') AS "GEOID", "REGION_TYPE", "ITERATION_CODE", CAST(cell AS INTEGER) AS "DATA_CELL", CAST(n AS DOUBLE) AS "COUNT_NOISY", CAST(pred AS DOUBLE) AS "PRED" FROM m
-UNION ALL SELECT lpad("REGION_ID", 2, '0'), "REGION_TYPE", "ITERATION_CODE", 1, CAST(sum(n) AS DOUBLE), CAST(sum(pred) AS DOUBLE) FROM m GROUP BY ALL""",
+    + """ SELECT "TABLE", lpad("REGION_ID", 2, '0') AS "GEOID", "REGION_TYPE", "ITERATION_CODE", CAST(cell AS INTEGER) AS "DATA_CELL", CAST(n AS DOUBLE) AS "COUNT_NOISY", CAST(pred AS DOUBLE) AS "PRED" FROM m
+UNION ALL SELECT m."TABLE", lpad("REGION_ID", 2, '0'), "REGION_TYPE", "ITERATION_CODE", CAST(dest AS INTEGER), CAST(sum(n) AS DOUBLE), CAST(sum(pred) AS DOUBLE)
+FROM m JOIN g ON m."TABLE" = g."TABLE" AND m.cell = g.src GROUP BY m."TABLE", "REGION_ID", "REGION_TYPE", "ITERATION_CODE", dest""",
 )
 def posterior_count_mean(spark, folder):
     out = count_estimates(spark, folder)
-    return out.select("GEOID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "COUNT_NOISY", "PRED")
+    return out.select("TABLE", "GEOID", "REGION_TYPE", "ITERATION_CODE", "DATA_CELL", "COUNT_NOISY", "PRED")
 
 
 # Ends of the leaves' intervals from a table of the normal distribution function, summed by the trapezoid rule in steps of
 # 1/1000 and read backwards by linear interpolation.
-_LEAF_ENDS = f"""WITH l AS ({_leaf_sql('PH7', 'IN (2, 3, 4)')}),
+_LEAF_ENDS = f"""WITH l AS ({_ALL_LEAVES}),
 g AS (SELECT i / 1000.0::DOUBLE AS x, exp(-x * x / 2) / sqrt(2 * pi()) AS phi FROM (SELECT unnest(range(-9000, 9001)) AS i)),
 c AS (SELECT x, sum((phi + before) / 2000) OVER (ORDER BY x) AS p FROM (SELECT x, phi, coalesce(lag(phi) OVER (ORDER BY x), 0) AS before FROM g)),
 s AS (SELECT x, p, coalesce(lead(p) OVER (ORDER BY x) - p, 0) AS step FROM c),
@@ -441,24 +464,32 @@ a AS (SELECT l.*, greatest(-n / sqrt(30.0::DOUBLE), -9) AS a FROM l),
 b AS (SELECT a.*, s.p + (a.a - s.x) * 1000 * s.step AS below FROM a ASOF JOIN s ON a.a >= s.x),
 u AS (SELECT b.*, below + 0.05 * (1 - below) AS lo, below + 0.95 * (1 - below) AS hi FROM b),
 v AS (SELECT u.*, n + sqrt(30.0::DOUBLE) * (s.x + (lo - s.p) / s.step / 1000) AS low FROM u ASOF JOIN s ON u.lo >= s.p),
-w AS (SELECT v.*, n + sqrt(30.0::DOUBLE) * (s.x + (hi - s.p) / s.step / 1000) AS high FROM v ASOF JOIN s ON v.hi >= s.p)"""
+w AS (SELECT v.*, n + sqrt(30.0::DOUBLE) * (s.x + (hi - s.p) / s.step / 1000) AS high FROM v ASOF JOIN s ON v.hi >= s.p),
+t AS (SELECT * FROM (VALUES {_ALL_MARGINS}) t("TABLE", dest, src))"""
 
 
 @query(
     "posterior_count_interval",
     _LEAF_ENDS
-    + """ SELECT lpad("REGION_ID", 2, '0') AS "GEOID", "REGION_TYPE", "ITERATION_CODE", CAST(cell AS INTEGER) AS "DATA_CELL",
+    + """ SELECT "TABLE", lpad("REGION_ID", 2, '0') AS "GEOID", "REGION_TYPE", "ITERATION_CODE", CAST(cell AS INTEGER) AS "DATA_CELL",
 floor(low) AS "PRED_LO", ceil(high) AS "PRED_HI", true AS fits FROM w
-UNION ALL SELECT lpad("REGION_ID", 2, '0'), "REGION_TYPE", "ITERATION_CODE", 1, NULL, NULL, true FROM w GROUP BY ALL""",
+UNION ALL SELECT DISTINCT w."TABLE", lpad("REGION_ID", 2, '0'), "REGION_TYPE", "ITERATION_CODE", CAST(dest AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), true
+FROM w JOIN t ON w."TABLE" = t."TABLE" AND w.cell = t.src""",
 )
 def posterior_count_interval(spark, folder):
-    """Intervals of leaves as they are; drawn ones of totals by whether they hold the mean and are about as wide as they
-    can be, 1.645 deviations of at most three leaves to each side."""
+    """Intervals of leaves as they are; those of margins by whether they hold the mean and are about as wide as they
+    can be, 1.645 deviations to each side."""
     out = count_estimates(spark, folder)
-    leaf = F.col("DATA_CELL") != 1
+    leaf = F.lit(False)
+    for name, cells in _COUNT_LEAVES.items():
+        leaf = leaf | ((F.col("TABLE") == name) & F.col("DATA_CELL").isin(cells))
     widest = 2 * 1.6448536269514722 * F.sqrt("VARIANCE") + 3
-    fits = F.col("PRED").between(F.col("PRED_LO"), F.col("PRED_HI")) & (F.col("PRED_HI") - F.col("PRED_LO") <= widest)
+    # The mean sums rounded leaves, each up to a half off.
+    off = 0.5 * F.col("VARIANCE") / 30.0
+    holds = F.col("PRED").between(F.col("PRED_LO") - off, F.col("PRED_HI") + off)
+    fits = holds & (F.col("PRED_HI") - F.col("PRED_LO") <= widest)
     return out.select(
+        "TABLE",
         "GEOID",
         "REGION_TYPE",
         "ITERATION_CODE",
