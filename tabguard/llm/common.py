@@ -24,3 +24,19 @@ def parallelism(spark: SparkSession) -> int:
 def keyed(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under fixed names, so that other columns of the input cannot clash."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..., for Arrow functions of whole rows, which take no name with a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabguard.llm.common import keyed
+from tabguard.llm.common import keyed, numbered
 
 #: Hashed features, of 1-, 2- and 3-grams.
 FEATURES = 1 << 14
@@ -266,7 +266,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a letter and, if given, a language with at least that score.
 
-    A model without languages gives no scores, so that the letter alone decides.
+    A model without languages gives no scores, so that the letter alone decides. Null and empty texts go; nulls in other
+    columns, repeated rows and further columns of any name stay as they are. An empty input gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place, model_knows = docs.columns.index(text_col), bool(model.languages)
@@ -282,7 +283,8 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
                 fine = [has_letter(t) for t in texts]
             yield batch.filter(pa.array(fine, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = numbered(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 def train_on_documents(docs: DataFrame, settings: Settings = Settings()) -> Model:

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabguard.llm.common import keyed, saved
+from tabguard.llm.common import fresh, keyed, saved
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Value that stands for null in a dimension.
@@ -137,12 +137,16 @@ def mix(
 
 
 def sample_mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, rounds: int = 10, seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, source, lang, ...) that ``mix`` keeps, all columns."""
+    """The rows of ``docs`` (doc_id, text, source, lang, ...) that ``mix`` keeps, all columns.
+
+    Null sources and languages are values of their own, null and blank texts are never kept, rows that share an id share
+    the draw, further columns may have any name, and an empty input gives an empty result.
+    """
     rows = described(docs, "doc_id", "text", "source", "lang", None)
-    cells = _fitted(rows, targets, rounds)
-    named = {f"{d}__cell": F.coalesce(F.col(d).cast("string"), F.lit(NONE)) for d in ("source", "lang")}
-    topic = {"topic__cell": F.coalesce(topic_of(F.col("text")), F.lit(NONE))}
-    cells = cells.select(*[F.col(d).alias(f"{d}__cell") for d in DIMENSIONS], F.col("probability").alias("probability__cell"))
-    placed = docs.withColumns(named | topic).join(cells, [f"{d}__cell" for d in DIMENSIONS])
-    kept = placed.where((n_tokens(F.col("text")) > 0) & (draw(F.col("doc_id"), seed) < F.col("probability__cell")))
+    names = fresh(docs, *[f"{d}_cell" for d in DIMENSIONS], "cell_probability")
+    cells = _fitted(rows, targets, rounds).select(*DIMENSIONS, "probability").toDF(*names)
+    named = [F.coalesce(F.col(d).cast("string"), F.lit(NONE)) for d in ("source", "lang")]
+    named.append(F.coalesce(topic_of(F.col("text")), F.lit(NONE)))
+    placed = docs.withColumns(dict(zip(names, named))).join(cells, names[:-1])
+    kept = placed.where((n_tokens(F.col("text")) > 0) & (draw(F.col("doc_id"), seed) < F.col(names[-1])))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

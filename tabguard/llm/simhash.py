@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabguard.llm.common import keyed, parallelism, saved
+from tabguard.llm.common import fresh, keyed, parallelism, saved
 from tabguard.llm.components import components
 
 SEED = 42
@@ -230,12 +230,14 @@ def near_duplicates(
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3, cell: int = CELL) -> DataFrame:
     """One row of ``docs``, all columns, of each component: that with the smallest id; of several such rows, or in a
-    component without ids, that with the smallest hash of its text; of rows equal in both any one."""
+    component without ids, that with the smallest hash of its text; of rows equal in both any one. Null and empty texts
+    are linked like others, further columns may have any name, and an empty input gives an empty result."""
     prints = saved(fingerprints(docs, id_col, text_col), "fingerprints")
-    kept = _components_of(prints, max_bits, cell).select(F.col("best.doc_id").alias("id__"), F.col("best.text_hash").alias("hash__")).distinct()
+    id_name, hash_name, own_name, place = fresh(docs, "best_id", "best_hash", "own_hash", "place")
+    kept = _components_of(prints, max_bits, cell).select(F.col("best.doc_id").alias(id_name), F.col("best.text_hash").alias(hash_name)).distinct()
     own_id, own_hash = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
-    rows = docs.withColumn("text_hash__", own_hash)
-    rows = rows.join(kept, own_id.eqNullSafe(F.col("id__")) & (F.col("text_hash__") == F.col("hash__")), "left_semi")
-    equal = Window.partitionBy(own_id, "text_hash__").orderBy("text_hash__")
-    once = rows.withColumn("place__", F.row_number().over(equal)).where(F.col("place__") == 1)
+    rows = docs.withColumn(own_name, own_hash)
+    rows = rows.join(kept, own_id.eqNullSafe(F.col(id_name)) & (F.col(own_name) == F.col(hash_name)), "left_semi")
+    equal = Window.partitionBy(own_id, own_name).orderBy(own_name)
+    once = rows.withColumn(place, F.row_number().over(equal)).where(F.col(place) == 1)
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])

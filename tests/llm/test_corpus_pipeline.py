@@ -8,6 +8,7 @@ from test_simhash import plain_components, plain_fingerprint
 
 import corpus_pipeline
 from tabguard.llm import langid, mixing
+from tabguard.runtime import scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -22,7 +23,7 @@ def test_stages_equal_brute_force(spark):
     known = langid.Predictor(model)
     first = stages["language"](spark, docs, SMALL)
     assert first.schema == docs.schema
-    assert Counter(first.collect()) == Counter(r for r in given if known.one(r.text)[0] != "und" and known.one(r.text)[1] >= 0.5)
+    assert Counter(first.collect()) == Counter(r for r in given if known.one(r.text)[0] != "und")
     assert first.count() >= 0.98 * len(given)
 
     rows = first.collect()
@@ -53,3 +54,60 @@ def test_run_gives_what_the_stages_give(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert Counter(corpus_pipeline.run(spark, SMALL).collect()) == Counter(docs.collect())
+
+
+#: Names that the stages use for columns of their own.
+CLASHING = ["lost_id", "lost_hash", "lost_keys", "keys", "key", "keeper", "best_id", "best_hash", "own_hash", "place", "fp", "text_hash",
+            "source_cell", "lang_cell", "topic_cell", "cell_probability", "topic", "tokens", "probability", "kept", "Lost_Id_"]
+
+
+def odd_documents(spark):
+    shared = "this line is held by quite a few documents"
+    rows = [(i, f"Words of document {i} " * 12 + f"\n{shared}\nlast line {i}", "en" if i % 3 else "de", "web", 9) for i in range(40)]
+    rows += [(50, None, "en", "web", None), (51, "", "en", "web", 0), (52, " \n\t ", None, None, 4), (53, "12 34 ...", "en", None, 9)]
+    rows += [(54, "long text " * 40_000 + shared, "en", None, 400_000), (55, "x" * 300_000, None, "book", 300_000)]
+    rows += [(None, f"no id here {i} {i}\n{shared}", None, "web", None) for i in range(4)] * 2
+    rows += [(60, "the same row given twice, with words", "en", "web", 36)] * 2 + [(60, "another text under the same id", "en", "web", 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs.selectExpr("*", *[f"'{c} stays' as {c}" for c in CLASHING]).selectExpr("*", "1 as `a.b`").repartition(4)
+
+
+def test_stages_keep_odd_rows_and_clashing_columns(spark):
+    docs = odd_documents(spark)
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SMALL)
+        after.write.parquet(path := scratch_path(spark, "odd"))
+        after, given = spark.read.schema(after.schema).parquet(path), before.collect()
+        assert after.columns == docs.columns
+        rows = after.collect()
+        assert all(r[c] == f"{c} stays" for r in rows for c in CLASHING)
+        if name == "language":
+            assert Counter(rows) == Counter(r for r in given if any(c.isalpha() for c in r.text or ""))
+        elif name == "lines":
+            assert Counter((r.doc_id, r.text) for r in rows) == Counter((d, t) for d, _, _, t in plain_lines([(r.doc_id, r.text) for r in given]))
+        elif name == "simhash":
+            prints = [plain_fingerprint(r.text) for r in given]
+            # numbers stand for ids, so that rows without id and repeated ids are told apart
+            groups = {}
+            for r, c in zip(given, plain_components(list(enumerate(prints)))):
+                groups.setdefault(c, []).append(r)
+            assert len(rows) == len(groups)
+            least = Counter(min((r.doc_id for r in g if r.doc_id is not None), default=None) for g in groups.values())
+            assert Counter(r.doc_id for r in rows) == least and not Counter(rows) - Counter(given)
+        else:
+            kept = Counter(r.doc_id for r in mixing.mix(before).collect() if r.kept)
+            assert Counter(r.doc_id for r in rows) == kept
+        before = after
+    tokens = corpus_pipeline.STAGES[-1][1](spark, before, SMALL).collect()
+    assert Counter(r.doc_id for r in tokens) == Counter(r.doc_id for r in before.collect())
+    whole = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    counts = Counter((r.doc_id, len(library.encode(r.text or "", add_eos=True))) for r in docs.collect())
+    assert Counter((r.doc_id, r.n_tokens) for r in whole) == counts
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = odd_documents(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SMALL).count() == 0

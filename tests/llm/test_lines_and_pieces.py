@@ -33,11 +33,19 @@ def plain_lines(rows, least_chars=20, least_docs=3):
     return out
 
 
-def test_lines_equal_brute_force(spark):
+def odd_lines():
     r = random.Random(2)
     pool = ["Common line of more than twenty", "  common LINE of more than twenty\t", "ééééééééééééééééééé", "éééééééééééééééééééé", "short", "", "only null ids hold this line"]
     rows = [(r.choice([i, i, i % 7, None]), "\n".join(r.choice(pool[:6] + [f"own line number {i} of this text"]) for _ in range(r.randint(0, 6)))) for i in range(60)]
     rows += [(None, pool[6])] * 3 + [(70, None), (71, ""), (72, "\n\n"), (73, "x" * 200_000 + "\n" + pool[0])]
+    return rows + [(i, "\n".join(f"line {j} that some texts share" for j in range(i, i + 5))) for i in range(80, 120)]
+
+
+@pytest.mark.parametrize("most_bits, hot_part", [(29, 1024), (29, 3), (0, 1024), (0, 1)])
+def test_lines_equal_brute_force(spark, monkeypatch, most_bits, hot_part):
+    monkeypatch.setattr(lines, "MOST_BITS", most_bits)  # 0: no filter is sent, hashes are counted
+    monkeypatch.setattr(lines, "HOT_PART", hot_part)  # 1: no key is hot
+    rows = odd_lines()
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, keys int").repartition(4)
     found = [(x.doc_id, x.n_lines, x.n_dropped, x.kept_text) for x in lines.dedup_lines(docs).collect()]
     assert Counter(found) == Counter(plain_lines(rows))
@@ -48,10 +56,27 @@ def test_lines_equal_brute_force(spark):
     assert all(n == (None if t is None else len(t)) for _, t, n in texts)
 
 
-def test_filters_have_no_false_negatives():
+def test_lists_of_lost_lines_are_never_longer_than_a_text(spark):
+    rows = [(None, f"line {i} of many null documents\nline {i + 1} of many null documents") for i in range(300)] * 3
+    docs = spark.createDataFrame([*rows, (1, "\n".join(t for _, t in rows))], "doc_id long, text string")
+    sizes = [len(x["keys"]) for x in lines.repeated_lines(docs).collect()]
+    assert len(sizes) == 300 and max(sizes) == 2
+
+
+def test_filter_grows_with_the_lines(spark):
+    rows = odd_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    long = sum(len(x) >= 20 for _, t in rows for x in (t or "").split("\n"))
+    assert long <= lines.line_bound(docs, 20) < 2 * long + 10_000  # the line of 200,000 characters could be 10,000 of 20
+    assert lines.line_bound(docs.limit(0), 20) == 0
+    assert [lines.filter_bits(n) for n in (0, 1 << 14, 1 << 20, (1 << 20) + 1, 1 << 26)] == [17, 17, 23, 24, 29]
+
+
+@pytest.mark.parametrize("bits", [17, 21, 27])
+def test_filters_have_no_false_negatives(bits):
     r = np.random.default_rng(1)
     a, b = r.integers(0, 2**64, 5000, np.uint64), r.integers(0, 2**64, 5000, np.uint64)
-    f = lines.TwoFilters()
+    f = lines.TwoFilters(bits)
     f.add(np.concatenate([a, b[:100]]))
     f.add(b)
     assert lines.holds(f.once, a).all() and lines.holds(f.twice, b[:100]).all()
