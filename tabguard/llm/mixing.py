@@ -19,7 +19,7 @@ DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
 #: Cells up to this number are broadcast to the documents, more are joined by a shuffle.
 BROADCAST_CELLS = 50_000
-#: Rounds of raking in one job, after which the fit is looked at.
+#: Rounds of raking after which the fit is looked at.
 ROUNDS_AT_ONCE = 5
 #: Powers that flatten the present token shares into targets.
 FLATTENED = {"source": 0.9, "lang": 0.9, "topic": 0.95}
@@ -64,7 +64,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 10, t
 
     Values without a target get weight zero; targets of values without tokens are spread over the others. Stops
     after ``rounds`` or when no factor of a round differs from one by more than ``tolerance``. The sums run over
-    cells, never over documents.
+    cells, never over documents. Each dimension's targets and each round are a job of their own: plans of several
+    rounds, which Spark describes anew after every stage, take the driver's memory.
     """
     now = cells.where("tokens > 0").withColumns({"weight": F.col("tokens").cast("double"), "off": F.lit(0.0)})
     for d in DIMENSIONS:  # targets of the values that occur, in tokens
@@ -72,20 +73,18 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 10, t
         shares = here.join(targets[d], "value").select("value", "share")
         total = shares.agg(F.sum("share").alias("all")).crossJoin(here.agg(F.sum("t").alias("tokens")))
         wanted = shares.crossJoin(F.broadcast(total)).select(F.col("value").alias(d), (F.col("share") / F.col("all") * F.col("tokens")).alias(f"target_{d}"))
-        now = now.join(wanted, d, "left")
-    now = saved(now, "raked")
+        now = saved(now.join(wanted, d, "left"), "raked")
     done = 0
     while done < rounds:
-        step = now.withColumn("off", F.lit(0.0))
         for _ in range(min(ROUNDS_AT_ONCE, rounds - done)):
-            step = step.withColumn("off", F.lit(0.0))
+            step = now.withColumn("off", F.lit(0.0))
             for d in DIMENSIONS:
                 have = F.sum("weight").over(Window.partitionBy(d))
                 factor = F.when(have > 0, F.coalesce(f"target_{d}", F.lit(0.0)) / have).otherwise(0.0)
                 off = F.greatest("off", F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0))
                 step = step.withColumn("factor", factor).withColumns({"off": off, "weight": F.col("weight") * F.col("factor")}).drop("factor")
+            now = saved(step, "raked")
             done += 1
-        now = saved(step, "raked")
         worst = now.agg(F.max("off").alias("off")).first().off
         if worst is None or worst <= tolerance:
             break

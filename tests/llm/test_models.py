@@ -125,6 +125,19 @@ def test_raking_meets_the_targets(spark):
             assert abs(sum(r.weight for r in rows if r[dim] == value) / total - share) < 1e-2
 
 
+def test_no_plan_of_raking_holds_more_than_one_round(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "words " * (i % 7 + 1), f"s{i % 3}", "ende"[i % 2 :]) for i in range(60)], "doc_id long, text string, source string, lang string")
+    windows, really = [], mixing.saved
+
+    def seen(df, label):
+        windows.append(df._jdf.queryExecution().optimizedPlan().toString().count("Window "))
+        return really(df, label)
+
+    monkeypatch.setattr(mixing, "saved", seen)
+    assert mixing.mix(docs).count() == 60
+    assert max(windows) == len(mixing.DIMENSIONS)
+
+
 def test_mixing_edge_cases(spark):
     rows = [(1, "a b", "s", "en"), (None, "c", None, None), (2, None, "s", "en"), (3, " \n", "s", "en"), (4, "x | y " * 9, "t", "en"), (4, "#$%", "t", "en")]
     docs = spark.createDataFrame([(*r, "z", "w") for r in rows], "doc_id long, text string, source string, lang string, topic string, weight string")
