@@ -11,9 +11,13 @@ from tabguard.runtime import tune
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text can have a language: none is rejected but texts without letters."""
+    """Documents whose text can have a language: none is rejected but texts without letters.
+
+    ``lang``, by which a later stage mixes, is the language found where the score is 0.9 or more, else the given label; labels
+    that the model has not learned stay.
+    """
     tune(spark)
-    return langid.keep_identified(docs, langid.train_on_documents(docs))
+    return langid.keep_identified(docs, langid.train_on_documents(docs), lang_col="lang")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

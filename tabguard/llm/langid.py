@@ -27,6 +27,8 @@ _PIECE = 1 << 20
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 
 UNDETERMINED = "und"
+#: Score from which a prediction stands for a document's language, whatever its label.
+SURE = 0.9
 
 
 @dataclass(frozen=True)
@@ -263,14 +265,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
+def keep_identified(
+    docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0, lang_col: str | None = None, sure: float = SURE
+) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a letter and, if given, a language with at least that score.
 
-    A model without languages gives no scores, so that the letter alone decides. Null and empty texts go; nulls in other
-    columns, repeated rows and further columns of any name stay as they are. An empty input gives an empty result.
+    With ``lang_col``, a string column, rows whose language is found with a score of ``sure`` or more have it there; the
+    others, and labels that the model has not learned, stay as they are. A model without languages gives no scores, so that the letter alone
+    decides. Null and empty texts go; nulls in other columns, repeated rows and further columns of any name stay as they
+    are. An empty input gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place, model_knows = docs.columns.index(text_col), bool(model.languages)
+    place, model_knows, learned = docs.columns.index(text_col), bool(model.languages), frozenset(model.languages)
+    label = None if lang_col is None else docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Predictor(shared.value)
@@ -279,6 +286,11 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
             if model_knows:
                 found = [known.one(t) for t in texts]
                 fine = [has_letter(t) and y >= least_score for t, (_, y) in zip(texts, found)]
+                if label is not None:
+                    field = batch.schema.field(label)
+                    given = batch.column(label).to_pylist()
+                    langs = [x if y >= sure and (old is None or old in learned) else old for (x, y), old in zip(found, given)]
+                    batch = batch.set_column(label, field, pa.array(langs, field.type))
             else:
                 fine = [has_letter(t) for t in texts]
             yield batch.filter(pa.array(fine, pa.bool_()))

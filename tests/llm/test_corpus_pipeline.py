@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 from collections import Counter
 
 import public_tokenizers
@@ -111,3 +112,18 @@ def test_stages_of_an_empty_table(spark):
     docs = odd_documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0
+
+
+def test_found_languages_reach_the_mixing_stage(spark):
+    words = {"en": "the house and the garden ", "de": "das Haus und der Garten "}
+    rows = [(i, f"{words[k] * 8}{i}", k, "web", 9) for k in words for i in range(60 * (k == "de"), 60 * (k == "de") + 60)]
+    aside = next(i for i in range(300, 400) if zlib.crc32(str(i).encode()) % 4 == 2)  # the model has not seen this row's label
+    rows += [(200, words["de"] * 8, None, "web", 9), (201, words["de"] * 8, "en", "web", 9), (aside, words["de"] * 8, "xx", "web", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = dict(corpus_pipeline.STAGES)["language"](spark, docs, SMALL)
+    assert found.schema == docs.schema
+    expected = Counter(rows) - Counter(r for r in rows if r[0] in (200, 201)) + Counter((i, words["de"] * 8, "de", "web", 9) for i in (200, 201))
+    assert Counter(map(tuple, found.collect())) == expected
+    # all rows that share a cell share the probability, so those with a German text are now mixed alike
+    odds = {r.doc_id: r.probability for r in mixing.mix(found).collect()}
+    assert odds[200] == odds[201] == odds[100] != odds[10]
