@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from test_lines_and_pieces import plain_lines
 from test_simhash import plain_components, plain_fingerprint
@@ -127,3 +128,21 @@ def test_found_languages_reach_the_mixing_stage(spark):
     # all rows that share a cell share the probability, so those with a German text are now mixed alike
     odds = {r.doc_id: r.probability for r in mixing.mix(found).collect()}
     assert odds[200] == odds[201] == odds[100] != odds[10]
+
+
+def test_stages_bound_the_bytes_of_a_batch(spark):
+    """64 texts of 200 KB in one partition come in batches of a few MB, not in one of 13 MB."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 64, 1, 1).selectExpr("repeat('wide text ', 20000) AS text")
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(setting)
+        stage(spark, empty, "")
+        found = texts.mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r.n for r in found) == 64, name
+        assert max(r.bytes for r in found) <= 4 << 20, name
